@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokenize
+from ..functions.vectors import dense_from_sorted
 
 HASH_MODEL_NAME = "deterministic-hash-v1"
 BACKENDS = ("t5", "hash")
@@ -116,12 +117,12 @@ def sparse_from_weights(weights: DataFrame, key: str = "uid") -> DataFrame:
 
 def dense_from_weights(weights: DataFrame, key: str, dim: int) -> DataFrame:
     """Gather at most ``dim`` slot weights per key, normalise, densify."""
-    g = _gathered(weights, key)
-    norm = F.col("_norm")
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                        lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0)))
-    scaled = F.transform(dense, lambda v: F.when(norm > 0, v / norm).otherwise(F.lit(0.0)).cast("float"))
-    return g.select(key, scaled.alias("embedding"))
+    g = weights.groupBy(key).agg(F.array_sort(F.collect_list(
+        F.struct(F.col("slot").alias("k"), F.col("w").alias("v")))).alias("_e"))
+    norm = F.sqrt(F.aggregate(F.col("_e"), F.lit(0.0), lambda acc, e: acc + e["v"] * e["v"]))
+    scaled = F.transform(F.col("_e"), lambda e: F.struct(
+        e["k"].alias("k"), F.when(norm > 0, e["v"] / norm).otherwise(F.lit(0.0)).alias("v")))
+    return g.select(key, dense_from_sorted(scaled, dim).alias("embedding"))
 
 
 def hash_embed(df: DataFrame, key: str = "uid", text_col: str = "description", dim: int = 256,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import failure_reason
+from ..functions.vectors import dense_from_sorted
 
 SHAPES = ("cube", "sphere", "cylinder")
 AXES = ("x", "y", "z")
@@ -231,11 +232,9 @@ def to_dense(cells: DataFrame, size: int = 32, key: str = "uid") -> DataFrame:
     Gathers at most ``size^3`` cells per asset (export only)."""
     flat = (F.col("x").cast("int") * size * size + F.col("y").cast("int") * size
             + F.col("z").cast("int"))
-    g = cells.groupBy(key).agg(F.map_from_entries(F.collect_list(
-        F.struct(flat.alias("k"), F.col("value").cast("float").alias("v")))).alias("_m"))
-    grid = F.transform(F.sequence(F.lit(0), F.lit(size ** 3 - 1)),
-                       lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0.0).cast("float")))
-    return g.select(key, grid.alias("grid"))
+    g = cells.groupBy(key).agg(F.array_sort(F.collect_list(
+        F.struct(flat.alias("k"), F.col("value").cast("float").alias("v")))).alias("_e"))
+    return g.select(key, dense_from_sorted(F.col("_e"), size ** 3).alias("grid"))
 
 
 def from_dense(grids: DataFrame, size: int = 32, key: str = "uid", grid_col: str = "grid",
