@@ -56,29 +56,50 @@ def clean_text(c) -> Column:
     return F.trim(F.regexp_replace(s, WS + "+", " "))
 
 
-def is_useful_text(c) -> Column:
-    """reject empty, junk labels, single hex-like tokens, date names and
-    strings with fewer than three letters (T12, T13)."""
-    t = clean_text(c)
+def is_useful_clean(t: Column) -> Column:
+    """F03 on text that is already T01-clean (see :func:`is_useful_text`).
+
+    Conditions are ordered so that the cheap ones decide first: the hex test
+    only runs on single tokens, the date pattern only on strings that start
+    with a weekday, and the letter count stops at the third letter.
+    """
     low = F.lower(t)
-    hexlike = (F.length(F.regexp_replace(low, "[^0-9a-f]", "")) >= 12) & ~low.contains(" ")
-    letters = F.length(F.regexp_replace(t, r"[^\p{L}]", ""))
+    single = ~t.contains(" ")
+    hexlike = single & (F.length(F.regexp_replace(low, "[^0-9a-f]", "")) >= 12)
+    datelike = F.substring(low, 1, 3).isin(*WEEKDAYS) & low.rlike(DATE_NAME_RE)
+    three_letters = t.rlike(r"\p{L}\P{L}*\p{L}\P{L}*\p{L}")
     return ((t != "")
             & ~low.isin(*JUNK_PHRASES)
             & ~hexlike
-            & ~low.rlike(DATE_NAME_RE)
-            & (letters >= 3))
+            & ~datelike
+            & three_letters)
+
+
+def is_useful_text(c) -> Column:
+    """reject empty, junk labels, single hex-like tokens, date names and
+    strings with fewer than three letters (T12, T13)."""
+    return is_useful_clean(clean_text(c))
 
 
 def fallback_description(category) -> Column:
     return F.concat(F.coalesce(_c(category).cast("string"), F.lit("None")), F.lit(" furniture"))
 
 
-def sanitize_description(c, category, max_words: int = MAX_WORDS) -> Column:
-    """Clean, drop URLs, promotional tails and long hex ids, cap words."""
-    t = clean_text(c)
-    s = F.regexp_replace(t, URL_RE, " ")
-    s = F.regexp_replace(s, PROMO_RE, " ")
+def _promo_candidate(low: Column) -> Column:
+    """Necessary condition for a promotional phrase (skips the regex on most rows).
+    Case folds that ``lower`` does not perform (the long s) also trigger it."""
+    words = ("follow", "support", "free", "click", "facebook", "search", "publisher", "asset", "download")
+    out = low.contains("\u017f")
+    for w in words:
+        out = out | low.contains(w)
+    return out
+
+
+def sanitize_clean(t: Column, category, max_words: int = MAX_WORDS) -> Column:
+    """T02 on text that is already T01-clean."""
+    low = F.lower(t)
+    s = F.when(low.contains("://") | low.contains("www."), F.regexp_replace(t, URL_RE, " ")).otherwise(t)
+    s = F.when(_promo_candidate(low), F.regexp_replace(s, PROMO_RE, " ")).otherwise(s)
     s = F.regexp_replace(s, HEX_ID_RE, " ")
     s = F.trim(F.regexp_replace(s, " +", " "))
     s = F.array_join(F.slice(F.split(s, " "), 1, max_words), " ")
@@ -86,14 +107,19 @@ def sanitize_description(c, category, max_words: int = MAX_WORDS) -> Column:
     return F.when(t == "", fb).when(s == "", fb).otherwise(s)
 
 
+def sanitize_description(c, category, max_words: int = MAX_WORDS) -> Column:
+    """Clean, drop URLs, promotional tails and long hex ids, cap words."""
+    return sanitize_clean(clean_text(c), category, max_words)
+
+
 def _named_parts(arr, drop_ignored: bool) -> Column:
     """Cleaned, useful names of an ``array<struct<name>>``, first occurrence kept."""
     items = F.filter(F.coalesce(arr, F.array()), lambda x: x.isNotNull())
     names = F.transform(items, lambda x: clean_text(x["name"]))
     if drop_ignored:
-        keep = lambda n: is_useful_text(n) & ~F.lower(n).isin(*IGNORED_TAGS)
+        keep = lambda n: is_useful_clean(n) & ~F.lower(n).isin(*IGNORED_TAGS)
     else:
-        keep = is_useful_text
+        keep = is_useful_clean
     return F.array_distinct(F.filter(names, keep))
 
 
@@ -101,7 +127,7 @@ def description_parts(name, description, tags, categories) -> Column:
     """Fragments of T04 in order: name, description, tags, categories (deduped)."""
     n = clean_text(name)
     d = clean_text(description)
-    head = F.filter(F.array(n, d), is_useful_text)
+    head = F.filter(F.array(n, d), is_useful_clean)
     return F.array_distinct(F.concat(head, _named_parts(tags, True), _named_parts(categories, False)))
 
 
@@ -109,7 +135,7 @@ def build_description(name, description, tags, categories, category) -> Column:
     """Join the useful fragments, clean, fall back, sanitise."""
     text = clean_text(F.array_join(description_parts(name, description, tags, categories), " "))
     text = F.when(text == "", fallback_description(category)).otherwise(text)
-    return sanitize_description(text, category)
+    return sanitize_clean(text, category)
 
 
 def clean_description(c) -> Column:

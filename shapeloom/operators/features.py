@@ -48,13 +48,21 @@ def blake2b_slot_sign(token: str, dim: int) -> tuple[int, float]:
 
 
 def _blake2b_udf(dim: int):
+    """UDF-1. Self-contained (stdlib + numpy/pandas only) so that executors need
+    nothing from this package to run it."""
     @F.pandas_udf("slot int, sign float")
     def digest(tokens: pd.Series) -> pd.DataFrame:
-        slots = np.empty(len(tokens), dtype=np.int32)
-        signs = np.empty(len(tokens), dtype=np.float32)
+        import hashlib as _h
+
+        import numpy as _np
+        import pandas as _pd
+        slots = _np.empty(len(tokens), dtype=_np.int32)
+        signs = _np.empty(len(tokens), dtype=_np.float32)
         for i, tok in enumerate(tokens):
-            slots[i], signs[i] = blake2b_slot_sign(tok, dim)
-        return pd.DataFrame({"slot": slots, "sign": signs})
+            d = _h.blake2b(tok.encode("utf-8"), digest_size=16).digest()
+            slots[i] = int.from_bytes(d[:8], "little") % dim
+            signs[i] = 1.0 if d[8] % 2 == 0 else -1.0
+        return _pd.DataFrame({"slot": slots, "sign": signs})
     return digest
 
 
@@ -101,27 +109,29 @@ def slot_weights(df: DataFrame, key: str = "uid", text_col: str = "description",
 
 
 def _gathered(weights: DataFrame, key: str) -> DataFrame:
-    """One row per key with its ``slot -> w`` map (at most ``dim`` entries) and norm."""
-    g = weights.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("_m"))
-    norm = F.sqrt(F.aggregate(F.map_values("_m"), F.lit(0.0), lambda acc, x: acc + x * x))
-    return g.select(key, "_m", norm.alias("_norm"))
+    """One row per key: its slot weights sorted by slot (at most ``dim``) and
+    the L2 norm, both computed by the same aggregate (the norm is a plain
+    column, never re-evaluated inside an array lambda)."""
+    return weights.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("slot").alias("k"), F.col("w").alias("v")))).alias("_e"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
 
 
 def sparse_from_weights(weights: DataFrame, key: str = "uid") -> DataFrame:
     """A12/M01 in long form: ``(key, slot, weight)``; a zero vector stays zero."""
     g = _gathered(weights, key)
-    e = g.select(key, "_norm", F.explode("_m").alias("slot", "w"))
-    return e.select(key, "slot", F.when(F.col("_norm") > 0, F.col("w") / F.col("_norm"))
-                    .otherwise(F.lit(0.0)).alias("weight"))
+    e = g.select(key, "_norm", F.explode("_e").alias("e"))
+    return e.select(key, F.col("e.k").alias("slot"),
+                    F.when(F.col("_norm") > 0, F.col("e.v") / F.col("_norm")).otherwise(F.lit(0.0))
+                    .alias("weight"))
 
 
 def dense_from_weights(weights: DataFrame, key: str, dim: int) -> DataFrame:
-    """Gather at most ``dim`` slot weights per key, normalise, densify."""
-    g = weights.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.struct(F.col("slot").alias("k"), F.col("w").alias("v")))).alias("_e"))
-    norm = F.sqrt(F.aggregate(F.col("_e"), F.lit(0.0), lambda acc, e: acc + e["v"] * e["v"]))
-    scaled = F.transform(F.col("_e"), lambda e: F.struct(
-        e["k"].alias("k"), F.when(norm > 0, e["v"] / norm).otherwise(F.lit(0.0)).alias("v")))
+    """Gather at most ``dim`` slot weights per key, normalise, densify (O(dim))."""
+    g = _gathered(weights, key)
+    inv = F.when(F.col("_norm") > 0, F.lit(1.0) / F.col("_norm")).otherwise(F.lit(0.0))
+    g = g.select(key, "_e", inv.alias("_inv"))
+    scaled = F.transform(F.col("_e"), lambda e: F.struct(e["k"].alias("k"), (e["v"] * F.col("_inv")).alias("v")))
     return g.select(key, dense_from_sorted(scaled, dim).alias("embedding"))
 
 

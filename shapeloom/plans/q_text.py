@@ -47,13 +47,18 @@ def q_clean_text(spark, sf_dir):
 def q_useful_text(spark, sf_dir):
     a = annotations_from_documents(spark, sf_dir)
     desc = tx.clean_text("description")
-    return a.select(
+    per_doc = a.select(
         F.col("pos").alias("doc_id"),
         tx.clean_text("name").alias("name_clean"),
         tx.is_useful_text("name").alias("name_useful"),
-        tx.is_useful_text("description").alias("description_useful"),
-        F.size(F.filter(F.split(desc, " "), tx.is_useful_text)).alias("useful_words"),
-    )
+        tx.is_useful_clean(desc).alias("description_useful"),
+        F.split(desc, " ").alias("_w"))
+    # one row per word (codegen'd check); a document's words sit in one task,
+    # so the partial aggregate leaves one row per document for the shuffle
+    words = per_doc.select("doc_id", "name_clean", "name_useful", "description_useful",
+                           F.explode("_w").alias("w"))
+    return words.groupBy("doc_id", "name_clean", "name_useful", "description_useful").agg(
+        F.count_if(tx.is_useful_clean(F.col("w"))).cast("int").alias("useful_words"))
 
 
 @query("sanitize_description", "T02 L05", oracle=f"""

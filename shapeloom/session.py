@@ -60,3 +60,19 @@ def scratch_table_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give a scan at least one partition per core.
+
+    A table stored as one Parquet row group is read by a single task, and every
+    narrow operator above it (regexes, tokenising, geometry) would then run on
+    one core. When the scan has fewer partitions than the cluster has cores it
+    is spread round-robin; a large table already has far more partitions than
+    cores and is left as it is (no extra shuffle at scale).
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
