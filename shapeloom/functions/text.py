@@ -95,14 +95,29 @@ def _promo_candidate(low: Column) -> Column:
     return out
 
 
+def sanitize_steps(t: Column, category, max_words: int = MAX_WORDS, prechecks: bool = False) -> list:
+    """T02 on T01-clean text as a list of ``(name, Column)`` steps; each step reads
+    the previous one by name, so callers that add them one ``select`` at a time
+    never copy a large expression into several places of the plan."""
+    low = F.lower(F.col("_s0"))
+    url = F.regexp_replace(F.col("_s0"), URL_RE, " ")
+    promo = F.regexp_replace(F.col("_s1"), PROMO_RE, " ")
+    if prechecks:  # literal tests decide whether the regex has to run at all
+        url = F.when(low.contains("://") | low.contains("www."), url).otherwise(F.col("_s0"))
+        promo = F.when(_promo_candidate(F.lower(F.col("_s1"))), promo).otherwise(F.col("_s1"))
+    words = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(
+        F.regexp_replace(F.col("_s2"), HEX_ID_RE, " "), " +", " ")), " "), 1, max_words), " ")
+    fb = fallback_description(category)
+    final = F.when(F.col("_s0") == "", fb).when(F.col("_s3") == "", fb).otherwise(F.col("_s3"))
+    return [("_s0", t), ("_s1", url), ("_s2", promo), ("_s3", words), ("_out", final)]
+
+
 def sanitize_clean(t: Column, category, max_words: int = MAX_WORDS) -> Column:
-    """T02 on text that is already T01-clean."""
-    low = F.lower(t)
-    s = F.when(low.contains("://") | low.contains("www."), F.regexp_replace(t, URL_RE, " ")).otherwise(t)
-    s = F.when(_promo_candidate(low), F.regexp_replace(s, PROMO_RE, " ")).otherwise(s)
+    """T02 on text that is already T01-clean, as one Column (small inputs)."""
+    s = F.regexp_replace(t, URL_RE, " ")
+    s = F.regexp_replace(s, PROMO_RE, " ")
     s = F.regexp_replace(s, HEX_ID_RE, " ")
-    s = F.trim(F.regexp_replace(s, " +", " "))
-    s = F.array_join(F.slice(F.split(s, " "), 1, max_words), " ")
+    s = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(s, " +", " ")), " "), 1, max_words), " ")
     fb = fallback_description(category)
     return F.when(t == "", fb).when(s == "", fb).otherwise(s)
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -52,44 +52,66 @@ def select_categories(members: DataFrame, categories: Iterable[str] | None = Non
     return out
 
 
+def add_sanitized(df: DataFrame, text: Column, category: str, out: str) -> DataFrame:
+    """Add T02 of already-clean ``text`` as ``out``, one projection per step."""
+    keep = [c for c in df.columns if c != out]
+    cur = df
+    for name, expr in tx.sanitize_steps(text, F.col(category), prechecks=True):
+        cur = cur.select(*keep, *[c for c in cur.columns if c.startswith("_s")], expr.alias(name))
+    return cur.select(*keep, F.col("_out").alias(out))
+
+
+def describe(df: DataFrame, category: str = "category", out: str = "description_raw") -> DataFrame:
+    """T04 on a frame with ``name, description, tags, categories``: fragments ->
+    joined clean text -> fallback -> T02, staged so no large expression is
+    duplicated in the plan."""
+    parts = tx.description_parts(F.col("name"), F.col("description"), F.col("tags"), F.col("categories"))
+    base = [c for c in df.columns if c not in ("name", "description", "tags", "categories")]
+    d = df.select(*base, tx.clean_text(F.array_join(parts, " ")).alias("_joined"))
+    d = d.select(*base, F.when(F.col("_joined") == "", tx.fallback_description(F.col(category)))
+                 .otherwise(F.col("_joined")).alias("_text"))
+    return add_sanitized(d, F.col("_text"), category, out).drop("_text")
+
+
 def category_metadata(members: DataFrame, annotations: DataFrame) -> DataFrame:
     """One ``description_raw`` per requested ``(category, pos, uid)``.
 
     Annotations hold one record per uid (a keyed store); only the requested
     uids survive the join, and a missing annotation still yields the fallback.
     """
-    ann = annotations.select("uid", F.struct("name", "description", "tags", "categories").alias("a"))
-    joined = members.join(ann, "uid", "left")
-    return joined.select(
-        "uid", "category", "pos",
-        tx.build_description(F.col("a.name"), F.col("a.description"), F.col("a.tags"),
-                             F.col("a.categories"), F.col("category")).alias("description_raw"),
-    )
+    ann = annotations.select("uid", "name", "description", "tags", "categories")
+    joined = members.select("uid", "category", "pos").join(ann, "uid", "left")
+    return describe(joined).select("uid", "category", "pos", "description_raw")
 
 
-def keep_first(df: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
-    """Keep the first row of every key by ``order`` (deterministic).
+def keep_first(df: DataFrame, key: str | list[str], order: str | list[str],
+               where: Column | None = None) -> DataFrame:
+    """Keep the first row of every key by ``order`` (deterministic),
+    among the rows satisfying ``where`` (keys with no such row are dropped).
 
     Plans as a partial + final aggregate: duplicates of a hot key collapse
     map-side before the shuffle, so one key never lands whole in one task.
+    The row filter lives inside the aggregate (``min`` skips NULL), so it is
+    never pushed below, and evaluated apart from, the columns it tests.
     """
     keys = [key] if isinstance(key, str) else list(key)
     orders = [order] if isinstance(order, str) else list(order)
     rest = [c for c in df.columns if c not in keys and c not in orders]
-    packed = F.struct(*[F.col(c) for c in orders + rest]).alias("_first")
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
+    packed = F.struct(*[F.col(c) for c in orders + rest])
+    if where is not None:
+        packed = F.when(where, packed)
+    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first")).where(F.col("_first").isNotNull())
     return agg.select(*keys, *[F.col("_first")[c].alias(c) for c in orders + rest]).select(*df.columns)
 
 
 def clean_manifest(df: DataFrame, key: str = "uid", order: str = "pos") -> DataFrame:
     """T03 + F02 + W01: add ``description``, drop empty ones, then keep first per key.
 
-    F02 runs before W01, so a duplicate whose first row cleans to empty is
+    F02 applies before W01, so a duplicate whose first row cleans to empty is
     represented by its next non-empty row.
     """
     out = df.withColumn("description", tx.clean_description("description_raw"))
-    out = out.where(F.length("description") > 0)
-    return keep_first(out, key, order)
+    return keep_first(out, key, order, where=F.length("description") > 0)
 
 
 def category_sizes(index: DataFrame) -> DataFrame:

@@ -86,8 +86,9 @@ def build_catalog_dataset(index: DataFrame, annotations: DataFrame, files: DataF
     assets = _persisted(asset_split(clean, files, bounds), "assets")
     ok = assets.where(F.col("reason").isNull())
     failures = assets.where(F.col("reason").isNotNull()).select("uid", "reason")
-    cells = vx.resize_nearest(vx.voxelize_triangles(tri.join(ok.select("uid"), "uid", "left_semi"),
-                                                    voxel_size), size)
+    surface = _persisted(vx.voxelize_triangles(tri.join(ok.select("uid"), "uid", "left_semi"), voxel_size),
+                         "surface_cells")
+    cells = vx.resize_nearest(surface, size)
     emb = fe.hash_embed(ok.select("uid", "description"), "uid", "description", dim=dim)
     root = output_dir or "data/processed"
     manifest = manifest_rows(ok, root, source)

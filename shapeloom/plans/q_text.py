@@ -46,13 +46,11 @@ def q_clean_text(spark, sf_dir):
 """)
 def q_useful_text(spark, sf_dir):
     a = annotations_from_documents(spark, sf_dir)
-    desc = tx.clean_text("description")
-    per_doc = a.select(
-        F.col("pos").alias("doc_id"),
-        tx.clean_text("name").alias("name_clean"),
-        tx.is_useful_text("name").alias("name_useful"),
-        tx.is_useful_clean(desc).alias("description_useful"),
-        F.split(desc, " ").alias("_w"))
+    c = a.select(F.col("pos").alias("doc_id"), tx.clean_text("name").alias("name_clean"),
+                 tx.clean_text("description").alias("desc"))
+    per_doc = c.select("doc_id", "name_clean", tx.is_useful_clean(F.col("name_clean")).alias("name_useful"),
+                       tx.is_useful_clean(F.col("desc")).alias("description_useful"),
+                       F.split("desc", " ").alias("_w"))
     # one row per word (codegen'd check); a document's words sit in one task,
     # so the partial aggregate leaves one row per document for the shuffle
     words = per_doc.select("doc_id", "name_clean", "name_useful", "description_useful",
@@ -67,7 +65,8 @@ def q_useful_text(spark, sf_dir):
 """)
 def q_sanitize_description(spark, sf_dir):
     a = annotations_from_documents(spark, sf_dir)
-    return a.select("uid", tx.sanitize_description("description", "category").alias("description_raw"))
+    c = a.select("uid", "category", tx.clean_text("description").alias("t"))
+    return cat.add_sanitized(c, F.col("t"), "category", "description_raw").select("uid", "description_raw")
 
 
 def _ordered_distinct(col: str) -> str:
