@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,3 +21,23 @@ def dense_from_sorted(entries: Column, n: int, fill=0.0, dtype: str = "float") -
     tail = F.array_repeat(z, (F.lit(n - 1) - last).cast("int"))
     return F.when(entries.isNull() | (F.size(entries) == 0), F.array_repeat(z, n)) \
         .otherwise(F.concat(body, tail))
+
+
+def scatter_dense(keys: Column, values: Column, n: int) -> Column:
+    """Dense ``array<float>`` of length ``n`` with ``values`` at ``keys`` (0 elsewhere).
+
+    An Arrow batch UDF: each row is one NumPy scatter, far cheaper than an
+    element-by-element array lambda. Self-contained (NumPy/pandas only).
+    """
+    @F.pandas_udf("array<float>")
+    def _scatter(ks: pd.Series, vs: pd.Series) -> pd.Series:
+        import numpy as _np
+        import pandas as _pd
+        out = []
+        for k, v in zip(ks, vs):
+            row = _np.zeros(n, dtype=_np.float32)
+            if k is not None and len(k):
+                row[_np.asarray(k, dtype=_np.int64)] = _np.asarray(v, dtype=_np.float32)
+            out.append(row)
+        return _pd.Series(out)
+    return _scatter(keys, values)

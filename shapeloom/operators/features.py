@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokenize
-from ..functions.vectors import dense_from_sorted
+from ..functions.vectors import scatter_dense
 
 HASH_MODEL_NAME = "deterministic-hash-v1"
 BACKENDS = ("t5", "hash")
@@ -130,9 +130,9 @@ def dense_from_weights(weights: DataFrame, key: str, dim: int) -> DataFrame:
     """Gather at most ``dim`` slot weights per key, normalise, densify (O(dim))."""
     g = _gathered(weights, key)
     inv = F.when(F.col("_norm") > 0, F.lit(1.0) / F.col("_norm")).otherwise(F.lit(0.0))
-    g = g.select(key, "_e", inv.alias("_inv"))
-    scaled = F.transform(F.col("_e"), lambda e: F.struct(e["k"].alias("k"), (e["v"] * F.col("_inv")).alias("v")))
-    return g.select(key, dense_from_sorted(scaled, dim).alias("embedding"))
+    g = g.select(key, F.col("_e.k").alias("_k"), F.col("_e.v").alias("_v"), inv.alias("_inv"))
+    scaled = F.transform("_v", lambda v: v * F.col("_inv"))
+    return g.select(key, scatter_dense(F.col("_k"), scaled, dim).alias("embedding"))
 
 
 def hash_embed(df: DataFrame, key: str = "uid", text_col: str = "description", dim: int = 256,

@@ -25,12 +25,14 @@ def training_view(manifest: DataFrame, cells: DataFrame, embeddings: DataFrame,
     asset with no occupied cell still gets an all-zero grid (V08).
     """
     m = manifest.select(key).where(F.col(key).isNotNull())
-    grids = to_dense(cells, size, key)
     if strict:
         no_emb = m.join(embeddings.select(key), key, "left_anti").limit(1).count()
         if no_emb:
             raise ValueError("manifest rows without an embedding")
-    zero = F.array_repeat(F.lit(0.0).cast("float"), size ** 3)
+    m = m.join(embeddings.select(key), key, "left_semi")
+    # only grids of rows that survive both joins are densified (semi-join first)
+    grids = to_dense(cells.join(m, key, "left_semi"), size, key)
+    zero = F.array_repeat(F.lit(0.0).cast("float"), size ** 3)  # V08: no occupied cell
     v = m.join(grids, key, "left").select(key, F.coalesce("grid", zero).alias("voxels"))
     return v.join(embeddings.select(key, "embedding"), key, "inner")
 

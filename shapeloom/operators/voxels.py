@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import failure_reason
-from ..functions.vectors import dense_from_sorted
+from ..functions.vectors import scatter_dense
 
 SHAPES = ("cube", "sphere", "cylinder")
 AXES = ("x", "y", "z")
@@ -237,7 +237,7 @@ def to_dense(cells: DataFrame, size: int = 32, key: str = "uid") -> DataFrame:
             + F.col("z").cast("int"))
     g = cells.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct(flat.alias("k"), F.col("value").cast("float").alias("v")))).alias("_e"))
-    return g.select(key, dense_from_sorted(F.col("_e"), size ** 3).alias("grid"))
+    return g.select(key, scatter_dense(F.col("_e.k"), F.col("_e.v"), size ** 3).alias("grid"))
 
 
 def from_dense(grids: DataFrame, size: int = 32, key: str = "uid", grid_col: str = "grid",

@@ -27,13 +27,13 @@ ROUND = 6
 def q_training_view(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("uid"))
     ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    ids = ids.join(labels.select(F.col("uid").alias("id")), "id", "left_semi")
     assets = cat.synthetic_manifest(ids)
-    cells = vx.shape_cells(assets).join(assets.select("uid", F.col("i").alias("doc_id")), "uid") \
-        .select(F.col("doc_id").alias("uid"), "x", "y", "z", "value")
+    cells = vx.shape_cells(assets, key="i").withColumnRenamed("i", "uid")
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("uid"), "embedding")
     v = tr.training_view(labels, cells, emb, strict=False)
     esum = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return v.select("uid", F.size(F.filter("voxels", lambda x: x > 0)).cast("long").alias("n_occupied"),
+    return v.select("uid", F.size(F.array_remove("voxels", 0.0)).cast("long").alias("n_occupied"),
                     F.size("embedding").alias("text_dim"), F.round(esum, ROUND).alias("embedding_sum"))
 
 
