@@ -158,3 +158,21 @@ def synthetic_manifest(ids: DataFrame, id_col: str = "id", root: str = "data/pro
         F.lit("synthetic").alias("source"),
         (i % 5 - 2).cast("int").alias("jitter"),
     )
+
+
+def notebook_descriptions(annotations: DataFrame, key: str = "uid") -> DataFrame:
+    """The research variant of the description.
+
+    Only annotations with tags (F18); tag names joined by a space (T15); ASCII
+    punctuation deleted, English stop words dropped *before* lower-casing
+    (case-sensitive, so ``The`` survives), lower-cased (T14); empty results
+    dropped (F17). Spark's own English stop-word list is used; stemming and
+    lemmatisation are not part of the engine.
+    """
+    from pyspark.ml.feature import StopWordsRemover
+
+    t = annotations.where(F.size(F.coalesce(F.col("tags"), F.array())) > 0)
+    w = t.select(key, tx.split_words(tx.strip_punctuation(tx.tag_text(F.col("tags")))).alias("_words"))
+    kept = StopWordsRemover(inputCol="_words", outputCol="_kept", caseSensitive=True).transform(w)
+    out = kept.select(key, F.lower(F.array_join("_kept", " ")).alias("description"))
+    return out.where(F.col("description") != "")

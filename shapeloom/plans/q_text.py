@@ -196,3 +196,66 @@ def q_tokenize_counts(spark, sf_dir):
 
 
 _ = WS  # the whitespace class is shared with derived.py's SQL builders
+
+
+def _spark_stop_words() -> list[str]:
+    """Spark's English stop-word list, read from the installed ML jar (no JVM)."""
+    import glob
+    import os
+    import zipfile
+
+    import pyspark
+    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
+    with zipfile.ZipFile(jars[0]) as z:
+        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
+
+
+def _notebook_sql() -> str:
+    import string
+    stops = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in _spark_stop_words()) + "]"
+    punct = string.punctuation.replace("'", "''")
+    return f"""
+  WITH a AS ({annotations_sql()}),
+  t AS (SELECT uid, array_to_string(tags, ' ') AS tag_text FROM a WHERE len(coalesce(tags, [])) > 0),
+  p AS (SELECT uid, trim(regexp_replace(translate(tag_text, '{punct}', ''), '{WS}+', ' ', 'g')) AS s FROM t),
+  w AS (SELECT uid, list_filter(string_split(s, ' '), lambda x: x <> '' AND NOT list_contains({stops}, x))
+                 AS kept FROM p)
+  SELECT uid, lower(array_to_string(kept, ' ')) AS description FROM w
+  WHERE lower(array_to_string(kept, ' ')) <> ''
+"""
+
+
+try:
+    _NOTEBOOK_SQL = _notebook_sql()
+except Exception:  # pragma: no cover - no ML jar: rows-only check
+    _NOTEBOOK_SQL = None
+
+
+@query("notebook_descriptions", "T14 T15 F17 F18", oracle=_NOTEBOOK_SQL)
+def q_notebook_descriptions(spark, sf_dir):
+    return cat.notebook_descriptions(annotations_from_documents(spark, sf_dir))
+
+
+def _glb_paths(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    shard = F.format_string("%03d-%03d", (F.col("page_id") % 160).cast("int"), (F.col("page_id") % 7).cast("int"))
+    return p.select(F.concat(F.lit("/assets/glbs/"), shard, F.lit("/"), F.col("page_id").cast("string"),
+                             F.lit(".glb")).alias("path"))
+
+
+@query("inventory_stems", "T10 T11 J07 S05", oracle=f"""
+  WITH g AS (SELECT '/assets/glbs/' || printf('%03d-%03d', page_id % 160, page_id % 7) || '/'
+                    || CAST(page_id AS VARCHAR) || '.glb' AS path FROM pages),
+  s AS (SELECT path, regexp_replace(path, '\\d{{3}}-\\d{{3}}/', '', 'g') AS stripped,
+               split_part(regexp_extract(path, '([^/]*)$', 1), '.glb', 1) AS stem FROM g)
+  SELECT s.path, s.stripped, s.stem, d.source AS category,
+         {sql_clean_description('d.text')} AS description
+  FROM s LEFT JOIN documents d ON CAST(d.doc_id AS VARCHAR) = s.stem
+""")
+def q_inventory_stems(spark, sf_dir):
+    g = _glb_paths(spark, sf_dir)
+    s = g.select("path", tx.strip_shard("path").alias("stripped"), tx.path_stem("path").alias("stem"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("stem"),
+                                                 F.col("source").alias("category"),
+                                                 tx.clean_description("text").alias("description"))
+    return s.join(d, "stem", "left").select("path", "stripped", "stem", "category", "description")

@@ -212,3 +212,21 @@ def q_asset_split(spark, sf_dir):
 def q_failure_summary(spark, sf_dir):
     s = _split(spark, sf_dir)
     return q.failure_summary(s.where(F.col("reason").isNotNull()))
+
+
+@query("loss_curves", "X06 X11 K09 P09", oracle=f"""
+  WITH {_BATCH_SQL},
+  r AS (SELECT epoch, batch, CAST(label % 2 AS DOUBLE) AS y,
+               1.0 / (1.0 + exp(-4.0 * CAST(embedding[1] AS DOUBLE))) AS p FROM mb),
+  bl AS (SELECT epoch, batch, avg({_bce_sql('1.0', 'p')}) AS generator_loss,
+                avg(({_bce_sql('y', 'p')} + {_bce_sql('1.0 - y', 'p')}) / 2) AS discriminator_loss
+         FROM r GROUP BY epoch, batch),
+  em AS (SELECT epoch, avg(generator_loss) AS g, avg(discriminator_loss) AS d FROM bl GROUP BY epoch)
+  SELECT 'run-1' AS run_id, CAST(epoch - 1 AS INTEGER) AS step, round(g, 6) AS generator_loss,
+         round(d, 6) AS discriminator_loss
+  FROM em
+""")
+def q_loss_curves(spark, sf_dir):
+    m = q_epoch_metrics(spark, sf_dir)
+    runs = tr.metrics_frame(m, "run-1")
+    return tr.loss_curves(runs).select("run_id", "step", "generator_loss", "discriminator_loss")
