@@ -31,6 +31,8 @@ HEADLINE = [
     "minibatches",           # W04 skew-safe ordinals
     "prompt_validation",     # F11/F12/T08 over user turns
     "asset_split",           # J02/F13 build split
+    "training_view",         # X01 manifest x grids x embeddings
+    "crossing_vertices",     # V15a iso-surface vertices
 ]
 
 
