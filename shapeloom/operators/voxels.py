@@ -287,21 +287,20 @@ _DIRS = ((1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1))
 _FACE = ("+x", "-x", "+y", "-y", "+z", "-z")
 
 
-def boundary_faces(cells: DataFrame, key: str = "uid", occupied: Column | None = None,
-                   size: int = 32) -> DataFrame:
-    """Faces of occupied cells whose neighbour is not occupied.
-
-    For grids up to 63 cells per axis each ``(uid, x, y)`` column of cells is
-    packed into one 64-bit mask (``bit_or`` aggregate, combined map-side).
-    Faces along z are bit tests within the mask; faces along x and y compare a
-    column with its four neighbour columns, whose masks arrive through one
-    aggregation of 5 rows per column (no join, and about 30x fewer rows
-    shuffled than cells x 6 offsets). Face positions come back by exploding the
-    set bits of each face mask. Larger grids use the cells x 6 anti-join.
+def boundary_face_masks(cells: DataFrame, key: str = "uid", occupied: Column | None = None,
+                        size: int = 32) -> DataFrame:
+    """V15b in packed form: ``(key, x, y, face, fm)``, one 64-bit mask of z
+    positions per column and face direction (grids up to 63 cells per axis).
+
+    Each ``(uid, x, y)`` column of occupied cells becomes one mask (``bit_or``,
+    combined map-side). Faces along z are bit tests within the mask; faces along
+    x and y compare a column with its four neighbour columns, whose masks
+    arrive through one aggregation of 5 rows per column: no join, and about 30x
+    fewer rows shuffled than cells x 6 offsets.
     """
-    occ = cells.where(occupied) if occupied is not None else cells
     if size > 63:
-        return _boundary_faces_join(occ, key)
+        raise ValueError("packed faces need size <= 63")
+    occ = cells.where(occupied) if occupied is not None else cells
     base = occ.select(key, *[F.col(a).cast("int").alias(a) for a in AXES])
     cols = base.groupBy(key, "x", "y").agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), z)")).alias("m"))
     # each column sends its mask to itself (tag 0) and to its 4 neighbours
@@ -324,10 +323,40 @@ def boundary_faces(cells: DataFrame, key: str = "uid", occupied: Column | None =
     }
     fm = g.select(key, "x", "y", F.explode(F.array(*[
         F.struct(F.lit(f).alias("face"), v.alias("fm")) for f, v in face_masks.items()])).alias("f"))
-    fm = fm.where(F.col("f.fm") != 0)
+    return fm.where(F.col("f.fm") != 0).select(key, "x", "y", F.col("f.face").alias("face"),
+                                                 F.col("f.fm").alias("fm"))
+
+
+def _signed64(v: int) -> int:
+    return v - (1 << 64) if v >= (1 << 63) else v
+
+
+# bits whose position has bit k set (k = 0..5): sum of set positions by popcounts
+_POS_BIT_MASKS = [_signed64(sum(1 << p for p in range(64) if (p >> k) & 1)) for k in range(6)]
+
+
+def mask_count_and_zsum(fm: Column) -> tuple[Column, Column]:
+    """Number of set bits and the sum of their positions, without unpacking."""
+    cnt = F.bit_count(fm).cast("long")
+    zsum = None
+    for k, mk in enumerate(_POS_BIT_MASKS):
+        term = F.bit_count(fm.bitwiseAND(F.lit(mk).cast("long"))).cast("long") * (1 << k)
+        zsum = term if zsum is None else zsum + term
+    return cnt, zsum
+
+
+def boundary_faces(cells: DataFrame, key: str = "uid", occupied: Column | None = None,
+                   size: int = 32) -> DataFrame:
+    """Faces ``(key, x, y, z, face)`` of occupied cells whose
+    neighbour is not occupied. Packed column masks (see
+    :func:`boundary_face_masks`) unpacked by exploding their set bits; larger
+    grids use the cells x 6 anti-join."""
+    if size > 63:
+        occ = cells.where(occupied) if occupied is not None else cells
+        return _boundary_faces_join(occ, key)
+    fm = boundary_face_masks(cells, key, occupied, size)
     # set bits -> z: binary string reversed, one character per bit
-    bits = fm.select(key, "x", "y", F.col("f.face").alias("face"),
-                     F.posexplode(F.split(F.reverse(F.bin(F.col("f.fm"))), "")).alias("z", "b"))
+    bits = fm.select(key, "x", "y", "face", F.posexplode(F.split(F.reverse(F.bin("fm")), "")).alias("z", "b"))
     return bits.where(F.col("b") == "1").select(key, "x", "y", F.col("z").cast("int").alias("z"), "face")
 
 

@@ -78,10 +78,10 @@ def q_synthetic_shape_cells(spark, sf_dir):
   FROM f GROUP BY uid, face
 """)
 def q_surface_faces(spark, sf_dir):
-    faces = vx.boundary_faces(vx.shape_cells(_assets(spark, sf_dir)))
-    pos = F.col("x").cast("long") + 32 * F.col("y") + 1024 * F.col("z")
-    return faces.groupBy("uid", "face").agg(F.count(F.lit(1)).alias("n_faces"),
-                                            F.sum(pos).alias("pos_sum"))
+    fm = vx.boundary_face_masks(vx.shape_cells(_assets(spark, sf_dir)))
+    cnt, zsum = vx.mask_count_and_zsum(F.col("fm"))
+    pos = cnt * (F.col("x").cast("long") + 32 * F.col("y")) + 1024 * zsum
+    return fm.groupBy("uid", "face").agg(F.sum(cnt).alias("n_faces"), F.sum(pos).alias("pos_sum"))
 
 
 def _points(spark, sf_dir):
