@@ -65,9 +65,11 @@ def is_useful_clean(t: Column) -> Column:
     """
     low = F.lower(t)
     single = ~t.contains(" ")
-    hexlike = single & (F.length(F.regexp_replace(low, "[^0-9a-f]", "")) >= 12)
+    n_hex = F.length(low) - F.length(F.translate(low, "0123456789abcdef", ""))
+    hexlike = single & (n_hex >= 12)
     datelike = F.substring(low, 1, 3).isin(*WEEKDAYS) & low.rlike(DATE_NAME_RE)
-    three_letters = t.rlike(r"\p{L}\P{L}*\p{L}\P{L}*\p{L}")
+    n_ascii_letters = F.length(low) - F.length(F.translate(low, "abcdefghijklmnopqrstuvwxyz", ""))
+    three_letters = (n_ascii_letters >= 3) | t.rlike(r"\p{L}\P{L}*\p{L}\P{L}*\p{L}")
     return ((t != "")
             & ~low.isin(*JUNK_PHRASES)
             & ~hexlike
@@ -162,7 +164,8 @@ def clean_description(c) -> Column:
 def tokenize(c) -> Column:
     """``[a-z0-9-]+`` runs of the lower-cased text; none -> ['empty']."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(_c(c), F.lit(""))), F.lit("[a-z0-9-]+"), F.lit(0))
-    return F.when(F.size(toks) == 0, F.array(F.lit("empty"))).otherwise(toks)
+    # one evaluation of the regex: an empty result becomes ['empty'] by concat
+    return F.concat(toks, F.array_repeat(F.lit("empty"), (F.size(toks) == 0).cast("int")))
 
 
 def slug(c, max_len: int = 40) -> Column:
