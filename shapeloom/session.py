@@ -71,8 +71,11 @@ def spread(df, min_partitions: int | None = None):
     is spread round-robin; a large table already has far more partitions than
     cores and is left as it is (no extra shuffle at scale).
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    try:
+        spark = df.sparkSession
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # e.g. a client session without RDD access: leave the scan as is
+        pass
     return df
