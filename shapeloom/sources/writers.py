@@ -36,10 +36,11 @@ def write_features(df: DataFrame, path: str, partition_by: str | None = None,
 
 
 def write_failures(failures: DataFrame, output_dir: str) -> tuple[str, str]:
-    """``failed_assets.csv`` (always with a header) and a Parquet copy."""
+    """``failed_assets.csv`` (a folder of part files, each with a header;
+    no single-task funnel however many assets fail) and a Parquet copy."""
     f = failures.select(*[F.col(c.name).cast(c.dataType) for c in schemas.FAILURES.fields])
     base = output_dir.rstrip("/")
-    f.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{base}/failed_assets.csv")
+    f.write.mode("overwrite").option("header", True).csv(f"{base}/failed_assets.csv")
     f.write.mode("overwrite").parquet(f"{base}/failed_assets.parquet")
     return f"{base}/failed_assets.csv", f"{base}/failed_assets.parquet"
 
