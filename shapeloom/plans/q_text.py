@@ -55,7 +55,10 @@ def q_useful_text(spark, sf_dir):
     # so the partial aggregate leaves one row per document for the shuffle
     words = per_doc.select("doc_id", "name_clean", "name_useful", "description_useful",
                            F.explode("_w").alias("w"))
-    return words.groupBy("doc_id", "name_clean", "name_useful", "description_useful").agg(
+    # keyed by doc_id alone; the per-document fields are constant within a key
+    return words.groupBy("doc_id").agg(
+        F.first("name_clean").alias("name_clean"), F.first("name_useful").alias("name_useful"),
+        F.first("description_useful").alias("description_useful"),
         F.count_if(tx.is_useful_clean(F.col("w"))).cast("int").alias("useful_words"))
 
 
