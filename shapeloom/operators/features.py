@@ -77,10 +77,10 @@ def md5_sign(token: Column) -> Column:
 
 
 def token_pairs(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """T06 exploded: one ``(key, token)`` row per token occurrence (the token
-    array is projected once, then exploded, so the regex runs once per row)."""
-    toks = df.select(F.col(key), tokenize(text_col).alias("_toks"))
-    return toks.select(F.col(key), F.explode("_toks").alias("token"))
+    """T06 exploded: one ``(key, token)`` row per token occurrence. The token
+    expression sits directly in the generator (measured faster than
+    projecting the array first)."""
+    return df.select(F.col(key), F.explode(tokenize(text_col)).alias("token"))
 
 
 def slot_weights(df: DataFrame, key: str = "uid", text_col: str = "description",
