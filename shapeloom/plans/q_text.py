@@ -48,15 +48,17 @@ def q_useful_text(spark, sf_dir):
     a = annotations_from_documents(spark, sf_dir)
     c = a.select(F.col("pos").alias("doc_id"), tx.clean_text("name").alias("name_clean"),
                  tx.clean_text("description").alias("desc"))
+    # per-document checks run once per document, before the explode (in the
+    # same select Catalyst would evaluate them after the Generate, once per word)
+    per_doc = c.select("doc_id", "name_clean", "desc",
+                       tx.is_useful_clean(F.col("name_clean")).alias("name_useful"),
+                       tx.is_useful_clean(F.col("desc")).alias("description_useful"))
+    keys = ["doc_id", "name_clean", "name_useful", "description_useful"]
     # one row per word (codegen'd check); a document's words sit in one task,
-    # so the partial aggregate leaves one row per document for the shuffle
-    words = c.select("doc_id", "name_clean", tx.is_useful_clean(F.col("name_clean")).alias("name_useful"),
-                     tx.is_useful_clean(F.col("desc")).alias("description_useful"),
-                     F.explode(F.split("desc", " ")).alias("w"))
-    # keyed by doc_id alone; the per-document fields are constant within a key
-    return words.groupBy("doc_id").agg(
-        F.first("name_clean").alias("name_clean"), F.first("name_useful").alias("name_useful"),
-        F.first("description_useful").alias("description_useful"),
+    # so the partial hash aggregate leaves one row per document for the shuffle
+    words = per_doc.select(*keys, F.explode(F.split("desc", " ")).alias("w"))
+    # the extra keys are functions of doc_id, so grouping on them changes nothing
+    return words.groupBy(*keys).agg(
         F.count_if(tx.is_useful_clean(F.col("w"))).cast("int").alias("useful_words"))
 
 
