@@ -161,10 +161,18 @@ def clean_description(c) -> Column:
     return F.trim(F.regexp_replace(s, r"\s+", " "))
 
 
+EMPTY_TOKEN = "empty"
+
+
+def token_runs(c) -> Column:
+    """``[a-z0-9-]+`` runs of the lower-cased text (possibly none)."""
+    return F.regexp_extract_all(F.lower(F.coalesce(_c(c), F.lit(""))), F.lit("[a-z0-9-]+"), F.lit(0))
+
+
 def tokenize(c) -> Column:
     """``[a-z0-9-]+`` runs of the lower-cased text; none -> ['empty']."""
-    toks = F.regexp_extract_all(F.lower(F.coalesce(_c(c), F.lit(""))), F.lit("[a-z0-9-]+"), F.lit(0))
-    return F.when(F.size(toks) == 0, F.array(F.lit("empty"))).otherwise(toks)
+    toks = token_runs(c)
+    return F.when(F.size(toks) == 0, F.array(F.lit(EMPTY_TOKEN))).otherwise(toks)
 
 
 def slug(c, max_len: int = 40) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import tokenize
+from ..functions.text import EMPTY_TOKEN, token_runs
 from ..functions.vectors import scatter_dense
 
 HASH_MODEL_NAME = "deterministic-hash-v1"
@@ -77,10 +77,12 @@ def md5_sign(token: Column) -> Column:
 
 
 def token_pairs(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """T06 exploded: one ``(key, token)`` row per token occurrence. The token
-    expression sits directly in the generator (measured faster than
-    projecting the array first)."""
-    return df.select(F.col(key), F.explode(tokenize(text_col)).alias("token"))
+    """T06 exploded: one ``(key, token)`` row per token occurrence. The regex
+    runs once per row: ``explode_outer`` yields a single NULL for a text
+    without tokens, which becomes the ``empty`` token (the array form tests
+    the size and so ran the regex twice inside the generator)."""
+    return (df.select(F.col(key), F.explode_outer(token_runs(text_col)).alias("_t"))
+            .select(F.col(key), F.coalesce(F.col("_t"), F.lit(EMPTY_TOKEN)).alias("token")))
 
 
 def slot_weights(df: DataFrame, key: str = "uid", text_col: str = "description",
