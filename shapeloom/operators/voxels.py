@@ -201,32 +201,58 @@ def nearest_lookup(sizes: DataFrame, target: int = 32) -> DataFrame:
                 F.col("o").cast("int")))
 
 
+def nearest_range(i: Column, n: Column, target: int) -> tuple[Column, Column]:
+    """Inverse of :func:`nearest_lookup`: the output indices ``o`` that read
+    input index ``i`` of an ``n``-long axis form one contiguous range.
+
+    ``i = floor(o*(n-1)/(T-1) + 1/2)`` holds exactly when
+    ``(2i-1)(T-1) <= 2o(n-1) < (2i+1)(T-1)``, so
+    ``o`` runs from ``ceil((2i-1)(T-1) / (2(n-1)))`` to
+    ``ceil((2i+1)(T-1) / (2(n-1))) - 1``, clipped to ``[0, T-1]``; an axis of
+    length 1 spreads its only index over the whole target. The bounds are
+    ratios of small integers, far from rounding trouble in doubles.
+    """
+    t1 = F.lit(target - 1)
+    den = (F.lit(2) * (n - 1)).cast("double")
+    lo = F.ceil((F.lit(2) * i - 1) * t1 / den)
+    hi = F.ceil((F.lit(2) * i + 1) * t1 / den) - 1
+    lo = F.when(n <= 1, F.lit(0)).otherwise(F.greatest(lo, F.lit(0))).cast("int")
+    hi = F.when(n <= 1, t1).otherwise(F.least(hi, t1)).cast("int")
+    return lo, hi
+
+
 def resize_nearest(cells: DataFrame, target: int = 32, key: str = "uid", shift: bool = True) -> DataFrame:
     """V05-V11 (V12 with ``shift=False``): stretch each axis independently to
     ``target`` cells by nearest neighbour, crop to the target (V11).
 
-    One per-asset aggregate gives the minimum index and source shape; the
-    lookup is built from the lengths that occur (at most ``distinct lengths x
-    target`` rows) and broadcast to the three axis joins. ``cells`` is read
-    twice (aggregate, join), so persist it first when it is expensive.
+    One per-asset aggregate gives the minimum index and source shape (joined
+    back on the key). Each cell then expands, axis by axis, into the closed
+    range of output indices that read it (:func:`nearest_range`): a narrow
+    explode, so no lookup table, broadcast or extra shuffle is needed. ``cells``
+    is read twice (aggregate, join), so persist it first when it is expensive.
     """
+    if target < 2:
+        raise ValueError("target must be >= 2")
     agg = [F.min(a).alias(f"_lo_{a}") for a in AXES] + [F.max(a).alias(f"_hi_{a}") for a in AXES]
     shp = cells.groupBy(key).agg(*agg)
     lo = {a: (F.col(f"_lo_{a}") if shift else F.lit(0)) for a in AXES}
     shp = shp.select(key, *[lo[a].cast("int").alias(f"_lo_{a}") for a in AXES],
                      *[(F.col(f"_hi_{a}") - lo[a] + 1).cast("int").alias(f"n_{a}") for a in AXES])
-    sizes = shp.select(F.explode(F.array("n_x", "n_y", "n_z")).alias("n"))
-    lut = F.broadcast(nearest_lookup(sizes, target))
     s = cells.join(shp, key).select(key, *[(F.col(a) - F.col(f"_lo_{a}")).cast("int").alias(a) for a in AXES],
                                     *[f"n_{a}" for a in AXES])
-    out = s
+    bounds = []
+    for a in AXES:
+        r_lo, r_hi = nearest_range(F.col(a), F.col(f"n_{a}"), target)
+        bounds += [r_lo.alias(f"_a_{a}"), r_hi.alias(f"_b_{a}")]
+    r = s.select(key, *bounds)
+    # a cell no output index reads (down-sampling) is dropped before any explode
+    r = r.where((F.col("_a_x") <= F.col("_b_x")) & (F.col("_a_y") <= F.col("_b_y"))
+                & (F.col("_a_z") <= F.col("_b_z")))
     for a in AXES:
-        la = lut.select(F.col("n").alias(f"n_{a}"), F.col("i").alias(a), F.col("o").alias(f"o_{a}"))
-        out = out.join(la, [f"n_{a}", a])
+        r = r.withColumn(f"o_{a}", F.explode(F.sequence(F.col(f"_a_{a}"), F.col(f"_b_{a}"))))
     it = _index_type(target)
-    res = out.select(key, *[F.col(f"o_{a}").cast(it).alias(a) for a in AXES],
-                     F.lit(1.0).cast("float").alias("value"))
-    return res.where((F.col("x") < target) & (F.col("y") < target) & (F.col("z") < target))
+    return r.select(key, *[F.col(f"o_{a}").cast(it).alias(a) for a in AXES],
+                    F.lit(1.0).cast("float").alias("value"))
 
 
 # ------------------------------------------------------------------ V13 dense

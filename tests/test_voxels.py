@@ -48,6 +48,23 @@ def test_nearest_lookup_21_to_32(spark):
     assert [i for _, i in lut] == [int(v) for v in expect.split()]
 
 
+def test_nearest_range_inverts_lookup(spark):
+    """The closed-form output range of each input index equals the brute-force
+    inverse of ``i = floor(o*(n-1)/(T-1) + 1/2)`` (exact fractions)."""
+    from fractions import Fraction
+    cases = [(n, t, i) for t in (2, 3, 7, 32, 33, 64) for n in range(1, 90) for i in range(n)]
+    df = spark.createDataFrame(cases, "n int, t int, i int")
+    got = {}
+    for t in {c[1] for c in cases}:
+        lo, hi = vx.nearest_range(F.col("i"), F.col("n"), t)
+        for r in df.where(F.col("t") == t).select("n", "i", lo.alias("lo"), hi.alias("hi")).collect():
+            got[(r.n, t, r.i)] = set(range(r.lo, r.hi + 1))
+    for n, t, i in cases:
+        expect = {o for o in range(t)
+                  if (0 if n <= 1 else int(Fraction(o * (n - 1), t - 1) + Fraction(1, 2))) == i}
+        assert got[(n, t, i)] == expect, (n, t, i)
+
+
 def test_resize_matches_numpy(spark):
     rng = np.random.default_rng(0)
     occ = rng.random((5, 21, 3)) < 0.3
