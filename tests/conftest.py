@@ -14,6 +14,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from shapeloom.session import local_session
     s = local_session("*", 8, app="shapeloom-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sl-ckpt-", dir="/tmp")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sl-ckpt-", dir="/tmp"),
+                             # managed tables of the sink tests go to a fresh folder per run
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sl-wh-", dir="/tmp")})
     yield s
     s.stop()
