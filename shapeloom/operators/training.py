@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.ordinal import ordinal_within
-from ..operators.voxels import to_dense
+from ..operators.voxels import dense_entries, densify
 
 
 def training_view(manifest: DataFrame, cells: DataFrame, embeddings: DataFrame,
@@ -30,11 +30,13 @@ def training_view(manifest: DataFrame, cells: DataFrame, embeddings: DataFrame,
         if no_emb:
             raise ValueError("manifest rows without an embedding")
     m = m.join(embeddings.select(key), key, "left_semi")
-    # only grids of rows that survive both joins are densified (semi-join first)
-    grids = to_dense(cells.join(m, key, "left_semi"), size, key)
-    zero = F.array_repeat(F.lit(0.0).cast("float"), size ** 3)  # V08: no occupied cell
-    v = m.join(grids, key, "left").select(key, F.coalesce("grid", zero).alias("voxels"))
-    return v.join(embeddings.select(key, "embedding"), key, "inner")
+    # grids stay sparse (occupied cells only) through both joins and are
+    # densified last: a join side never carries size^3 floats per row, which
+    # the planner's size estimate for a UDF's array output would not see
+    grids = dense_entries(cells.join(m, key, "left_semi"), size, key)
+    v = m.join(grids, key, "left").join(embeddings.select(key, "embedding"), key, "inner")
+    # An asset with no occupied cell has NULL entries -> an all-zero grid
+    return v.select(key, densify(F.col("_e"), size).alias("voxels"), "embedding")
 
 
 def text_dim(embeddings: DataFrame, vec_col: str = "embedding") -> int:

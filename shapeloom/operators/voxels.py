@@ -256,14 +256,25 @@ def resize_nearest(cells: DataFrame, target: int = 32, key: str = "uid", shift:
 
 
 # ------------------------------------------------------------------ V13 dense
-def to_dense(cells: DataFrame, size: int = 32, key: str = "uid") -> DataFrame:
-    """Sparse -> ``array<float>`` of ``size^3`` in C order ``x*size^2+y*size+z``.
-    Gathers at most ``size^3`` cells per asset (export only)."""
+def dense_entries(cells: DataFrame, size: int = 32, key: str = "uid") -> DataFrame:
+    """V13 gather: ``(key, _e)`` with ``_e`` the ``(k, v)`` entries of a grid sorted
+    by the C-order index ``x*size^2+y*size+z`` (at most ``size^3`` per asset, and
+    only occupied cells, so it stays small enough to join before densifying)."""
     flat = (F.col("x").cast("int") * size * size + F.col("y").cast("int") * size
             + F.col("z").cast("int"))
-    g = cells.groupBy(key).agg(F.array_sort(F.collect_list(
+    return cells.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct(flat.alias("k"), F.col("value").cast("float").alias("v")))).alias("_e"))
-    return g.select(key, scatter_dense(F.col("_e.k"), F.col("_e.v"), size ** 3).alias("grid"))
+
+
+def densify(entries: Column, size: int = 32) -> Column:
+    """V13 scatter: dense ``array<float>`` of ``size^3``; NULL entries (no grid) give zeros."""
+    return scatter_dense(entries["k"], entries["v"], size ** 3)
+
+
+def to_dense(cells: DataFrame, size: int = 32, key: str = "uid") -> DataFrame:
+    """Sparse -> ``array<float>`` of ``size^3`` in C order ``x*size^2+y*size+z``.
+    Gathers at most ``size^3`` cells per asset (export only)."""
+    return dense_entries(cells, size, key).select(key, densify(F.col("_e"), size).alias("grid"))
 
 
 def from_dense(grids: DataFrame, size: int = 32, key: str = "uid", grid_col: str = "grid",
