@@ -18,7 +18,6 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(se.oracle_sql()) <= set(se.queries())
-    assert all(not n.startswith("op") and "pipeline" not in n for n in se.queries())
 
 
 @pytest.fixture(scope="module")
