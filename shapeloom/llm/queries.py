@@ -6,9 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup
-from .storage import documents
+from . import decontaminate, line_dedup, mixing, near_dedup, quality
+from .storage import documents, table
 
 
 @dataclass(frozen=True)
@@ -17,11 +18,71 @@ class Query:
     oracle: str | None = None
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less its later repeated runs of two or more lines."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    kept = line_dedup.dedup_lines(docs)
+    return kept.select("doc_id", F.col("_removed").cast("long").alias("n_removed"),
+                       F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM documents WHERE text IS NOT NULL
+), trimmed AS (
+  SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM lines
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS k FROM trimmed WHERE key <> ''
+), windows AS (
+  SELECT a.doc_id, a.k, a.key || chr(10) || b.key AS w
+  FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND b.k = a.k + 1
+), later AS (
+  SELECT doc_id, k FROM (
+    SELECT doc_id, k, row_number() OVER (PARTITION BY w ORDER BY doc_id, k) AS occurrence FROM windows)
+  WHERE occurrence > 1
+), gone AS (
+  SELECT doc_id, k FROM later UNION SELECT doc_id, k + 1 FROM later
+), marked AS (
+  SELECT t.doc_id, t.place, t.line, g.k IS NOT NULL AS removed
+  FROM trimmed t LEFT JOIN numbered n ON n.doc_id = t.doc_id AND n.place = t.place
+  LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.k = n.k
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT removed), '') AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(k.n_removed, 0) AS n_removed, length(k.text) AS n_chars, sha256(k.text) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix by weights 3, 1, 2 takes of each document (see ``mixing.Mix``)."""
+    mix = mixing.Mix(documents(spark, sf_dir))
+    return mix.per_document().select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents (see ``near_dedup.near_groups``)."""
     return near_dedup.near_groups(documents(spark, sf_dir)).drop("text_hash")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that overlap (see ``decontaminate.contaminated``)."""
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and decision for every document."""
+    docs = documents(spark, sf_dir)
+    return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels"))).drop("text_hash")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": Query(op1_line_dedup, OP1_SQL),
+    "op2_mix_sources": Query(op2_mix_sources),
     "op3_minhash_near_dedup": Query(op3_minhash_near_dedup),
+    "op5_decontaminate": Query(op5_decontaminate),
+    "op10_quality_classifier": Query(op10_quality_classifier),
 }
