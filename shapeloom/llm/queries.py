@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, near_dedup, quality
+from . import (decontaminate, fingerprint, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter,
+               warc)
 from .storage import documents, table
 
 
@@ -68,11 +69,73 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(documents(spark, sf_dir)).drop("text_hash")
 
 
+def op4_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text (see ``fingerprint.fingerprint_edits``)."""
+    return fingerprint.fingerprint_edits(documents(spark, sf_dir)).drop("text_hash")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that overlap (see ``decontaminate.contaminated``)."""
     return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op6_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the windows of 50 words that a smaller doc_id has."""
+    kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back (see ``warc.archive_pages``)."""
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+), g AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS lead FROM p
+)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN lead = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN lead = page_id THEN NULL ELSE lead END AS refers_to
+FROM g
+"""
+
+#: The rules of op8: host, path, verdict.
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+         ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url (see ``url_filter.judge``)."""
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    judged = url_filter.filter_pages(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", F.col("_host").alias("host"), F.col("_path").alias("path"),
+                         F.col("_rule").alias("rule"), F.col("_verdict").alias("verdict"))
+
+
+OP8_SQL = r"""
+WITH rules(rule_host, rule_path, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), parsed AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), best AS (
+  SELECT p.page_id, p.host, p.path, r.rule_host || r.rule_path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.rule_host || r.rule_path) DESC NULLS LAST) AS k
+  FROM parsed p LEFT JOIN rules r
+    ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host)) AND starts_with(p.path, r.rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best WHERE k = 1
+"""
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade, tail probability and decision for every document."""
     docs = documents(spark, sf_dir)
@@ -83,6 +146,10 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": Query(op1_line_dedup, OP1_SQL),
     "op2_mix_sources": Query(op2_mix_sources),
     "op3_minhash_near_dedup": Query(op3_minhash_near_dedup),
+    "op4_chunk_fingerprints": Query(op4_chunk_fingerprints),
     "op5_decontaminate": Query(op5_decontaminate),
+    "op6_difference_cover_dedup": Query(op6_difference_cover_dedup),
+    "op7_warc_writer": Query(op7_warc_writer, OP7_SQL),
+    "op8_url_filter": Query(op8_url_filter, OP8_SQL),
     "op10_quality_classifier": Query(op10_quality_classifier),
 }
