@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, fingerprint, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter,
-               warc)
+from . import (decontaminate, fingerprint, html_extract, line_dedup, mixing, near_dedup, quality, substring_dedup,
+               url_filter, warc)
 from .storage import documents, table
 
 
@@ -136,6 +136,11 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM bes
 """
 
 
+def op9_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page (see ``html_extract.extract``)."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade, tail probability and decision for every document."""
     docs = documents(spark, sf_dir)
@@ -151,5 +156,6 @@ QUERIES: dict[str, Query] = {
     "op6_difference_cover_dedup": Query(op6_difference_cover_dedup),
     "op7_warc_writer": Query(op7_warc_writer, OP7_SQL),
     "op8_url_filter": Query(op8_url_filter, OP8_SQL),
+    "op9_block_labeller": Query(op9_block_labeller),
     "op10_quality_classifier": Query(op10_quality_classifier),
 }
