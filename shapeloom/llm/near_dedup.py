@@ -7,12 +7,14 @@ with equal shingle sets are one class from here on. Classes that share a band
 key are candidates; the share of equal low bits, corrected for chance, drops
 those far below the threshold, and the rest are counted on their full sets.
 
-Band buckets are never expanded into all pairs. Round 0 links every member to
-the best looking bucket minimum. Afterwards only buckets that still hold
-several components go on: round r compares the members with about ``8**r``
-pivots (all of them once ``8**r`` reaches the bucket's size) and only across
-components, so a bucket leaves as soon as its members hang together and no
-link between different components is lost.
+Band buckets are not expanded into all pairs. First every member is linked to
+the best looking of its buckets' minima, which joins most of a group. Only
+buckets that still hold several components go on: their members are dealt into
+blocks of about ``BLOCK``, and blocks are compared with numpy by a longer
+signature, across components only and never within the bucket's largest one.
+A pair counts in the first band that it shares. What is still likely is
+counted on the full sets, so no link between different components is lost
+(beyond the chance of a signature to err, see MARGIN).
 """
 
 from __future__ import annotations
@@ -35,11 +37,14 @@ WORDS = -(-HASHES * BITS // 64)
 #: A pair goes to the exact count unless its estimate lies this far below the
 #: threshold: about five standard errors of HASHES minima.
 MARGIN = 0.17
+#: The longer signature of bucket members: minima, two low bits of each, and
+#: its margin of about 3.7 standard errors.
+LONG_HASHES, LONG_BITS, LONG_MARGIN = 1024, 2, 0.06
+#: Members of a block, about.
+BLOCK = 64
 
-_WORDS = h.random_words(101, 2 * HASHES)
-XORS = (_WORDS[:HASHES] >> np.uint64(32)).astype(np.uint32)
-MULTS = (_WORDS[HASHES:] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-ORDER = h.random_words(102, 64) | np.uint64(1)
+_WORDS = (h.random_words(101, 2 * (HASHES + LONG_HASHES)) >> np.uint64(32)).astype(np.uint32)
+XORS, MULTS = _WORDS[::2], _WORDS[1::2] | np.uint32(1)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,13 +66,13 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
     return x, np.searchsorted(rows, np.arange(len(offsets)))
 
 
-def minima(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """HASHES x rows minima of non-empty rows."""
+def minima(x: np.ndarray, bounds: np.ndarray, first: int = 0, count: int = HASHES) -> np.ndarray:
+    """count x rows minima of non-empty rows."""
     low = (x >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((HASHES, len(bounds) - 1), dtype=np.uint32)
-    for j in range(HASHES):
-        y = low ^ XORS[j]
-        y *= MULTS[j]
+    out = np.empty((count, len(bounds) - 1), dtype=np.uint32)
+    for j in range(count):
+        y = low ^ XORS[first + j]
+        y *= MULTS[first + j]
         y ^= y >> np.uint32(15)
         y *= np.uint32(0x2C1B3C6D)
         np.minimum.reduceat(y, bounds[:-1], out=out[j])
@@ -85,13 +90,13 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return out
 
 
-def packed(least: np.ndarray) -> np.ndarray:
-    """rows x WORDS longs of the low BITS of every minimum."""
-    per = 64 // BITS
-    out = np.zeros((WORDS, least.shape[1]), dtype=np.uint64)
-    for j in range(HASHES):
-        out[j // per] |= (least[j] & np.uint32((1 << BITS) - 1)).astype(np.uint64) << np.uint64(BITS * (j % per))
-    return out.T
+def packed(least: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """rows x longs of the low ``bits`` of every minimum."""
+    per = 64 // bits
+    out = np.zeros((-(-len(least) // per), least.shape[1]), dtype=np.uint64)
+    for j in range(len(least)):
+        out[j // per] |= (least[j] & np.uint32((1 << bits) - 1)).astype(np.uint64) << np.uint64(bits * (j % per))
+    return np.ascontiguousarray(out.T)
 
 
 FEATURES = ("n_shingles bigint, digest array<bigint>, bands array<bigint>, sig array<bigint>")
@@ -122,7 +127,7 @@ def features(docs: DataFrame, width: int, doc_col: str = "doc_id", text_col: str
                     batch.column(0).slice(a, n), batch.column(1).slice(a, n), pa.array(sizes, type=pa.int64()),
                     h.list_array(h.signed(digest.ravel()), two, pa.int64()),
                     h.list_array(h.signed(bands.ravel()), band_bounds * BANDS, pa.int64()),
-                    h.list_array(h.signed(np.ascontiguousarray(sig).ravel()), band_bounds * WORDS, pa.int64()),
+                    h.list_array(h.signed(sig.ravel()), band_bounds * WORDS, pa.int64()),
                 ], schema=pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()),
                                      ("digest", longs), ("bands", longs), ("sig", longs)]))
     rows = docs.select(F.col(doc_col).cast("long").alias("doc_id"),
@@ -131,15 +136,59 @@ def features(docs: DataFrame, width: int, doc_col: str = "doc_id", text_col: str
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(rep, shingles): the distinct 64-bit shingle hashes of each row."""
+    """(node, shingles, sketch): the distinct 64-bit shingle hashes of each non-empty row, and its longer signature."""
+    longs = pa.list_(pa.int64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in h.text_chunks(batch.column(1)):
                 x, bounds = shingle_sets(data, offsets, width)
+                sketch = packed(minima(x, bounds, HASHES, LONG_HASHES), LONG_BITS)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), h.list_array(h.signed(x), bounds, pa.int64())],
-                    schema=pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))]))
-    return docs.mapInArrow(run, "rep bigint, shingles array<bigint>")
+                    [batch.column(0).slice(a, b - a), h.list_array(h.signed(x), bounds, pa.int64()),
+                     h.list_array(h.signed(sketch.ravel()), np.arange(b - a + 1) * sketch.shape[1], pa.int64())],
+                    schema=pa.schema([("node", pa.int64()), ("shingles", longs), ("sketch", longs)]))
+    return docs.mapInArrow(run, "node bigint, shingles array<bigint>, sketch array<bigint>")
+
+
+def _members(column) -> tuple[np.ndarray, ...]:
+    """node, component, sketch and bands of one block, as arrays."""
+    nodes = column.field("node").to_numpy(), column.field("component").to_numpy()
+    return *nodes, *(column.field(f).flatten().to_numpy().reshape(len(column), -1) for f in ("sketch", "bands"))
+
+
+def likely_pairs(blocks: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs across components whose longer signatures come to ``least`` or more.
+
+    ``blocks`` has band, one and other: two lists of members; other is null
+    where a block is compared with itself.
+    """
+    ones = np.uint64(0x5555555555555555)
+    chance = 1 / 2 ** LONG_BITS
+    most = int((1 - least) * (1 - chance) * LONG_HASHES)  # unlike fields allowed
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out_a, out_b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for k in range(batch.num_rows):
+                band = batch.column(0)[k].as_py()
+                left = _members(batch.column(1)[k].values)
+                alone = not batch.column(2)[k].is_valid
+                right = left if alone else _members(batch.column(2)[k].values)
+                i, j = np.nonzero(left[1][:, None] != right[1][None, :])
+                if alone:
+                    i, j = i[i < j], j[i < j]
+                for at in range(0, len(i), 4096):
+                    p, q = i[at:at + 4096], j[at:at + 4096]
+                    d = (left[2][p] ^ right[2][q]).view(np.uint64)
+                    unlike = np.bitwise_count((d | (d >> np.uint64(1))) & ones).sum(axis=1, dtype=np.int64)
+                    near = np.flatnonzero(unlike <= most)
+                    p, q = p[near], q[near]
+                    first = np.argmax(left[3][p] == right[3][q], axis=1) == band if len(p) else np.zeros(0, dtype=bool)
+                    out_a.append(left[0][p[first]])
+                    out_b.append(right[0][q[first]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+    return blocks.mapInArrow(run, "a bigint, b bigint")
 
 
 def estimate(a: str, b: str):
@@ -188,17 +237,16 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 75,
         F.col("doc_id").alias("rep"), F.xxhash64("digest").alias("node"), "text_hash", "bands", "sig"),
         folder, "reps")
 
-    rows = reps.select(F.explode("bands").alias("key"), "node")
+    rows = reps.select(F.posexplode("bands").alias("band", "key"), "node")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("pivot")).where("k > 1")
     buckets = written(rows.join(shared, "key"), folder, "buckets")
     nodes = written(buckets.select("node").distinct(), folder, "nodes")
     texts = docs.select(F.xxhash64(text_col).alias("text_hash"), F.col(doc_col).cast("long").alias("rep"),
                         F.col(text_col).cast("string").alias("text"))
     wanted = reps.join(nodes, "node", "left_semi").select("rep", "text_hash", "node")
-    involved = texts.join(wanted, ["rep", "text_hash"]).dropDuplicates(["node"]).select(
-        F.col("node").alias("rep"), "text")
-    sets = written(full_sets(involved, width), folder, "sets").withColumnRenamed("rep", "node")
-    sigs = written(reps.join(nodes, "node", "left_semi").select("node", "sig"), folder, "sigs")
+    involved = texts.join(wanted, ["rep", "text_hash"]).dropDuplicates(["node"]).select("node", "text")
+    sets = written(full_sets(involved, width), folder, "sets")
+    sigs = written(reps.join(nodes, "node", "left_semi").select("node", "sig", "bands"), folder, "sigs")
 
     def estimated(pairs: DataFrame) -> DataFrame:
         left = sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
@@ -222,29 +270,34 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 75,
         F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     best = first.groupBy("b").agg(F.max_by("a", F.struct("est", "a")).alias("a"))
     links = written(linked(best), folder, "links0")
-    label, done, r = components(links), 0, 0
-    while True:
-        r += 1
-        label = written(label, folder, f"label{r}")
-        # buckets of at most ``done`` members have been compared in full
-        marked = buckets.where(F.col("k") > done).join(label, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        live = marked.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        marked = written(marked.join(live.where("lo != hi").select("key"), "key", "left_semi"), folder, f"live{r}")
-        if marked.isEmpty():
-            break
-        many = 8 ** r
-        turn = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 40)) / float(1 << 40) * F.col("k")
-        turn = F.when(F.col("k") <= many, F.greatest(turn, F.lit(float(done)))).otherwise(turn)
-        pivots = marked.where((turn >= done) & (turn < many)).select(
-            "key", F.col("node").alias("a"), F.col("component").alias("ca"))
-        pairs = marked.select("key", F.col("node").alias("b"), F.col("component").alias("cb")).join(
-            pivots, "key").where("ca != cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = written(linked(estimated(pairs.distinct())), folder, f"links{r}")
-        done = many
+    label = written(components(links), folder, "label")
+
+    marked = buckets.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    counts = marked.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    live = counts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
+                                     F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
+    marked = written(marked.join(live, "key"), folder, "live")
+    if not marked.isEmpty():
+        # 32 bits of a band key tell whether two members share the band
+        own = sets.select("node", "sketch").join(sigs.select("node", F.transform(
+            "bands", lambda x: F.shiftright(x, 32).cast("int")).alias("bands")), "node")
+        many = F.ceil(F.col("k") / BLOCK)
+        dealt = marked.join(own, "node").groupBy(
+            "key", "band", "k", (F.col("component") == F.col("main")).alias("main"),
+            F.when(many > 1, F.pmod(F.xxhash64("node"), many)).otherwise(0).alias("block"))
+        dealt = dealt.agg(F.collect_list(F.struct("node", "component", "sketch", "bands")).alias("members"))
+        # a bucket of one block is compared in place
+        small = marked.where(F.col("k") <= BLOCK).join(own, "node").groupBy("key", "band").agg(
+            F.collect_list(F.struct("node", "component", "sketch", "bands")).alias("one"))
+        large = written(dealt.where(F.col("k") > BLOCK), folder, "blocks")
+        one = large.where("not main").select("key", "band", F.col("block").alias("i"), F.col("members").alias("one"))
+        other = large.select("key", "main", F.col("block").alias("j"), F.col("members").alias("other"))
+        met = one.join(other, "key").where("main or i <= j")
+        met = met.select("band", "one", F.when(F.col("main") | (F.col("i") != F.col("j")), F.col("other")).alias("other"))
+        pairs = small.select("band", "one", F.lit(None).cast(large.schema["members"].dataType).alias("other")).unionByName(met)
+        more = written(linked(likely_pairs(pairs, percent / 100 - LONG_MARGIN)), folder, "links1")
         if not more.isEmpty():
-            links = links.union(more)
-            label = components(links)
+            label = components(links.union(more))
     named = reps.select("rep", "node").join(label, "node")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = named.join(smallest, "component").select("node", "component_id")
