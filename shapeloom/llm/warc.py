@@ -103,7 +103,7 @@ class _Roll:
         return {"file": self.name, "part": self.part, "records": self.records, "bytes": self.size, "sha256": self.sha.hexdigest()}
 
 
-def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 8 << 20, part_bytes: int = 64 << 20,
+def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 8 << 20, part_bytes: int = 16 << 20,
                    revisit_bytes: int = REVISIT_BYTES, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html") -> DataFrame:
     """Write ``pages`` as WARC files under ``folder``; returns the manifest, read back.
@@ -161,11 +161,15 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 8 << 20, par
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of every record of a gzip-member WARC file."""
-    at = 0
+    at, view = 0, memoryview(data)
     while at < len(data):
-        member = zlib.decompressobj(31)
-        record = member.decompress(memoryview(data)[at:]) + member.flush()
-        at = len(data) - len(member.unused_data)
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof and at < len(data):  # in steps: what follows the member is copied by zlib
+            step = view[at:at + 16_384]
+            parts.append(member.decompress(step))
+            at += len(step)
+        at -= len(member.unused_data)
+        record = b"".join(parts)
         head, _, rest = record.partition(b"\r\n\r\n")
         headers = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
         yield headers, rest[:int(headers["Content-Length"])]
