@@ -14,12 +14,13 @@ from ..functions import text as tx
 
 
 def category_members(index: DataFrame) -> DataFrame:
-    """``(category, uids[])`` -> ``(category, pos, uid)``.
+    """``(category, uids[], cat_pos)`` -> ``(category, cat_pos, pos, uid)``.
 
     A bag: a uid listed under two categories appears twice. ``pos`` is the
-    0-based position in the category's list, which is what ``limit`` slices.
+    0-based position in the category's list, which is what ``limit`` slices;
+    the flattened list is in order of ``(cat_pos, pos)``.
     """
-    return index.select("category", F.posexplode("uids").alias("pos", "uid"))
+    return index.select("category", "cat_pos", F.posexplode("uids").alias("pos", "uid"))
 
 
 def check_limit(limit: int | None) -> int | None:
@@ -80,8 +81,8 @@ def category_metadata(members: DataFrame, annotations: DataFrame) -> DataFrame:
     uids survive the join, and a missing annotation still yields the fallback.
     """
     ann = annotations.select("uid", "name", "description", "tags", "categories")
-    joined = members.select("uid", "category", "pos").join(ann, "uid", "left")
-    return describe(joined).select("uid", "category", "pos", "description_raw")
+    joined = members.select("uid", "category", *[c for c in ("cat_pos", "pos") if c in members.columns]).join(ann, "uid", "left")
+    return describe(joined).select("uid", "category", *[c for c in ("cat_pos", "pos") if c in joined.columns], "description_raw")
 
 
 def keep_first(df: DataFrame, key: str | list[str], order: str | list[str],
@@ -104,12 +105,14 @@ def keep_first(df: DataFrame, key: str | list[str], order: str | list[str],
     return agg.select(*keys, *[F.col("_first")[c].alias(c) for c in orders + rest]).select(*df.columns)
 
 
-def clean_manifest(df: DataFrame, key: str = "uid", order: str = "pos") -> DataFrame:
+def clean_manifest(df: DataFrame, key: str = "uid", order: str | list[str] | None = None) -> DataFrame:
     """T03 + F02 + W01: add ``description``, drop empty ones, then keep first per key.
 
     F02 applies before W01, so a duplicate whose first row cleans to empty is
-    represented by its next non-empty row.
+    represented by its next non-empty row. The order is ``(cat_pos, pos)``
+    where the frame has a ``cat_pos``, else ``pos``.
     """
+    order = order or [c for c in ("cat_pos", "pos") if c in df.columns]
     out = df.withColumn("description", tx.clean_description("description_raw"))
     return keep_first(out, key, order, where=F.length("description") > 0)
 
@@ -131,9 +134,9 @@ def largest_category(index: DataFrame) -> DataFrame:
             .orderBy(F.col("n_uids").desc(), F.col("cat_pos")).limit(1))
 
 
-def first_n(df: DataFrame, n: int, order: str = "pos") -> DataFrame:
-    """The first ``n`` rows by an explicit ordinal (top-k)."""
-    return df.orderBy(order).limit(n)
+def first_n(df: DataFrame, n: int, order: str | list[str] = ("cat_pos", "pos")) -> DataFrame:
+    """The first ``n`` rows of the flattened list, by explicit ordinals (top-k)."""
+    return df.orderBy(*([order] if isinstance(order, str) else order)).limit(n)
 
 
 SHAPES = ("cube", "sphere", "cylinder")

@@ -1,26 +1,16 @@
 """Text embedding features.
 
-Signed feature hashing (E01) as a Spark job:
-
-1. tokens per row (JVM regex, narrow) -> ``(key, token)``;
-2. the token digest (BLAKE2b, no Spark built-in) runs in an Arrow UDF over the
-   *distinct vocabulary* only, so Python sees each token once, not once per use;
-3. vocabulary -> pairs join: broadcast when the vocabulary's row count is at
-   most ``broadcast_limit`` (counted, not estimated), else a shuffle join that
-   AQE's skew handling splits on hot tokens;
-4. ``groupBy(key, slot).sum(sign)`` (partial aggregation collapses a document's
-   tokens to at most ``dim`` rows before the shuffle);
-5. ``groupBy(key)`` gathers at most ``dim`` slot weights per key, and the
-   L2 normalisation and densification run as array expressions.
-
-The ``md5`` hasher replaces step 2 with a JVM expression (used as the DuckDB
-oracle twin, since DuckDB has no BLAKE2b).
+Signed feature hashing (E01) is row-local: the JVM regex cuts a row's tokens,
+and an Arrow UDF sums their signs per slot and normalises in one pass, with
+the digests of recent tokens kept per worker. Nothing is shuffled or
+broadcast, and rows with an equal key stay apart.
+
+``slot_weights`` with the ``md5`` hasher is the same in JVM expressions (used
+as the DuckDB oracle twin, since DuckDB has no BLAKE2b).
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import EMPTY_TOKEN, token_runs
-from ..functions.vectors import scatter_dense
 
 HASH_MODEL_NAME = "deterministic-hash-v1"
 BACKENDS = ("t5", "hash")
@@ -40,30 +29,68 @@ def encoder_spec(backend: str, model_name: str, dim: int) -> Column:
                     F.lit(int(dim)).cast("int").alias("embedding_dim"))
 
 
-def blake2b_slot_sign(token: str, dim: int) -> tuple[int, float]:
-    """T07 for one token: BLAKE2b-128, slot = LE uint64 of bytes 0-7 mod dim,
-    sign from the parity of byte 8."""
-    d = hashlib.blake2b(token.encode("utf-8"), digest_size=16).digest()
-    return int.from_bytes(d[:8], "little") % dim, (1.0 if d[8] % 2 == 0 else -1.0)
+def _row_weights(dim: int, hasher: str):
+    """T07 + A13 for one row's tokens: ``{slot: signed sum}``.
 
+    The digest's first 8 bytes, little endian (md5: first 4, big endian),
+    modulo ``dim`` give the slot and the parity of the next byte the sign; a
+    worker keeps the digests of recent tokens. A row without tokens has the
+    ``empty`` token.
+    """
+    if dim <= 0:
+        raise ValueError("dim must be positive")
+    if hasher not in ("blake2b", "md5"):
+        raise ValueError(f"Unknown hasher: {hasher}")
+    nothing = EMPTY_TOKEN
 
-def _blake2b_udf(dim: int):
-    """UDF-1. Self-contained (stdlib + numpy/pandas only) so that executors need
-    nothing from this package to run it."""
-    @F.pandas_udf("slot int, sign float")
-    def digest(tokens: pd.Series) -> pd.DataFrame:
+    def make():
         import hashlib as _h
-
-        import numpy as _np
-        import pandas as _pd
-        slots = _np.empty(len(tokens), dtype=_np.int32)
-        signs = _np.empty(len(tokens), dtype=_np.float32)
-        for i, tok in enumerate(tokens):
-            d = _h.blake2b(tok.encode("utf-8"), digest_size=16).digest()
-            slots[i] = int.from_bytes(d[:8], "little") % dim
-            signs[i] = 1.0 if d[8] % 2 == 0 else -1.0
-        return _pd.DataFrame({"slot": slots, "sign": signs})
-    return digest
+        from functools import lru_cache as _cache
+
+        @_cache(maxsize=100_000)
+        def place(token):
+            if hasher == "md5":
+                d = _h.md5(token.encode("utf-8")).digest()
+                return int.from_bytes(d[:4], "big") % dim, 1.0 if d[4] % 2 == 0 else -1.0
+            d = _h.blake2b(token.encode("utf-8"), digest_size=16).digest()
+            return int.from_bytes(d[:8], "little") % dim, 1.0 if d[8] % 2 == 0 else -1.0
+
+        def sums(tokens):
+            out = {}
+            for t in tokens if tokens is not None and len(tokens) else (nothing,):
+                slot, sign = place(t)
+                out[slot] = out.get(slot, 0.0) + sign
+            return out
+        return sums
+    return make
+
+
+def row_weights(df: DataFrame, key: str, text_col: str, dim: int, hasher: str) -> DataFrame:
+    """``(key, _e array<struct<slot, w>>)`` for every input row: no shuffle."""
+    make = _row_weights(dim, hasher)
+
+    @F.pandas_udf("array<struct<slot:int,w:double>>")
+    def weights(rows: pd.Series) -> pd.Series:
+        sums = make()
+        return pd.Series([[{"slot": k, "w": w} for k, w in sorted(sums(tokens).items())] for tokens in rows])
+    return df.select(F.col(key), weights(token_runs(text_col)).alias("_e"))
+
+
+def row_vectors(df: DataFrame, key: str, text_col: str, dim: int, hasher: str) -> DataFrame:
+    """``(key, embedding array<float>[dim])`` of unit length (or zero) for every input row: no shuffle."""
+    make = _row_weights(dim, hasher)
+
+    @F.pandas_udf("array<float>")
+    def vector(rows: pd.Series) -> pd.Series:
+        sums, out = make(), []
+        for tokens in rows:
+            v = np.zeros(dim)
+            for slot, w in sums(tokens).items():
+                v[slot] = w
+            norm = np.sqrt((v * v).sum())
+            out.append((v / norm if norm > 0 else v).astype(np.float32))
+        return pd.Series(out)
+    return df.select(F.col(key), vector(token_runs(text_col)).alias("embedding"))
 
 
 def md5_slot(token: Column, dim: int) -> Column:
@@ -86,30 +113,18 @@ def token_pairs(df: DataFrame, key: str, text_col: str) -> DataFrame:
 
 
 def slot_weights(df: DataFrame, key: str = "uid", text_col: str = "description",
-                 dim: int = 256, hasher: str = "blake2b",
-                 broadcast_limit: int = 2_000_000) -> DataFrame:
+                 dim: int = 256, hasher: str = "blake2b") -> DataFrame:
     """Un-normalised signed slot sums ``(key, slot, w)``; every key keeps
-    at least one row (a token always exists), even when all slots cancel."""
+    at least one row (a token always exists), even when all slots cancel.
+    ``key`` must identify a row (see :func:`hash_embed` for rows that repeat it)."""
     if dim <= 0:
         raise ValueError("dim must be positive")
-    pairs = token_pairs(df, key, text_col)
     if hasher == "md5":
+        pairs = token_pairs(df, key, text_col)
         signed = pairs.select(key, md5_slot(F.col("token"), dim).alias("slot"),
                               md5_sign(F.col("token")).alias("sign"))
-    elif hasher == "blake2b":
-        vocab = pairs.select("token").distinct()
-        vocab = vocab.select("token", _blake2b_udf(dim)(F.col("token")).alias("d"))
-        vocab = vocab.select("token", "d.slot", "d.sign").checkpoint(eager=True)
-        if vocab.count() <= broadcast_limit:
-            signed = pairs.join(F.broadcast(vocab), "token")
-        else:
-            counted = pairs.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
-            signed = (counted.join(vocab, "token")
-                      .select(key, "slot", (F.col("sign") * F.col("_n")).alias("sign")))
-        signed = signed.select(key, "slot", "sign")
-    else:
-        raise ValueError(f"Unknown hasher: {hasher}")
-    return signed.groupBy(key, "slot").agg(F.sum(F.col("sign").cast("double")).alias("w"))
+        return signed.groupBy(key, "slot").agg(F.sum(F.col("sign").cast("double")).alias("w"))
+    return row_weights(df, key, text_col, dim, hasher).select(key, F.inline("_e"))
 
 
 def _gathered(weights: DataFrame, key: str) -> DataFrame:
@@ -130,21 +145,20 @@ def sparse_from_weights(weights: DataFrame, key: str = "uid") -> DataFrame:
                     .alias("weight"))
 
 
-def dense_from_weights(weights: DataFrame, key: str, dim: int) -> DataFrame:
-    """Gather at most ``dim`` slot weights per key, normalise, densify (O(dim))."""
-    g = _gathered(weights, key)
-    inv = F.when(F.col("_norm") > 0, F.lit(1.0) / F.col("_norm")).otherwise(F.lit(0.0))
-    g = g.select(key, F.col("_e.k").alias("_k"), F.col("_e.v").alias("_v"), inv.alias("_inv"))
-    scaled = F.transform("_v", lambda v: v * F.col("_inv"))
-    return g.select(key, scatter_dense(F.col("_k"), scaled, dim).alias("embedding"))
-
-
 def hash_embed(df: DataFrame, key: str = "uid", text_col: str = "description", dim: int = 256,
-               hasher: str = "blake2b", broadcast_limit: int = 2_000_000) -> DataFrame:
-    """``(key, embedding array<float>[dim], spec)`` for every input key."""
-    w = slot_weights(df, key, text_col, dim, hasher, broadcast_limit)
+               hasher: str = "blake2b") -> DataFrame:
+    """``(key, embedding array<float>[dim], spec)`` for every input row;
+    rows with an equal key stay apart, and nothing is shuffled."""
     model = HASH_MODEL_NAME if hasher == "blake2b" else f"{HASH_MODEL_NAME}-{hasher}"
-    return dense_from_weights(w, key, dim).withColumn("spec", encoder_spec("hash", model, dim))
+    return row_vectors(df, key, text_col, dim, hasher).withColumn("spec", encoder_spec("hash", model, dim))
+
+
+def _unit(v: Column, norm: Column) -> Column:
+    """``v / norm`` per element, zero where the norm is. The norm is bound once
+    per row: inside the element lambda it would be worked out per element."""
+    bound = F.array(F.struct(norm.alias("n"), v.alias("v")))
+    return F.transform(bound, lambda s: F.transform(
+        s["v"], lambda x: F.when(s["n"] > 0, x.cast("double") / s["n"]).otherwise(F.lit(0.0))))[0]
 
 
 def embed(df: DataFrame, backend: str = "hash", key: str = "uid", text_col: str = "description",
@@ -191,5 +205,4 @@ def mean_pool(tokens: DataFrame, key: str, mask: Column | None = None,
 def l2_normalise(df: DataFrame, vec_col: str = "embedding") -> Column:
     """A12/M01 on a dense array column, row-local (no shuffle): ``v/|v|``, zero stays zero."""
     v = F.col(vec_col)
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    return F.transform(v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
+    return _unit(v, F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))))

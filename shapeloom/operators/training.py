@@ -17,18 +17,25 @@ from ..operators.voxels import dense_entries, densify
 
 
 def training_view(manifest: DataFrame, cells: DataFrame, embeddings: DataFrame,
-                  size: int = 32, strict: bool = True, key: str = "uid") -> DataFrame:
+                  size: int = 32, strict: bool = True, key: str = "uid",
+                  empty_grids: DataFrame | None = None) -> DataFrame:
     """``(uid, voxels array<float>[size^3], embedding)`` per manifest row.
 
     Two equi-joins on ``uid``. In strict mode a manifest row without a voxel
-    grid or embedding is an error (the check is two anti-join counts); an
-    asset with no occupied cell still gets an all-zero grid (V08).
+    grid or embedding is an error (the check is two anti-join counts). An asset
+    whose grid has no occupied cell has no row in ``cells``: ``empty_grids``
+    names those, and they get an all-zero grid (V08).
     """
     m = manifest.select(key).where(F.col(key).isNotNull())
     if strict:
         no_emb = m.join(embeddings.select(key), key, "left_anti").limit(1).count()
         if no_emb:
             raise ValueError("manifest rows without an embedding")
+        have = cells.select(key)
+        if empty_grids is not None:
+            have = have.unionByName(empty_grids.select(key))
+        if m.join(have.distinct(), key, "left_anti").limit(1).count():
+            raise ValueError("manifest rows without a voxel grid")
     m = m.join(embeddings.select(key), key, "left_semi")
     # grids stay sparse (occupied cells only) through both joins and are
     # densified last: a join side never carries size^3 floats per row, which

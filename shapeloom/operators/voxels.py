@@ -320,48 +320,56 @@ def adaptive_level(stats: DataFrame, threshold: float | Column = 0.5) -> DataFra
 
 
 # ----------------------------------------------------------------- V15a/V15b
-_DIRS = ((1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1))
-_FACE = ("+x", "-x", "+y", "-y", "+z", "-z")
 
+#: Cells of a column that one mask holds; bits 0 and 63 are the cells below and above.
+MASK_CELLS = 62
 
-def boundary_face_masks(cells: DataFrame, key: str = "uid", occupied: Column | None = None,
-                        size: int = 32) -> DataFrame:
-    """V15b in packed form: ``(key, x, y, face, fm)``, one 64-bit mask of z
-    positions per column and face direction (grids up to 63 cells per axis).
 
-    Each ``(uid, x, y)`` column of occupied cells becomes one mask (``bit_or``,
-    combined map-side). Faces along z are bit tests within the mask; faces along
-    x and y compare a column with its four neighbour columns, whose masks
-    arrive through one aggregation of 5 rows per column: no join, and about 30x
-    fewer rows shuffled than cells x 6 offsets.
+def boundary_face_masks(cells: DataFrame, key: str = "uid", occupied: Column | None = None) -> DataFrame:
+    """V15b in packed form: ``(key, x, y, z0, face, fm)``; bit ``i`` of ``fm``
+    is the face of the cell at ``z0 + i``. Grids of any size.
+
+    Each ``(uid, x, y)`` column is cut into blocks of ``MASK_CELLS`` cells, and
+    a block's occupied cells become one mask (``bit_or``, combined map-side);
+    a cell at a block's end is a border bit of the next block as well. Faces
+    along z are bit tests within the mask; faces along x and y compare a block
+    with those of the four neighbour columns, whose masks arrive through one
+    aggregation of 5 rows per block: no join, and far fewer rows shuffled than
+    cells x 6 offsets.
     """
-    if size > 63:
-        raise ValueError("packed faces need size <= 63")
     occ = cells.where(occupied) if occupied is not None else cells
     base = occ.select(key, *[F.col(a).cast("int").alias(a) for a in AXES])
-    cols = base.groupBy(key, "x", "y").agg(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), z)")).alias("m"))
-    # each column sends its mask to itself (tag 0) and to its 4 neighbours
+    block = F.floor(F.col("z") / MASK_CELLS).cast("int")
+    base = base.select(key, "x", "y", block.alias("zb"), (F.pmod("z", F.lit(MASK_CELLS)) + 1).alias("bit"))
+    places = F.array(F.struct(F.col("zb"), F.col("bit")),
+                     F.when(F.col("bit") == 1, F.struct((F.col("zb") - 1).alias("zb"), F.lit(MASK_CELLS + 1).alias("bit"))),
+                     F.when(F.col("bit") == MASK_CELLS, F.struct((F.col("zb") + 1).alias("zb"), F.lit(0).alias("bit"))))
+    base = base.select(key, "x", "y", F.explode(F.array_compact(places)).alias("p"))
+    cols = base.groupBy(key, "x", "y", F.col("p.zb").alias("zb")).agg(
+        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), p.bit)")).alias("m"))
+    # each block sends its mask to itself (tag 0) and to its 4 neighbours
     sends = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                       for t, dx, dy in ((0, 0, 0), (1, 1, 0), (2, -1, 0), (3, 0, 1), (4, 0, -1))])
-    e = cols.select(key, "x", "y", "m", F.explode(sends).alias("s"))
-    e = e.select(key, (F.col("x") - F.col("s.dx")).alias("x"), (F.col("y") - F.col("s.dy")).alias("y"),
+    e = cols.select(key, "x", "y", "zb", "m", F.explode(sends).alias("s"))
+    e = e.select(key, (F.col("x") - F.col("s.dx")).alias("x"), (F.col("y") - F.col("s.dy")).alias("y"), "zb",
                  F.col("s.t").alias("t"), "m")
     # tag 1: mask of column x+1 arrives at x; tag 2: x-1; tag 3: y+1; tag 4: y-1
-    g = e.groupBy(key, "x", "y").agg(*[
+    g = e.groupBy(key, "x", "y", "zb").agg(*[
         F.coalesce(F.max(F.when(F.col("t") == t, F.col("m"))), F.lit(0).cast("long")).alias(f"m{t}")
         for t in range(5)])
-    g = g.where(F.col("m0") != 0)
-    m = F.col("m0")
+    own = F.lit(((1 << MASK_CELLS) - 1) << 1).cast("long")
+    g = g.withColumn("m", F.col("m0").bitwiseAND(own)).where("m != 0")
+    m = F.col("m")
     face_masks = {
         "+x": m.bitwiseAND(F.bitwise_not("m1")), "-x": m.bitwiseAND(F.bitwise_not("m2")),
         "+y": m.bitwiseAND(F.bitwise_not("m3")), "-y": m.bitwiseAND(F.bitwise_not("m4")),
-        "+z": m.bitwiseAND(F.bitwise_not(F.shiftright(m, 1))),
-        "-z": m.bitwiseAND(F.bitwise_not(F.shiftleft(m, 1))),
+        "+z": m.bitwiseAND(F.bitwise_not(F.shiftrightunsigned("m0", 1))),
+        "-z": m.bitwiseAND(F.bitwise_not(F.shiftleft("m0", 1))),
     }
-    fm = g.select(key, "x", "y", F.explode(F.array(*[
+    fm = g.select(key, "x", "y", "zb", F.explode(F.array(*[
         F.struct(F.lit(f).alias("face"), v.alias("fm")) for f, v in face_masks.items()])).alias("f"))
-    return fm.where(F.col("f.fm") != 0).select(key, "x", "y", F.col("f.face").alias("face"),
-                                                 F.col("f.fm").alias("fm"))
+    return fm.where(F.col("f.fm") != 0).select(key, "x", "y", (F.col("zb") * MASK_CELLS - 1).alias("z0"),
+                                                 F.col("f.face").alias("face"), F.col("f.fm").alias("fm"))
 
 
 def _signed64(v: int) -> int:
@@ -382,33 +390,14 @@ def mask_count_and_zsum(fm: Column) -> tuple[Column, Column]:
     return cnt, zsum
 
 
-def boundary_faces(cells: DataFrame, key: str = "uid", occupied: Column | None = None,
-                   size: int = 32) -> DataFrame:
+def boundary_faces(cells: DataFrame, key: str = "uid", occupied: Column | None = None) -> DataFrame:
     """Faces ``(key, x, y, z, face)`` of occupied cells whose
-    neighbour is not occupied. Packed column masks (see
-    :func:`boundary_face_masks`) unpacked by exploding their set bits; larger
-    grids use the cells x 6 anti-join."""
-    if size > 63:
-        occ = cells.where(occupied) if occupied is not None else cells
-        return _boundary_faces_join(occ, key)
-    fm = boundary_face_masks(cells, key, occupied, size)
+    neighbour is not occupied: the packed masks of
+    :func:`boundary_face_masks`, their set bits exploded."""
+    fm = boundary_face_masks(cells, key, occupied)
     # set bits -> z: binary string reversed, one character per bit
-    bits = fm.select(key, "x", "y", "face", F.posexplode(F.split(F.reverse(F.bin("fm")), "")).alias("z", "b"))
-    return bits.where(F.col("b") == "1").select(key, "x", "y", F.col("z").cast("int").alias("z"), "face")
-
-
-def _boundary_faces_join(occ: DataFrame, key: str) -> DataFrame:
-    """Cells x 6 offsets anti-joined with the occupied set on a packed key."""
-    base = occ.select(key, *[F.col(a).cast("int").alias(a) for a in AXES])
-    pack = lambda x, y, z: ((x + 1).cast("long") * 1048576 + (y + 1) * 1024 + (z + 1))
-    dirs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"),
-                              F.lit(f).alias("face")) for (dx, dy, dz), f in zip(_DIRS, _FACE)])
-    cand = base.select(key, *AXES, F.explode(dirs).alias("d"))
-    cand = cand.select(key, *AXES, F.col("d.face").alias("face"),
-                       pack(F.col("x") + F.col("d.dx"), F.col("y") + F.col("d.dy"),
-                            F.col("z") + F.col("d.dz")).alias("_nb"))
-    present = base.select(key, pack(F.col("x"), F.col("y"), F.col("z")).alias("_nb"))
-    return cand.join(present, [key, "_nb"], "left_anti").select(key, *AXES, "face")
+    bits = fm.select(key, "x", "y", "z0", "face", F.posexplode(F.split(F.reverse(F.bin("fm")), "")).alias("i", "b"))
+    return bits.where(F.col("b") == "1").select(key, "x", "y", (F.col("z0") + F.col("i")).cast("int").alias("z"), "face")
 
 
 def crossing_vertices(cells: DataFrame, level: float | Column = 0.5, size: int = 32,

@@ -7,6 +7,7 @@ shared checkpoint folder and read back, so the success and failure branches
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,9 +30,10 @@ class BuildResult:
 
 
 def _persisted(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_table_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # a folder of this build's own: a later build leaves earlier results alone
+    path = scratch_table_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def asset_split(clean: DataFrame, files: DataFrame, mesh_bounds: DataFrame | None = None,

@@ -18,6 +18,7 @@ ANNOTATIONS = T.StructType([
 CATEGORY_INDEX = T.StructType([
     T.StructField("category", _S),
     T.StructField("uids", T.ArrayType(_S)),
+    T.StructField("cat_pos", T.IntegerType()),
 ])
 
 ASSET_FILES = T.StructType([

@@ -10,19 +10,26 @@ from ..functions.text import path_stem
 
 
 def read_manifest(spark: SparkSession, path: str, schema=schemas.MANIFEST) -> DataFrame:
-    """Format by case-insensitive suffix: ``.csv`` / ``.parquet`` / ``.pq``."""
+    """Format by case-insensitive suffix: ``.csv`` / ``.parquet`` / ``.pq``.
+
+    Columns go by name, whatever their order in the file; those of ``schema``
+    that the file lacks stay missing (F10 reports them).
+    """
     p = path.rstrip("/")
     dot = p.rfind(".")
     suffix = p[dot:].lower() if dot > p.rfind("/") else ""
     if suffix == ".csv":
-        return spark.read.schema(schema).option("header", True).csv(path)
-    if suffix in (".parquet", ".pq"):
-        return spark.read.schema(schema).parquet(path)
-    raise ValueError(f"Unsupported manifest format: {suffix}")
+        found = spark.read.option("header", True).csv(path)
+    elif suffix in (".parquet", ".pq"):
+        found = spark.read.parquet(path)
+    else:
+        raise ValueError(f"Unsupported manifest format: {suffix}")
+    return found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema if f.name in found.columns])
 
 
 def read_category_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """``(category, uids array<string>)`` in list order."""
+    """``(category, uids array<string>, cat_pos)``; ``cat_pos`` is the
+    category's place in the index, as row order is not kept."""
     return spark.read.schema(schemas.CATEGORY_INDEX).format(fmt).load(path)
 
 

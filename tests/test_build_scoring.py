@@ -17,7 +17,7 @@ TRI = "uid string, fid int, ax double, ay double, az double, bx double, by doubl
 
 
 def _fixture(spark):
-    idx = spark.createDataFrame([("chair", ["u1", "u2", "u3", "u4", "u5", "u1"])], schemas.CATEGORY_INDEX)
+    idx = spark.createDataFrame([("chair", ["u1", "u2", "u3", "u4", "u5", "u1"], 0)], schemas.CATEGORY_INDEX)
     ann = spark.createDataFrame([("u1", "Oak chair", None, None, None), ("u2", "Red chair", None, None, None),
                                  ("u3", "Blue chair", None, None, None), ("u5", "!!!", "...", None, None)],
                                 schemas.ANNOTATIONS)
@@ -121,3 +121,26 @@ def test_asset_inventory(spark):
         open(f"{root}/{n}", "wb").write(b"x")
     inv = readers.asset_inventory(spark, root)
     assert sorted(r.uid for r in inv.collect()) == ["abc", "def"]
+
+
+def test_manifest_columns_go_by_name_and_missing_ones_are_reported(spark, tmp_path):
+    from shapeloom.operators import quality as q
+    whole = spark.createDataFrame([("s", "e/1", "u1", "v/1", "text", "chair")],
+                                  "source string, embedding_path string, uid string, voxel_path string, description string, category string")
+    whole.write.option("header", True).csv(str(tmp_path / "m.csv"))
+    row = readers.read_manifest(spark, str(tmp_path / "m.csv")).first()
+    assert (row.uid, row.embedding_path, row.voxel_path, row.source) == ("u1", "e/1", "v/1", "s")
+    whole.drop("voxel_path").write.parquet(str(tmp_path / "m.parquet"))
+    with pytest.raises(ValueError, match="voxel_path"):
+        q.check_manifest(readers.read_manifest(spark, str(tmp_path / "m.parquet")))
+
+
+def test_strict_training_view_wants_grids(spark):
+    from shapeloom.operators import training as tr
+    man = spark.createDataFrame([("a",), ("b",)], "uid string")
+    cells = spark.createDataFrame([("a", 0, 0, 0, 1.0)], "uid string, x int, y int, z int, value float")
+    emb = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "uid string, embedding array<float>")
+    with pytest.raises(ValueError, match="voxel grid"):
+        tr.training_view(man, cells, emb, size=2)
+    empty = spark.createDataFrame([("b",)], "uid string")
+    assert tr.training_view(man, cells, emb, size=2, empty_grids=empty).count() == 2

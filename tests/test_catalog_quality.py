@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shapeloom import schemas
 from shapeloom.operators import catalog as cat
 from shapeloom.operators import quality as q
 from shapeloom.operators.ordinal import global_ordinal, ordinal_within
@@ -29,7 +30,7 @@ def test_ordinals_match_row_number(spark, parts):
 
 
 def test_category_members_limit_and_unknown(spark):
-    idx = spark.createDataFrame([("chair", ["a", "b", "c"]), ("lamp", ["c", "d"])], "category string, uids array<string>")
+    idx = spark.createDataFrame([("chair", ["a", "b", "c"], 0), ("lamp", ["c", "d"], 1)], schemas.CATEGORY_INDEX)
     m = cat.category_members(idx)
     assert m.count() == 5  # a bag: 'c' appears twice
     two = cat.select_categories(m, ["chair"], limit=2)
@@ -41,6 +42,17 @@ def test_category_members_limit_and_unknown(spark):
         cat.select_categories(m, None, limit=-1)
 
 
+def test_categories_have_one_input_order(spark):
+    idx = spark.createDataFrame([("chair", ["a", "b", "u"], 0), ("sofa", ["u", "d"], 1)], schemas.CATEGORY_INDEX)
+    m = cat.category_members(idx)
+    assert [r.uid for r in cat.first_n(m, 4).collect()] == ["a", "b", "u", "u"]
+    raw = m.withColumn("description_raw", F.concat(F.lit("A fine wooden "), "category"))
+    kept = {r.uid: r.category for r in cat.clean_manifest(raw).collect()}
+    assert kept == {"a": "chair", "b": "chair", "u": "chair", "d": "sofa"}  # the first in input order
+    assert [(r.category, r.size_rank) for r in cat.category_sizes(idx).orderBy("size_rank").collect()] == [("chair", 1), ("sofa", 2)]
+    assert cat.largest_category(idx).first().category == "chair"
+
+
 def test_synthetic_manifest_rows(spark):
     m = cat.synthetic_manifest(spark.range(0, 3)).collect()
     assert [r.uid for r in m] == ["synthetic-cube-0000", "synthetic-sphere-0001", "synthetic-cylinder-0002"]

@@ -144,3 +144,16 @@ def test_crossing_vertices_single_cell(spark):
     v = vx.crossing_vertices(c, 0.5, 32).collect()
     assert len(v) == 6
     assert sorted((r.px, r.py, r.pz) for r in v)[0] == (4.5, 5.0, 5.0)
+
+
+def test_surface_of_tall_and_negative_columns_equals_brute_force(spark):
+    import random
+    rng = random.Random(4)
+    cells = {(rng.randint(-2, 2), rng.randint(0, 2), z) for z in [*range(-70, -50), *range(55, 70), 120, 123, 124, 125, 200]
+             for _ in range(3)}
+    df = spark.createDataFrame([("u", *c) for c in cells], "uid string, x int, y int, z int")
+    want = {(*c, f) for c in cells for f, d in {"+x": (1, 0, 0), "-x": (-1, 0, 0), "+y": (0, 1, 0), "-y": (0, -1, 0),
+                                                "+z": (0, 0, 1), "-z": (0, 0, -1)}.items()
+            if tuple(a + b for a, b in zip(c, d)) not in cells}
+    got = vx.boundary_faces(df).collect()
+    assert len(got) == len(want) and {(r.x, r.y, r.z, r.face) for r in got} == want
