@@ -21,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def _by_row(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
     """``docs`` joined to the decision rows (doc_id, text_hash, ...) about them."""
     d = decisions.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    keyed = docs.select(*COLUMNS).withColumn("_text_hash", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
     return keyed.join(d, same, how)
 
@@ -35,7 +35,7 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go; a document of which no line is left goes as well."""
-    kept = line_dedup.dedup_lines(docs).where("_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    kept = line_dedup.dedup_lines(docs.select(*COLUMNS)).where("_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
