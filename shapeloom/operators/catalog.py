@@ -117,21 +117,26 @@ def clean_manifest(df: DataFrame, key: str = "uid", order: str | list[str] | Non
     return keep_first(out, key, order, where=F.length("description") > 0)
 
 
+def _sizes(index: DataFrame) -> DataFrame:
+    n = F.size("uids") if "uids" in index.columns else F.lit(1)
+    return index.groupBy("category").agg(F.sum(n).alias("n_uids"), F.min("cat_pos").alias("cat_pos"))
+
+
 def category_sizes(index: DataFrame) -> DataFrame:
     """Uid count per category, ranked by size (ties keep input order).
 
-    ``index`` needs a ``cat_pos`` ordinal for the tie-break; the ranking window
-    runs over one row per category.
+    ``index`` has one row per category (``uids``) or one per member, so a large
+    category need not be gathered into an array; its least ``cat_pos`` breaks
+    ties. The ranking window runs over one row per category.
     """
-    sized = index.select("category", "cat_pos", F.size("uids").alias("n_uids"))
+    sized = _sizes(index)
     w = Window.orderBy(F.col("n_uids").desc(), F.col("cat_pos"))
     return sized.withColumn("size_rank", F.row_number().over(w))
 
 
 def largest_category(index: DataFrame) -> DataFrame:
     """The top category by size (first in input order on ties)."""
-    return (index.select("category", "cat_pos", F.size("uids").alias("n_uids"))
-            .orderBy(F.col("n_uids").desc(), F.col("cat_pos")).limit(1))
+    return _sizes(index).orderBy(F.col("n_uids").desc(), F.col("cat_pos")).limit(1)
 
 
 def first_n(df: DataFrame, n: int, order: str | list[str] = ("cat_pos", "pos")) -> DataFrame:
@@ -163,19 +168,21 @@ def synthetic_manifest(ids: DataFrame, id_col: str = "id", root: str = "data/pro
     )
 
 
-def notebook_descriptions(annotations: DataFrame, key: str = "uid") -> DataFrame:
+def notebook_descriptions(annotations: DataFrame, key: str = "uid",
+                          stop_words: list[str] | None = None) -> DataFrame:
     """The research variant of the description.
 
     Only annotations with tags (F18); tag names joined by a space (T15); ASCII
     punctuation deleted, English stop words dropped *before* lower-casing
     (case-sensitive, so ``The`` survives), lower-cased (T14); empty results
-    dropped (F17). Spark's own English stop-word list is used; stemming and
-    lemmatisation are not part of the engine.
+    dropped (F17). ``stop_words`` defaults to Spark's own English list; stemming
+    and lemmatisation are not part of the engine.
     """
     from pyspark.ml.feature import StopWordsRemover
 
     t = annotations.where(F.size(F.coalesce(F.col("tags"), F.array())) > 0)
     w = t.select(key, tx.split_words(tx.strip_punctuation(tx.tag_text(F.col("tags")))).alias("_words"))
-    kept = StopWordsRemover(inputCol="_words", outputCol="_kept", caseSensitive=True).transform(w)
+    remover = StopWordsRemover(inputCol="_words", outputCol="_kept", caseSensitive=True)
+    kept = (remover.setStopWords(stop_words) if stop_words is not None else remover).transform(w)
     out = kept.select(key, F.lower(F.array_join("_kept", " ")).alias("description"))
     return out.where(F.col("description") != "")

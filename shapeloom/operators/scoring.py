@@ -73,11 +73,13 @@ def score_prompts(prompts: DataFrame, model_factory, text_dim: int = 256, noise_
 
     ``model_factory()`` returns ``predict(inputs: np.ndarray[n, text_dim+noise_dim])
     -> np.ndarray[n, size^3]`` (voxel probabilities); ``predict_batch_udf`` loads it
-    once per Python worker and feeds Arrow batches.
+    once per Python worker and feeds Arrow batches. Cells carry the prompt's
+    ``threshold``; a prompt whose grid is all zero keeps one zero cell at the
+    origin, so every valid prompt has cells.
     """
     from pyspark.ml.functions import predict_batch_udf
 
-    v = validate_prompts(prompts).persist()
+    v = validate_prompts(prompts)
     rejects = v.where(F.col("reason").isNotNull()).select("prompt_id", "prompt", "reason")
     ok = v.where(F.col("reason").isNull())
     emb = fe.hash_embed(ok, "prompt_id", "prompt", dim=text_dim)
@@ -87,7 +89,8 @@ def score_prompts(prompts: DataFrame, model_factory, text_dim: int = 256, noise_
     udf = predict_batch_udf(model_factory, return_type=T.ArrayType(T.FloatType()),
                             batch_size=batch_size, input_tensor_shapes=[[text_dim + noise_dim]])
     grids = x.select("prompt_id", "threshold", udf("x").alias("grid"))
-    cells = vx.from_dense(grids.withColumnRenamed("prompt_id", "uid"), size=size, keep_zeros=False)
+    grids = grids.withColumnRenamed("prompt_id", "uid")
+    cells = vx.from_dense(grids, size=size, keep_zeros="origin", carry=["threshold"])
     return cells, rejects
 
 

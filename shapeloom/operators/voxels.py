@@ -278,16 +278,23 @@ def to_dense(cells: DataFrame, size: int = 32, key: str = "uid") -> DataFrame:
 
 
 def from_dense(grids: DataFrame, size: int = 32, key: str = "uid", grid_col: str = "grid",
-               keep_zeros: bool = False) -> DataFrame:
-    """V13 inverse: ``posexplode`` a flat grid back to cells (zeros dropped)."""
-    e = grids.select(key, F.posexplode(grid_col).alias("_i", "value"))
-    if not keep_zeros:
+               keep_zeros: bool | str = False, carry: list[str] = ()) -> DataFrame:
+    """V13 inverse: ``posexplode`` a flat grid back to cells.
+
+    Zeros are dropped, kept (``True``), or dropped but for the first cell of an
+    all-zero grid (``"origin"``). ``carry`` names further columns to keep.
+    """
+    empty = F.forall(grid_col, lambda v: v == 0).alias("_empty")
+    e = grids.select(key, *carry, empty, grid_col).select(key, *carry, "_empty", F.posexplode(grid_col).alias("_i", "value"))
+    if keep_zeros == "origin":
+        e = e.where((F.col("value") != 0) | (F.col("_empty") & (F.col("_i") == 0)))
+    elif not keep_zeros:
         e = e.where(F.col("value") != 0)
     i = F.col("_i")
     it = _index_type(size)
     return e.select(key, (i / (size * size)).cast("int").cast(it).alias("x"),
                     ((i / size).cast("int") % size).cast(it).alias("y"),
-                    (i % size).cast(it).alias("z"), F.col("value").cast("float").alias("value"))
+                    (i % size).cast(it).alias("z"), F.col("value").cast("float").alias("value"), *carry)
 
 
 # --------------------------------------------------------------- V14/F14/A11

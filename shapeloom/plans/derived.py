@@ -28,8 +28,13 @@ def _sql_list(vals):
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in vals) + "]"
 
 
-def annotations_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(uid, category, pos, name, description, tags, categories)`` per document."""
+def annotations_from_documents(spark: SparkSession, sf_dir: str, text_tags: bool = False) -> DataFrame:
+    """``(uid, category, pos, name, description, tags, categories)`` per document.
+
+    Three in ten documents have a second annotation, uid ``x<doc_id>``, with a
+    blank description. Tags are the words of the first line, or with
+    ``text_tags`` those of the whole text.
+    """
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     did = F.col("doc_id")
     title = F.regexp_extract("text", r"^([^\n]*)", 1)
@@ -53,33 +58,37 @@ def annotations_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k10 == 1, F.concat(F.lit("See https://my-site.com/x-"), did.cast("string"),
                                      F.lit(" now. "), "text"))
             .when(k10 == 2, F.concat(F.lit("WWW.SHOP.COM/a_b "), digest, F.lit(" "), "text"))
-            .when(k10 == 3, F.lit(""))
-            .when(k10 == 4, F.lit(None))
-            .when(k10 == 5, F.lit("\u00a0"))
             .otherwise(F.col("text")))
+    blank = F.when(k10 == 3, F.lit("")).when(k10 == 5, F.lit("\u00a0"))
+    uid = did.cast("string")
+    notes = F.array(F.struct(uid.alias("uid"), desc.alias("description")),
+                    F.struct(F.concat(F.lit("x"), uid).alias("uid"), blank.alias("description")))
+    notes = F.when((k10 >= 3) & (k10 <= 5), notes).otherwise(F.slice(notes, 1, 1))
     tag_names = F.concat(
-        F.split(title, " "),
+        F.split("text", "[ \n]") if text_tags else F.split(title, " "),
         F.array(F.element_at(_lits(IGNORED_TAGS), (did % 17 + 1).cast("int")),
                 F.upper("lang"), F.lit(None).cast("string"), F.lit("ab1"), F.col("source")))
     cat_names = F.array(F.col("source"), F.col("lang"), F.col("source"), F.lit(None).cast("string"))
     as_named = lambda arr: F.transform(
-        arr, lambda n: F.when(n.isNull(), F.lit(None)).otherwise(F.struct(n.alias("name"))))
-    return d.select(
-        did.cast("string").alias("uid"),
+        arr, lambda n: F.when(n.isNull(), F.lit(None)).otherwise(F.named_struct(F.lit("name"), n)))
+    each = d.select(
         F.col("source").alias("category"),
         did.alias("pos"),
         name.alias("name"),
-        desc.alias("description"),
         as_named(tag_names).alias("tags"),
         as_named(cat_names).alias("categories"),
+        F.explode(notes).alias("note"),
     )
+    return each.select("note.uid", "category", "pos", "name", "note.description", "tags", "categories")
 
 
-def annotations_sql() -> str:
+def annotations_sql(text_tags: bool = False) -> str:
     """DuckDB twin of :func:`annotations_from_documents` (tags as name lists)."""
     wd, mo, ig = _sql_list(WEEKDAY_NAMES), _sql_list(MONTH_NAMES), _sql_list(IGNORED_TAGS)
+    words = ("string_split(replace(text, chr(10), ' '), ' ')" if text_tags
+             else r"string_split(regexp_extract(text, '^([^\n]*)', 1), ' ')")
     return rf"""
-  SELECT CAST(doc_id AS VARCHAR) AS uid, source AS category, doc_id AS pos,
+  SELECT CASE WHEN copy = 1 THEN 'x' ELSE '' END || CAST(doc_id AS VARCHAR) AS uid, source AS category, doc_id AS pos,
     CASE doc_id % 8
       WHEN 0 THEN {wd}[doc_id % 7 + 1] || ', ' || CAST(doc_id % 28 + 1 AS VARCHAR) || ' '
                   || {mo}[doc_id % 12 + 1] || ' ' || CAST(doc_id % 25 + 2000 AS VARCHAR) || ' '
@@ -92,18 +101,18 @@ def annotations_sql() -> str:
       WHEN 3 THEN 'Newfields_Design-Gallery'
       WHEN 4 THEN NULL
       ELSE regexp_extract(text, '^([^\n]*)', 1) END AS name,
-    CASE doc_id % 10
+    CASE doc_id % 10 + 100 * copy
       WHEN 0 THEN text || ' Please  follow me on Facebook'
       WHEN 1 THEN 'See https://my-site.com/x-' || CAST(doc_id AS VARCHAR) || ' now. ' || text
       WHEN 2 THEN 'WWW.SHOP.COM/a_b ' || md5(text) || ' ' || text
-      WHEN 3 THEN ''
-      WHEN 4 THEN NULL
-      WHEN 5 THEN chr(160)
+      WHEN 103 THEN ''
+      WHEN 104 THEN NULL
+      WHEN 105 THEN chr(160)
       ELSE text END AS description,
-    list_concat(string_split(regexp_extract(text, '^([^\n]*)', 1), ' '),
+    list_concat({words},
                 [{ig}[doc_id % 17 + 1], upper(lang), NULL, 'ab1', source]) AS tags,
     [source, lang, source, NULL] AS categories
-  FROM documents"""
+  FROM documents, (VALUES (0), (1)) copies(copy) WHERE copy = 0 OR doc_id % 10 BETWEEN 3 AND 5"""
 
 
 # ---- DuckDB expression builders for the text rules (independent formulation) ----

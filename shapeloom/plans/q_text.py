@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -35,9 +37,9 @@ def q_clean_text(spark, sf_dir):
 
 @query("useful_text", "F03 T12 T13", oracle=f"""
   WITH a AS ({annotations_sql()}),
-  c AS (SELECT CAST(uid AS BIGINT) AS doc_id, {sql_clean_text('name')} AS name_clean,
+  c AS (SELECT uid, {sql_clean_text('name')} AS name_clean,
                {sql_clean_text('description')} AS desc_clean FROM a)
-  SELECT doc_id, name_clean,
+  SELECT uid, name_clean,
          {sql_useful_clean('name_clean')} AS name_useful,
          {sql_useful_clean('desc_clean')} AS description_useful,
          CAST(len(list_filter(string_split(desc_clean, ' '),
@@ -46,18 +48,18 @@ def q_clean_text(spark, sf_dir):
 """)
 def q_useful_text(spark, sf_dir):
     a = annotations_from_documents(spark, sf_dir)
-    c = a.select(F.col("pos").alias("doc_id"), tx.clean_text("name").alias("name_clean"),
+    c = a.select("uid", tx.clean_text("name").alias("name_clean"),
                  tx.clean_text("description").alias("desc"))
     # per-document checks run once per document, before the explode (in the
     # same select Catalyst would evaluate them after the Generate, once per word)
-    per_doc = c.select("doc_id", "name_clean", "desc",
+    per_doc = c.select("uid", "name_clean", "desc",
                        tx.is_useful_clean(F.col("name_clean")).alias("name_useful"),
                        tx.is_useful_clean(F.col("desc")).alias("description_useful"))
-    keys = ["doc_id", "name_clean", "name_useful", "description_useful"]
+    keys = ["uid", "name_clean", "name_useful", "description_useful"]
     # one row per word (codegen'd check); a document's words sit in one task,
     # so the partial hash aggregate leaves one row per document for the shuffle
     words = per_doc.select(*keys, F.explode(F.split("desc", " ")).alias("w"))
-    # the extra keys are functions of doc_id, so grouping on them changes nothing
+    # the extra keys are functions of uid, so grouping on them changes nothing
     return words.groupBy(*keys).agg(
         F.count_if(tx.is_useful_clean(F.col("w"))).cast("int").alias("useful_words"))
 
@@ -79,8 +81,7 @@ def _ordered_distinct(col: str) -> str:
 _BUILD_SQL = f"""
   WITH a AS ({annotations_sql()}),
   ann AS (SELECT a.* FROM a SEMI JOIN labels l ON a.pos = l.doc_id),
-  m AS (SELECT d.source AS category, d.doc_id AS pos, CAST(d.doc_id AS VARCHAR) AS uid
-        FROM documents d),
+  m AS (SELECT category, pos, uid FROM a),
   j AS (SELECT m.uid, m.category, m.pos, ann.name, ann.description, ann.tags, ann.categories
         FROM m LEFT JOIN ann ON m.uid = ann.uid),
   f0 AS (SELECT uid, category, pos,
@@ -108,19 +109,19 @@ def q_build_description(spark, sf_dir):
     a = annotations_from_documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("pos"))
     ann = a.join(labels, "pos", "left_semi")
-    docs = table(spark, sf_dir, "documents")
-    members = docs.select(F.col("source").alias("category"), F.col("doc_id").alias("pos"),
-                          F.col("doc_id").cast("string").alias("uid"))
-    return cat.category_metadata(members, ann)
+    return cat.category_metadata(a.select("category", "pos", "uid"), ann)
 
 
 @query("clean_manifest", "T03 F02 W01", oracle=_BUILD_SQL + f""",
-  c AS (SELECT uid, category, pos, description_raw,
+  c AS (SELECT ltrim(uid, 'x') AS uid, category, pos, description_raw,
                {sql_clean_description('description_raw')} AS description FROM s4)
-  SELECT uid, category, pos, description_raw, description FROM c
+  SELECT uid, category, pos, description_raw, description FROM c WHERE description <> ''
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY pos, description_raw) = 1
 """)
 def q_clean_manifest(spark, sf_dir):
-    return cat.clean_manifest(q_build_description(spark, sf_dir))
+    # a document's two annotations are rows of one uid: the first by text stays
+    both = q_build_description(spark, sf_dir).withColumn("uid", F.ltrim("uid", F.lit("x")))
+    return cat.clean_manifest(both, order=["pos", "description_raw"])
 
 
 @query("dedupe_keep_first", "F02 W01", oracle=f"""
@@ -147,17 +148,12 @@ def q_dedupe_keep_first(spark, sf_dir):
          row_number() OVER (ORDER BY n_uids DESC, cat_pos) AS size_rank FROM s
 """)
 def q_category_rank(spark, sf_dir):
-    return _category_sizes(spark, sf_dir)
+    return cat.category_sizes(_members(spark, sf_dir))
 
 
-def _category_sizes(spark, sf_dir):
-    from pyspark.sql import Window
+def _members(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    s = d.groupBy(F.col("source").alias("category")).agg(
-        F.count(F.lit(1)).alias("n_uids"), F.min("doc_id").alias("cat_pos"))
-    # One row per category: the ranking window is over the (small) size table.
-    w = Window.orderBy(F.col("n_uids").desc(), F.col("cat_pos"))
-    return s.withColumn("size_rank", F.row_number().over(w))
+    return d.select(F.col("source").alias("category"), F.col("doc_id").alias("cat_pos"))
 
 
 @query("largest_category", "L03 A05", oracle="""
@@ -165,10 +161,7 @@ def _category_sizes(spark, sf_dir):
   FROM documents GROUP BY source ORDER BY n_uids DESC, cat_pos LIMIT 1
 """)
 def q_largest_category(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    s = d.groupBy(F.col("source").alias("category")).agg(
-        F.count(F.lit(1)).alias("n_uids"), F.min("doc_id").alias("cat_pos"))
-    return s.orderBy(F.col("n_uids").desc(), F.col("cat_pos")).limit(1)
+    return cat.largest_category(_members(spark, sf_dir))
 
 
 @query("limit_per_category", "W02 W03 L01 J04", oracle="""
@@ -198,27 +191,16 @@ def q_tokenize_counts(spark, sf_dir):
                     F.size(F.array_distinct(toks)).alias("n_distinct"))
 
 
-_ = WS  # the whitespace class is shared with derived.py's SQL builders
-
-
-def _spark_stop_words() -> list[str]:
-    """Spark's English stop-word list, read from the installed ML jar (no JVM)."""
-    import glob
-    import os
-    import zipfile
-
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
+#: Stop words of the query, on both sides (the operator's default is Spark's list).
+STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or",
+              "that", "the", "this", "to", "was", "were", "with"]
 
 
 def _notebook_sql() -> str:
-    import string
-    stops = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in _spark_stop_words()) + "]"
+    stops = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
     punct = string.punctuation.replace("'", "''")
     return f"""
-  WITH a AS ({annotations_sql()}),
+  WITH a AS ({annotations_sql(text_tags=True)}),
   t AS (SELECT uid, array_to_string(tags, ' ') AS tag_text FROM a WHERE len(coalesce(tags, [])) > 0),
   p AS (SELECT uid, trim(regexp_replace(translate(tag_text, '{punct}', ''), '{WS}+', ' ', 'g')) AS s FROM t),
   w AS (SELECT uid, list_filter(string_split(s, ' '), lambda x: x <> '' AND NOT list_contains({stops}, x))
@@ -228,15 +210,9 @@ def _notebook_sql() -> str:
 """
 
 
-try:
-    _NOTEBOOK_SQL = _notebook_sql()
-except Exception:  # pragma: no cover - no ML jar: rows-only check
-    _NOTEBOOK_SQL = None
-
-
-@query("notebook_descriptions", "T14 T15 F17 F18", oracle=_NOTEBOOK_SQL)
+@query("notebook_descriptions", "T14 T15 F17 F18", oracle=_notebook_sql())
 def q_notebook_descriptions(spark, sf_dir):
-    return cat.notebook_descriptions(annotations_from_documents(spark, sf_dir))
+    return cat.notebook_descriptions(annotations_from_documents(spark, sf_dir, text_tags=True), stop_words=STOP_WORDS)
 
 
 def _glb_paths(spark, sf_dir):

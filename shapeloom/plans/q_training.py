@@ -69,7 +69,7 @@ def _bce_sql(y, p):
 @query("epoch_metrics", "A06 X04 M06 P09", oracle=f"""
   WITH {_BATCH_SQL},
   r AS (SELECT epoch, batch, CAST(label % 2 AS DOUBLE) AS y,
-               1.0 / (1.0 + exp(-4.0 * CAST(embedding[1] AS DOUBLE))) AS p FROM mb),
+               1.0 / (1.0 + exp(-list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE))))) AS p FROM mb),
   bl AS (SELECT epoch, batch, avg({_bce_sql('1.0', 'p')}) AS generator_loss,
                 avg(({_bce_sql('y', 'p')} + {_bce_sql('1.0 - y', 'p')}) / 2) AS discriminator_loss
          FROM r GROUP BY epoch, batch)
@@ -80,7 +80,7 @@ def _bce_sql(y, p):
 def q_epoch_metrics(spark, sf_dir):
     b, e = _batches(spark, sf_dir)
     rows = b.join(e.select("vec_id", "label", "embedding"), "vec_id")
-    p = tr.sigmoid(F.lit(4.0) * F.element_at("embedding", 1).cast("double"))
+    p = tr.sigmoid(F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double")))
     y = (F.col("label") % 2).cast("double")
     r = rows.select("epoch", "batch", y.alias("y"), p.alias("p"))
     one = F.lit(1.0)
@@ -217,7 +217,7 @@ def q_failure_summary(spark, sf_dir):
 @query("loss_curves", "X06 X11 K09 P09", oracle=f"""
   WITH {_BATCH_SQL},
   r AS (SELECT epoch, batch, CAST(label % 2 AS DOUBLE) AS y,
-               1.0 / (1.0 + exp(-4.0 * CAST(embedding[1] AS DOUBLE))) AS p FROM mb),
+               1.0 / (1.0 + exp(-list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE))))) AS p FROM mb),
   bl AS (SELECT epoch, batch, avg({_bce_sql('1.0', 'p')}) AS generator_loss,
                 avg(({_bce_sql('y', 'p')} + {_bce_sql('1.0 - y', 'p')}) / 2) AS discriminator_loss
          FROM r GROUP BY epoch, batch),

@@ -2,7 +2,7 @@
 
 Assets: ``documents.doc_id`` numbers the synthetic assets (so the work grows
 with the table), and every ``embeddings`` label is one point cloud whose
-points are the first three coordinates of its vectors. ``embeddings`` rows
+points are its vectors, cut into threes (the last wraps to the front). ``embeddings`` rows
 also double as 4x4x4 grids of predicted values.
 """
 
@@ -85,16 +85,21 @@ def q_surface_faces(spark, sf_dir):
 
 
 def _points(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings")
-    return e.select(F.col("label").cast("string").alias("uid"), F.col("vec_id").cast("int").alias("vid"),
-                    *[F.element_at("embedding", k + 1).cast("double").alias(a)
-                      for k, a in enumerate("xyz")])
+    e = table(spark, sf_dir, "embeddings").where(F.size("embedding") > 0)
+    n = F.size("embedding")
+    cut = e.select("label", "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.ceil(n / 3).cast("int") - 1)).alias("k"))
+    return cut.select(F.col("label").cast("string").alias("uid"),
+                      (F.col("vec_id") * F.ceil(n / 3) + F.col("k")).cast("long").alias("vid"),
+                      *[F.element_at("embedding", (F.col("k") * 3 + i) % n + 1).cast("double").alias(a)
+                        for i, a in enumerate("xyz")])
 
 
 _POINTS_SQL = """
-  p AS (SELECT CAST(label AS VARCHAR) AS uid, CAST(vec_id AS INTEGER) AS vid,
-               CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y,
-               CAST(embedding[3] AS DOUBLE) AS z FROM embeddings),
+  pk AS (SELECT label, vec_id, embedding, len(embedding) AS n, (len(embedding) + 2) // 3 AS m,
+                unnest(range((len(embedding) + 2) // 3)) AS k FROM embeddings),
+  p AS (SELECT CAST(label AS VARCHAR) AS uid, CAST(vec_id * m + k AS BIGINT) AS vid,
+               CAST(embedding[(3 * k) % n + 1] AS DOUBLE) AS x, CAST(embedding[(3 * k + 1) % n + 1] AS DOUBLE) AS y,
+               CAST(embedding[(3 * k + 2) % n + 1] AS DOUBLE) AS z FROM pk),
   b AS (SELECT uid, COUNT(*) AS n_points, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y,
                max(y) AS max_y, min(z) AS min_z, max(z) AS max_z,
                greatest(max(x) - min(x), max(y) - min(y), max(z) - min(z)) AS max_extent

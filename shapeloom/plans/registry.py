@@ -32,7 +32,8 @@ def query(name: str, operators: str, oracle: str | None = None):
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the parquet scan.
 
-    Small single-row-group files are spread over the cores (see ``spread``).
+    Bench and test sessions spread single-row-group files over their cores
+    (see ``spread``).
     """
     from ..session import spread
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

@@ -12,6 +12,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+#: Set by ``local_session`` only: small scans are spread over the local cores.
+SPREAD_CONF = "spark.shapeloom.spreadScans"
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # bench and tests read one-row-group files; see ``spread``
+    SPREAD_CONF: "true",
 }
 
 
@@ -42,8 +47,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the reliable checkpoint folder, setting one only if none is named.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Locally (tests) a fresh scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` must point at shared storage and is
+    used as is; without it this raises. A local master (tests) gets a fresh
+    scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -51,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not fallback and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = fallback or tempfile.mkdtemp(prefix="shapeloom-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
@@ -67,15 +75,11 @@ def spread(df, min_partitions: int | None = None):
 
     A table stored as one Parquet row group is read by a single task, and every
     narrow operator above it (regexes, tokenising, geometry) would then run on
-    one core. When the scan has fewer partitions than the cluster has cores it
-    is spread round-robin; a large table already has far more partitions than
-    cores and is left as it is (no extra shuffle at scale).
+    one core. Sessions made by ``local_session`` (bench and tests) set
+    ``SPREAD_CONF`` and have scans spread round-robin; any other session reads
+    the scan as it is.
     """
-    try:
-        spark = df.sparkSession
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # e.g. a client session without RDD access: leave the scan as is
-        pass
-    return df
+    spark = df.sparkSession
+    if spark.conf.get(SPREAD_CONF, "false") != "true":
+        return df
+    return df.repartition(min_partitions or spark.sparkContext.defaultParallelism)

@@ -67,8 +67,14 @@ def write_history(history: DataFrame, path: str) -> str:
 
 
 def append_rows(df: DataFrame, path: str) -> str:
-    """Append-only run tables (params, metrics, artifacts, registry)."""
-    df.write.mode("append").parquet(path)
+    """Run tables (params, metrics, artifacts, registry), one folder per run.
+
+    Other runs' rows stay; writing a run again replaces its rows, so a rerun
+    or a retried job does not double them.
+    """
+    run = [c for c in ("run_id", "model_id") if c in df.columns][:1]
+    w = df.write.option("partitionOverwriteMode", "dynamic")
+    (w.mode("overwrite").partitionBy(*run) if run else w.mode("append")).parquet(path)
     return path
 
 

@@ -107,6 +107,14 @@ def test_score_prompts_and_obj_export(spark):
     assert lines[0].startswith("v ") and lines[-1].startswith("f ")
 
 
+def test_score_prompts_keeps_empty_grids_and_thresholds(spark):
+    def factory():
+        return lambda x: np.zeros((x.shape[0], 8), dtype=np.float32)
+    prompts = spark.createDataFrame([("p1", "a cube", 1, 0.25)], schemas.PROMPTS)
+    cells, _ = sc.score_prompts(prompts, factory, text_dim=8, noise_dim=4, size=2)
+    assert [(r.uid, r.x, r.y, r.z, r.value, r.threshold) for r in cells.collect()] == [("p1", 0, 0, 0, 0.0, 0.25)]
+
+
 def test_mesh_lookup_basename(spark):
     req = spark.createDataFrame([("../../a.obj",), ("b.obj",)], "filename string")
     inv = spark.createDataFrame([("a.obj",)], "filename string")

@@ -21,8 +21,8 @@ def test_run_tables_and_curves(spark):
     p = tr.params_frame(spark, "r1", {"epochs": 20, "lr": 2e-4})
     assert {r.key: r.value for r in p.collect()} == {"epochs": "20", "lr": "0.0002"}
     out = tempfile.mkdtemp(prefix="sl-runs-", dir="/tmp")
-    writers.append_rows(m, f"{out}/run_metrics")
-    writers.append_rows(m, f"{out}/run_metrics")
+    for run in ("r1", "r2", "r2"):  # the second write of r2 replaces the first
+        writers.append_rows(m.withColumn("run_id", F.lit(run)), f"{out}/run_metrics")
     assert spark.read.parquet(f"{out}/run_metrics").count() == 8
     writers.write_history(hist, f"{out}/history")
     assert spark.read.json(f"{out}/history").count() == 2
