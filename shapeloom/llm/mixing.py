@@ -125,7 +125,9 @@ class Mix:
             "_before", F.sum("drawn").over(by_shard) - F.col("drawn"))
         take = F.greatest(F.lit(0), F.least(F.col("drawn"), F.col("quota") - F.col("_before")))
         drawn = written(drawn.withColumn("take", take), folder, "drawn")
-        main = drawn.where("take > 0").select("shard", "number", F.explode(
+        # a shard's draws are few rows here and many slots below: deal them before they are expanded
+        dealt = drawn.where("take > 0").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "number")
+        main = dealt.select("shard", "number", F.explode(
             F.sequence(F.col("_before"), F.col("_before") + F.col("take") - 1)).alias("turn"))
         # slots over quota, and turns still due, both numbered and joined by number
         over = drawn.groupBy("shard").agg(F.sum(F.col("drawn") - F.col("take")).alias("n")).where("n > 0")
