@@ -40,14 +40,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group stays.
+    """One row of each near-duplicate group stays: the smallest doc_id (null last), then the least text hash.
 
-    Rows that share that doc_id (repeated rows, or near texts under one id)
-    give one row, the least by text hash and source.
+    Groups are told apart by their node, not by their name, so unlike texts
+    without doc_id or under one doc_id stay each. Rows equal in both give one.
     """
-    groups = near_dedup.near_groups(docs).where("kept and n_shingles > 0")
-    one = groups.groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("text_hash"), F.count(F.lit(1)).alias("_n"))
-    joined = _by_row(docs, one.select("doc_id", "text_hash", "_n"), "inner").select(*COLUMNS, "_n", "_text_hash")
+    groups = near_dedup.near_groups(docs).where("n_shingles > 0")
+    rows = groups.groupBy("node", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"))
+    one = rows.groupBy("node").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "_n")).alias("one"))
+    joined = _by_row(docs, one.select("one.doc_id", "one.text_hash", "one._n"), "inner").select(*COLUMNS, "_n", "_text_hash")
     single = joined.where("_n = 1")
     repeated = joined.where("_n > 1").dropDuplicates(["doc_id", "_text_hash"])
     # empty sets link with nothing: those rows stay

@@ -218,9 +218,10 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 75,
     shingles, or its whole word sequence where it has fewer words. Two
     documents are linked if 100 * |intersection| >= percent * |union|.
 
-    Returns doc_id, text_hash, n_shingles, component_id (smallest doc_id
-    reachable, itself included), kept (doc_id = component_id), one row per
-    input row. Null or wordless texts have an empty set and link with nothing;
+    Returns doc_id, text_hash, node (the component's own number, null for an
+    empty set), n_shingles, component_id (smallest doc_id reachable, itself
+    included), kept (doc_id = component_id), one row per input row. Unlike
+    texts under one doc_id can share a component_id, but no node. Null or wordless texts have an empty set and link with nothing;
     repeated rows get a row each; rows without doc_id are no component's name
     and have component_id null and kept true where only such rows are equal;
     an empty table gives no rows; other columns are not read.
@@ -300,10 +301,11 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 75,
             label = components(links.union(more))
     named = reps.select("rep", "node").join(label, "node")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(smallest, "component").select("node", "component_id")
+    of_class = named.join(smallest, "component").select("node", "component", "component_id")
     result = feats.select("doc_id", "text_hash", "n_shingles", "digest",
                           F.xxhash64("digest").alias("node"))
     result = result.join(of_class, "node", "left").join(classes, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "rep", "doc_id")).otherwise(F.col("doc_id"))
-    return result.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+    node = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node"))
+    return result.select("doc_id", "text_hash", node.alias("node"), "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

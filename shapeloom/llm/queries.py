@@ -66,7 +66,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents (see ``near_dedup.near_groups``)."""
-    return near_dedup.near_groups(documents(spark, sf_dir)).drop("text_hash")
+    return near_dedup.near_groups(documents(spark, sf_dir)).drop("text_hash", "node")
 
 
 def op4_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

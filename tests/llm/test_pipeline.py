@@ -55,3 +55,14 @@ def test_nulls_empties_repeats_and_empty_tables(spark, tmp_path):
     near = cp.dedup_near(spark, docs, SF)
     assert near.where("doc_id < 3").groupBy("doc_id").count().where("count > 1").isEmpty()
     assert cp.mix_sources(spark, docs, SF).count() == docs.count()
+
+
+def test_near_dedup_keeps_unlike_texts_under_null_or_shared_ids(spark):
+    def text(w):
+        return " ".join(f"{w}{i}" for i in range(60))
+    near = text("d") + " more"
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (7, text("c")), (7, text("d")), (8, near), (9, text("e"))]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in cp.dedup_near(spark, docs, SF).collect()]
+    want = [(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (9, text("e"))]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
