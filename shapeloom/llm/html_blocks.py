@@ -3,7 +3,7 @@
 A block is a run of text between block-level tags; inline tags don't part it.
 Each block keeps the names and class, id and role words of the elements around
 it, and how much of it is link text. Scripts, styles, templates and the head's
-title hold no blocks.
+title hold no blocks; all else does, and what is main text the labeller says.
 """
 
 from __future__ import annotations
@@ -21,10 +21,14 @@ _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img kbd mark nobr q rp rt ruby s samp small "
-                   "span strike strong sub sup time tt u var wbr".split())
+                   "span strike strong sub sup time tt u var wbr "
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle merror "
+                   "mpadded mphantom menclose mmultiscripts mprescripts semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page; it ends at their own end tag.
-RAW = frozenset("script style template noscript iframe title svg math object".split())
+#: Elements whose content is no text of the page; it ends at their own end tag. A template's
+#: content is markup: without an end tag of its own it is an element as any other.
+RAW = frozenset("script style template title".split())
+_TEMPLATE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\b|\Z)|<(/?)template\b", re.S | re.I)
 #: An open element of the first kind ends where one of the second begins.
 ENDS = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
                        "section table ul".split()),
@@ -58,6 +62,18 @@ def _marks(name: str, attributes: str) -> tuple[int, ...]:
     return tuple(out)
 
 
+def _template_ends(html: str) -> dict[int, int]:
+    """Where the end tag of each template begins, by the place of its start tag, for those that have one."""
+    ends: dict[int, int] = {}
+    begun: list[int] = []
+    for m in _TEMPLATE.finditer(html):
+        if m[2] == "":
+            begun.append(m.start())
+        elif m[2] and begun:
+            ends[begun.pop()] = m.start()
+    return ends
+
+
 def blocks(html: str) -> list[Block]:
     """The leaf blocks of a page, white space inside each turned into one space; blank ones are none."""
     out: list[Block] = []
@@ -67,6 +83,7 @@ def blocks(html: str) -> list[Block]:
     parts: list[str] = []
     in_link = linked = 0
     path: tuple[int, ...] = ()
+    templates: dict[int, int] | None = None
     at, n = 0, len(html)
 
     def flush() -> None:
@@ -107,23 +124,29 @@ def blocks(html: str) -> list[Block]:
             elif name == "a":
                 in_link = 0 if closing else 1
             continue
-        if closing or name not in RAW:
+        raw, start = name in RAW, at
+        if raw and name == "template" and not closing:
+            templates = _template_ends(html) if templates is None else templates
+            start = templates.get(m.start(), n)
+            raw = start < n
+        if closing or not raw:
             flush()
             in_link = 0
         if closing:
             if depth.get(name):
                 leave(name)
             continue
-        if name in RAW:
+        if raw:
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, start)
                 at = end.end() if end else n
             continue
         while stack and name in ENDS.get(stack[-1][0], ()):
             leave(stack[-1][0])
         if name in ENDS["p"] and depth.get("p"):
             leave("p")
-        if name in VOID:
+        # within drawings a slash ends an element
+        if name in VOID or attributes.endswith("/") and (name == "svg" or depth.get("svg")):
             continue
         marks = known.get((name, attributes))
         if marks is None:

@@ -65,3 +65,19 @@ def test_odd_markup_and_nothing(spark, weights):
     got = extract(pages).collect()
     assert len(got) == len(odd) + 2 and {r.page_id: r.text for r in got if r.page_id is not None} == dict(enumerate(texts))
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_only_scripts_styles_templates_and_titles_hold_no_blocks(weights):
+    def texts(html):
+        return [b.text for b in blocks(html)]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p>") == ["Let x=2 be."]
+    assert texts("<p>a</p><object>b<object>c</object>d</object><noscript><p>e</p></noscript><iframe>f</iframe>g") == list("abcdefg")
+    assert texts("<svg><path d='M0'/><text>a</text><title>no</title></svg><svg/><p>b</p>") == ["a", "b"]
+    for name in ("math", "object", "svg", "noscript", "iframe", "template"):
+        assert texts(f"<{name}><p>a</p><p>b</p>") == ["a", "b"]
+    assert texts("<p>a</p><template>no<template>no</template>no<!--</template>--></template><p>b</p>") == ["a", "b"]
+    assert texts("<template/><p>a</p><template><p>b</p><template>no</template>") == ["a", "b"]
+    page = PAGE.replace("<p>Second", "<noscript><p>This paragraph of the article stands in another element.</p></noscript><p>Second")
+    assert "This paragraph of the article stands in another element." in main_text([page], weights)[0].split("\n")
+    began = time.time()
+    assert len(blocks("<template>a" * 20_000)) == 20_000 and time.time() - began < 20
