@@ -15,10 +15,12 @@ from html import unescape
 
 import numpy as np
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+# a quote opens a value only directly after '='; anywhere else it is a character of the tag
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)|=)*+)>"
                   r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_DIGIT = re.compile(r"\d")
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img kbd mark nobr q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr "
@@ -172,7 +174,7 @@ def vectors(page: list[Block]) -> np.ndarray:
         word_rows.append(len(words))
         size = len(b.text)
         x[k, PATH + WORDS:] = (b.link, np.log1p(size) / 6, min(1.0, len(words) / 40), b.text[-1] in ".!?:;…»”\"", k / n,
-                               (n - 1 - k) / n, sum(c.isdigit() for c in b.text[:40]) / min(size, 40), b.text[0].isupper())
+                               (n - 1 - k) / n, len(_DIGIT.findall(b.text)) / size, b.text[0].isupper())
     x[rows, cols] = 1.0
     code = np.array(word_cols, dtype=np.int64)
     sign = np.where(code >> 31 & 1, 1.0, -1.0)

@@ -5,7 +5,7 @@ from html import unescape
 import numpy as np
 import pytest
 
-from shapeloom.llm.html_blocks import blocks
+from shapeloom.llm.html_blocks import Block, blocks, vectors
 from shapeloom.llm.html_extract import extract, main_text
 from shapeloom.llm.html_model import made_pages, probabilities, trained
 
@@ -81,3 +81,14 @@ def test_only_scripts_styles_templates_and_titles_hold_no_blocks(weights):
     assert "This paragraph of the article stands in another element." in main_text([page], weights)[0].split("\n")
     began = time.time()
     assert len(blocks("<template>a" * 20_000)) == 20_000 and time.time() - began < 20
+
+
+def test_quotes_outside_values_and_digits_of_the_whole_block():
+    def texts(html):
+        return [b.text for b in blocks(html)]
+    assert texts("<p title=it's>First we don't know.</p><p>Second</p>") == ["First we don't know.", "Second"]
+    assert texts("<p it's>we don't</p><p 5\" x>a \"b\"</p><a href=/?q=\"x>c</a> \"d\"") == ["we don't", 'a "b"', 'c "d"']
+    assert texts("<p title = 'a > b' id=\"c>d\">e</p>") == ["e"]
+    assert texts("<p title='never closed>a</p><p>b</p>") == ["a", "b"]
+    early, late = (vectors([Block(t, (), 0.0)])[0] for t in ("1" * 40 + "a" * 60, "a" * 60 + "1" * 40))
+    assert early[-2] == late[-2] == np.float32(0.4)
