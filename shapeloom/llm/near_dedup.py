@@ -222,18 +222,18 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 75,
     empty set), n_shingles, component_id (smallest doc_id reachable, itself
     included), kept (doc_id = component_id), one row per input row. Unlike
     texts under one doc_id can share a component_id, but no node. Null or wordless texts have an empty set and link with nothing;
-    repeated rows get a row each; rows without doc_id are no component's name
-    and have component_id null and kept true where only such rows are equal;
-    an empty table gives no rows; other columns are not read.
+    repeated rows get a row each; rows without doc_id are linked as any other
+    but are no component's name: they are not kept where their component has a
+    named row, else their component_id is null and kept is true; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     folder = run_dir(spark, "near")
     feats = written(features(docs, width, doc_col, text_col), folder, "features")
     filled = feats.where("n_shingles > 0")
-    classes = written(filled.groupBy("digest").agg(F.min("doc_id").alias("rep")).where("rep is not null"),
-                      folder, "classes")
-    # one row of each class brings its bands and signature; node numbers the class
-    one = filled.join(classes.select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"], "left_semi")
+    classes = written(filled.groupBy("digest").agg(F.min("doc_id").alias("rep")), folder, "classes")
+    # one row of each class brings its bands and signature; node numbers the class, rep is null if no row has an id
+    lead = classes.select(F.col("digest").alias("_digest"), "rep")
+    one = filled.join(lead, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
     reps = written(one.dropDuplicates(["digest"]).select(
         F.col("doc_id").alias("rep"), F.xxhash64("digest").alias("node"), "text_hash", "bands", "sig"),
         folder, "reps")
@@ -244,8 +244,9 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 75,
     nodes = written(buckets.select("node").distinct(), folder, "nodes")
     texts = docs.select(F.xxhash64(text_col).alias("text_hash"), F.col(doc_col).cast("long").alias("rep"),
                         F.col(text_col).cast("string").alias("text"))
-    wanted = reps.join(nodes, "node", "left_semi").select("rep", "text_hash", "node")
-    involved = texts.join(wanted, ["rep", "text_hash"]).dropDuplicates(["node"]).select("node", "text")
+    wanted = reps.join(nodes, "node", "left_semi").select(F.col("rep").alias("_rep"), F.col("text_hash").alias("_hash"), "node")
+    same = F.col("rep").eqNullSafe(F.col("_rep")) & (F.col("text_hash") == F.col("_hash"))
+    involved = texts.join(wanted, same).dropDuplicates(["node"]).select("node", "text")
     sets = written(full_sets(involved, width), folder, "sets")
     sigs = written(reps.join(nodes, "node", "left_semi").select("node", "sig", "bands"), folder, "sigs")
 
@@ -308,4 +309,4 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 75,
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "rep", "doc_id")).otherwise(F.col("doc_id"))
     node = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node"))
     return result.select("doc_id", "text_hash", node.alias("node"), "n_shingles", component.alias("component_id"),
-                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                         F.col("doc_id").eqNullSafe(component).alias("kept"))

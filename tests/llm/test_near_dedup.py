@@ -73,6 +73,16 @@ def test_nulls_empties_ties_and_extra_columns(spark):
     assert near_groups(docs.limit(0)).count() == 0
 
 
+def test_rows_without_id_are_linked(spark):
+    def text(w, *more):
+        return " ".join([*(f"{w}{i}" for i in range(60)), *more])
+    rows = [(1, text("a")), (None, text("a")), (None, text("a", "near")), (2, text("b")), (None, text("c")), (None, text("c", "near")),
+            (None, text("d", "x", "y")), (5, text("d", "x", "y", "z", "v")), (4, text("d"))]
+    got = [(r.doc_id, r.component_id, r.kept) for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=repr) == sorted([(1, 1, True), (None, 1, False), (None, 1, False), (2, 2, True), (None, None, True),
+                                            (None, None, True), (None, 4, False), (5, 4, False), (4, 4, True)], key=repr)
+
+
 @pytest.mark.parametrize("n", [2, 30])
 def test_components_of_a_path(spark, n):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 100), (200, 201)], "a long, b long")
