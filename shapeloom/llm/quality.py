@@ -83,22 +83,28 @@ def fit_ordinal(features: np.ndarray, bounds: np.ndarray, grades: np.ndarray, n_
                 l2: float = 5.0, min_rows: int = 15, steps: int = 150, rate: float = 0.03) -> OrdinalModel:
     """Maximum likelihood by full-batch Adam; thresholds stay ordered by construction.
 
-    A feature seen in fewer than ``min_rows`` rows keeps weight 0. The few
-    weights of the binned statistics are not shrunk.
+    A feature seen in fewer than ``min_rows`` rows has a weight if the grades
+    of its rows are evidence by themselves: if their sum lies further from the
+    mean grade's than the largest of that many features would by chance,
+    sqrt(2 log features) standard errors. Others keep weight 0. The few weights
+    of the binned statistics are not shrunk from ``min_rows`` rows on.
     """
     n = len(grades)
     weights = np.zeros(SIZE, dtype=np.float64)
     if not n:
         return OrdinalModel(weights, np.zeros(n_grades - 1), known=False)
     seen = np.bincount(features, minlength=SIZE)
-    used = np.flatnonzero(seen >= min_rows)
+    off = np.bincount(features, weights=np.repeat(grades - grades.mean(), np.diff(bounds)), minlength=SIZE)
+    spread = np.sqrt(np.maximum(seen * grades.var(), 1e-12))
+    evident = np.abs(off) / spread > np.sqrt(2 * np.log(max(np.count_nonzero(seen), 2)))
+    used = np.flatnonzero((seen >= min_rows) | evident)
     number = np.full(SIZE, -1, dtype=np.int32)
     number[used] = np.arange(len(used), dtype=np.int32)
     rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
     cols = number[features]
     rows, cols = rows[cols >= 0], cols[cols >= 0]
     w = np.zeros(len(used))
-    shrink = np.where(used < BUCKETS, l2 / n, 0.0)
+    shrink = np.where((used < BUCKETS) | (seen[used] < min_rows), l2 / n, 0.0)
     pace = rate * np.concatenate([np.where(used < BUCKETS, 1.0, 10.0), np.full(n_grades - 1, 3.0)])
     # thresholds: the first, then logs of the gaps; from the smoothed shares
     share = np.array([(np.sum(grades < k) + 1) / (n + 2) for k in range(1, n_grades)])

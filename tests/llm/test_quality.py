@@ -42,6 +42,15 @@ def test_fit_orders_grades():
     assert (np.diff(tails, axis=1) <= 0).all() and list(tails[:, -1] >= 0.5) == [False, False, True]
 
 
+def test_rare_words_of_one_grade_have_weights():
+    # word 5 is in three toxic rows and nowhere else, word 6 in one good row; word 7 is in all
+    grades = np.array([0] * 30 + [2] * 70)
+    rows = [[7] + [5] * (i < 3) + [6] * (i == 99) for i in range(100)]
+    bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    w = fit_ordinal(np.concatenate(rows), bounds, grades).weights
+    assert w[5] < -0.2 and not w[6] and not w[8]
+
+
 def test_nulls_empties_ties_extra_columns(spark):
     rows = [(1, None, 1, 2), (2, "", 1, 2), (3, "fine words", 1, 2), (3, "fine words", 1, 2), (None, "fine words", 1, 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, grade int, kept int")
