@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontaminate, fingerprint, html_extract, line_dedup, mixing, near_dedup, quality, substring_dedup,
-               url_filter, warc)
+               url_filter, warc, whitening)
 from .storage import documents, table
 
 
@@ -147,6 +147,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels"))).drop("text_hash")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding whitened on the four leading components (see ``whitening.whiten``)."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": Query(op1_line_dedup, OP1_SQL),
     "op2_mix_sources": Query(op2_mix_sources),
@@ -158,4 +163,5 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": Query(op8_url_filter, OP8_SQL),
     "op9_block_labeller": Query(op9_block_labeller),
     "op10_quality_classifier": Query(op10_quality_classifier),
+    "op13_embedding_whitening": Query(op13_embedding_whitening),
 }
