@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, fingerprint, html_extract, line_dedup, mixing, near_dedup, quality, substring_dedup,
-               url_filter, warc, whitening)
+from . import (bpe, decontaminate, fingerprint, html_extract, line_dedup, mixing, near_dedup, quality,
+               substring_dedup, url_filter, warc, whitening)
 from .storage import documents, table
 
 
@@ -147,6 +147,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels"))).drop("text_hash")
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by a public vocabulary, and its text decoded from them (see ``bpe.round_trip``)."""
+    import public_tokenizers
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding whitened on the four leading components (see ``whitening.whiten``)."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -163,5 +170,6 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": Query(op8_url_filter, OP8_SQL),
     "op9_block_labeller": Query(op9_block_labeller),
     "op10_quality_classifier": Query(op10_quality_classifier),
+    "op12_byte_bpe": Query(op12_byte_bpe),
     "op13_embedding_whitening": Query(op13_embedding_whitening),
 }
