@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, fingerprint, html_extract, line_dedup, mixing, near_dedup, quality,
-               substring_dedup, url_filter, warc, whitening)
+from . import (bpe, decontaminate, fingerprint, html_extract, line_dedup, mixing, near_dedup,
+               prefix_trie, quality, substring_dedup, url_filter, warc, whitening)
 from .storage import documents, table
 
 
@@ -147,6 +147,59 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels"))).drop("text_hash")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations (see ``prefix_trie.trie``)."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations")).drop("a", "b")
+
+
+OP11_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+           sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten([[ord(c)::UBIGINT] || [999::UBIGINT FOR i IN range(8)]
+                                                             FOR c IN string_split(conv_id::VARCHAR, '')])),
+           lambda crc, step: CASE WHEN step < 256 THEN xor(crc, step)
+             ELSE xor(crc >> 1, CASE WHEN crc & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END) END),
+             4294967295::UBIGINT)::BIGINT % 9 AS h
+  FROM turns GROUP BY conv_id
+), ids AS (
+  SELECT *, dense_rank() OVER (ORDER BY role, text) AS id, octet_length(encode(text)) AS size FROM turns
+), rebuilt AS (
+  SELECT c.conv_id, t.pos AS d, t.id, t.size FROM convs c JOIN ids t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)), t.id, t.size
+  FROM convs c JOIN ids t ON t.conv_id = c.conv_id AND t.pos > c.h LEFT JOIN convs b ON b.conv_id = c.base
+), paths AS (
+  SELECT c.conv_id, coalesce(list(r.id ORDER BY r.d) FILTER (WHERE r.id IS NOT NULL), []) AS path,
+         coalesce(list(r.size ORDER BY r.d) FILTER (WHERE r.id IS NOT NULL), []) AS sizes
+  FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+), prefixes AS (
+  SELECT conv_id, len(path) AS l, d, path[1:d] AS key, CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS size
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT d AS depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, min(size) AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE l = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, key
+), children AS (
+  SELECT key[1:depth - 1] AS key, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), counted AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.key = n.key AND c.depth = n.depth
+), below AS (
+  SELECT key[1:up] AS key, up AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM counted) GROUP BY 1, 2
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens,
+       n.ends_sha256
+FROM counted n JOIN below b ON b.key = n.key AND b.depth = n.depth
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.key = n.key[1:n.depth - 1]
+"""
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens by a public vocabulary, and its text decoded from them (see ``bpe.round_trip``)."""
     import public_tokenizers
@@ -170,6 +223,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": Query(op8_url_filter, OP8_SQL),
     "op9_block_labeller": Query(op9_block_labeller),
     "op10_quality_classifier": Query(op10_quality_classifier),
+    "op11_prefix_trie": Query(op11_prefix_trie, OP11_SQL),
     "op12_byte_bpe": Query(op12_byte_bpe),
     "op13_embedding_whitening": Query(op13_embedding_whitening),
 }
