@@ -20,7 +20,7 @@ class Query:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document less its later repeated runs of two or more lines."""
+    """Every document less its later repeated lines: runs of one line count."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     kept = line_dedup.dedup_lines(docs)
     return kept.select("doc_id", F.col("_removed").cast("long").alias("n_removed"),
@@ -35,15 +35,10 @@ WITH lines AS (
   SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM lines
 ), numbered AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS k FROM trimmed WHERE key <> ''
-), windows AS (
-  SELECT a.doc_id, a.k, a.key || chr(10) || b.key AS w
-  FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND b.k = a.k + 1
-), later AS (
+), gone AS (
   SELECT doc_id, k FROM (
-    SELECT doc_id, k, row_number() OVER (PARTITION BY w ORDER BY doc_id, k) AS occurrence FROM windows)
+    SELECT doc_id, k, row_number() OVER (PARTITION BY key ORDER BY doc_id, k) AS occurrence FROM numbered)
   WHERE occurrence > 1
-), gone AS (
-  SELECT doc_id, k FROM later UNION SELECT doc_id, k + 1 FROM later
 ), marked AS (
   SELECT t.doc_id, t.place, t.line, g.k IS NOT NULL AS removed
   FROM trimmed t LEFT JOIN numbered n ON n.doc_id = t.doc_id AND n.place = t.place

@@ -31,7 +31,7 @@ def test_stages_equal_brute_force(spark):
     bad = [d for d, r in labels.items() if r.toxic == 1 or r.quality == 0]
     assert sum(d in kept for d in bad) < 0.2 * len(bad)
 
-    want = {(d, t) for d, t, n in test_line_dedup.brute(rows[0], 2) if not n or re.search(r"[^\x20\x09-\x0D]", t)}
+    want = {(d, t) for d, t, n in test_line_dedup.brute(rows[0], 1) if not n or re.search(r"[^\x20\x09-\x0D]", t)}
     assert set(rows[1]) == want
     groups = test_near_dedup.brute(rows[1])
     assert set(rows[2]) == {(d, t) for d, t in rows[1] if groups[d][1] == d}
