@@ -14,7 +14,9 @@ crosses pieces, as in the tokenizer libraries.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import sha256
 from itertools import chain
@@ -29,15 +31,21 @@ from pyspark.sql import functions as F
 WINDOW = 1 << 16
 #: A piece can depend on so many characters after its end (white space before a word, ``'re``).
 MARGIN = 3
-#: Pieces and boundaries remembered by a worker, and the longest piece remembered.
-REMEMBERED, LONGEST = 400_000, 48
+#: Texts and boundaries remembered by a worker, about, and the longest text remembered.
+REMEMBERED, LONGEST = 250_000, 48
 _NEVER = 1 << 62
+_JOINT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Vocabulary:
-    """Tokens by rank; a token's id is its rank. Every single byte must be a token."""
+    """Tokens by rank; a token's id is its rank. Every single byte must be a token.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    ``space_starts`` says of the pattern that a space between two characters
+    that aren't white space always starts a piece, whatever stands around
+    them. Text can then be cut there before the pattern is matched.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, space_starts: bool = False):
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every single byte must be a token")
         self.ranks = ranks
@@ -45,12 +53,14 @@ class Vocabulary:
         self.names = {i: str(i) for i in self.tokens}
         self.longest = max(map(len, ranks))
         self.pattern = regex.compile(pattern)
+        self.space_starts = space_starts
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._spines: dict[int, tuple[list, list, bool]] = {}
-        self._boundary: dict[int, bool] = {}
+        self._boundary: defaultdict[int, dict[int, bool]] = defaultdict(dict)  # by right token, then left
+        self._boundaries = 0
         self._automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            if self.merged(token) == [rank]:  # a token that no merges lead to stands only for itself
+            if self.merged(token) == [rank]:  # a token that no merges lead to stands only for a whole piece
                 self._automaton.add_word(token.decode("latin-1"), (rank, len(token)))
         self._automaton.make_automaton()
 
@@ -95,8 +105,7 @@ class Vocabulary:
         of the left end (which stands further left, so wins ties) and not
         above the next one of the right end.
         """
-        key = left << 32 | right
-        known = self._boundary.get(key)
+        known = self._boundary[right].get(left)
         if known is not None:
             return known
         _, facing, rising = self._edges(left)
@@ -119,9 +128,11 @@ class Vocabulary:
                     j += 1
         else:  # ranks out of order: by the definition
             known = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
-        if len(self._boundary) >= 2 * REMEMBERED:
+        if self._boundaries >= 4 * REMEMBERED:
             self._boundary.clear()
-        self._boundary[key] = known
+            self._boundaries = 0
+        self._boundary[right][left] = known
+        self._boundaries += 1
         return known
 
     def extend(self, data: bytes, last: list[int], agrees=None) -> None:
@@ -131,16 +142,19 @@ class Vocabulary:
         early: it is asked after each entry.
         """
         done = len(last) - 1
-        start = max(0, done - self.longest + 1)
+        before = max(0, done - self.longest + 1)
         boundary = self._boundary
-        for end, (token, length) in self._automaton.iter(data[start:].decode("latin-1") if start else data.decode("latin-1")):
-            end += start
+        for end, (token, length) in self._automaton.iter(data[before:].decode("latin-1")):
+            end += before
             if end < done:
-                continue  # a known prefix, or a shorter token of one just found
-            j = end + 1 - length
-            if j:
-                parted = boundary.get(last[j] << 32 | token)
-                if not (self.parted(last[j], token) if parted is None else parted):
+                continue  # a known prefix, or a shorter token than the one found
+            start = end + 1 - length
+            if start:
+                left = last[start]
+                parted = boundary[token].get(left)
+                if parted is None:
+                    parted = self.parted(left, token)
+                if not parted:
                     continue
             last.append(token)
             done += 1
@@ -154,14 +168,14 @@ class Vocabulary:
             i -= len(self.tokens[last[i]])
         return out[::-1]
 
-    def encode_piece(self, piece: str) -> list[int]:
+    def encode_piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8")
         whole = self.ranks.get(data)
         if whole is not None:
-            return [whole]
+            return (whole,)
         last = [-1]
         self.extend(data, last)
-        return self.tokens_of(data, last)
+        return tuple(self.tokens_of(data, last))
 
     def pieces(self, text: str, start: int = 0) -> Iterator[list[str]]:
         """The pieces of text[start:], some at a time: windows are cut where a piece no longer depends on what follows."""
@@ -185,25 +199,63 @@ class Vocabulary:
         return b"".join([tokens[i] for i in ids])
 
 
-class Remembering(dict):
-    """piece -> its tokens, for pieces of common length; emptied when full."""
+def segments(text: str) -> Iterator[list[str]]:
+    """``text`` cut before each space that stands between two characters that aren't white space, some at a time."""
+    at, width = 0, WINDOW
+    while at < len(text):
+        window = text[at:at + width]
+        parts = window.split(" ")
+        if "  " in window or window[-1] == " " or " ".join(map(str.strip, parts)) != window:
+            parts = _JOINT.split(window)
+        used = len(window)
+        if at + width < len(text):  # what follows the window may belong to the last part
+            used -= len(parts.pop()) + 1
+        if used > 0:
+            yield [parts[0], *[f" {p}" for p in parts[1:]]]
+            at, width = at + used, WINDOW
+        else:
+            width *= 2
+
+
+class Recent(dict):
+    """key -> made(key) for the keys asked for of late.
+
+    What was not asked for while REMEMBERED other keys came in is forgotten.
+    """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, made):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.made, self.older = made, {}
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.vocabulary.encode_piece(piece)
-        if len(piece) <= LONGEST:
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        value = self.older.get(key)
+        if value is None:
+            value = self.made(key)
+        if len(key) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[key] = value
+        return value
+
+
+class Remembering:
+    """A vocabulary with the tokens of recent pieces and segments."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.pieces = Recent(vocabulary.encode_piece)
+        self.segments = Recent(self._segment)
+
+    def _segment(self, segment: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, chain.from_iterable(self.vocabulary.pieces(segment)))))
 
     def windows(self, text: str) -> Iterator[list[int]]:
         """The text's tokens, a window at a time."""
-        for found in self.vocabulary.pieces(text):
-            yield list(chain.from_iterable(map(self.__getitem__, found)))
+        cut, known = ((segments(text), self.segments) if self.vocabulary.space_starts
+                      else (self.vocabulary.pieces(text), self.pieces))
+        for found in cut:
+            yield list(chain.from_iterable(map(known.__getitem__, found)))
 
 
 class Piece:
@@ -304,27 +356,27 @@ _loaded: dict[str, Remembering] = {}
 
 
 class Tokenizer:
-    """A rank file (under ``path`` on the driver) and its pattern, usable in every task.
+    """A rank file (under ``path`` on the driver) and its pattern, usable in every task (see ``Vocabulary``).
 
     The file's bytes are broadcast: their size is the vocabulary's, whatever
     the input. A worker builds its tables once.
     """
 
-    def __init__(self, spark, path: str, pattern: str):
+    def __init__(self, spark, path: str, pattern: str, space_starts: bool = False):
         with open(path, "rb") as f:
             raw = f.read()
         self._held = spark.sparkContext.broadcast(raw)
-        self._pattern = pattern
-        self._key = sha256(raw + pattern.encode()).hexdigest()
+        self._split = (pattern, space_starts)
+        self._key = sha256(raw + repr(self._split).encode()).hexdigest()
 
     def here(self) -> Remembering:
         """The tables of this process."""
         if self._key not in _loaded:
-            _loaded[self._key] = Remembering(Vocabulary(read_ranks(self._held.value), self._pattern))
+            _loaded[self._key] = Remembering(Vocabulary(read_ranks(self._held.value), *self._split))
         return _loaded[self._key]
 
     def __getstate__(self):
-        return {"_held": self._held, "_pattern": self._pattern, "_key": self._key}
+        return {"_held": self._held, "_split": self._split, "_key": self._key}
 
 
 def _texts(column: pa.Array) -> Iterator[str]:

@@ -198,7 +198,8 @@ LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.key = n.key[1:n
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens by a public vocabulary, and its text decoded from them (see ``bpe.round_trip``)."""
     import public_tokenizers
-    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                              space_starts=True)
     return bpe.round_trip(documents(spark, sf_dir), tokenizer)
 
 

@@ -16,10 +16,10 @@ BITS = ["a", "b", "e", "th", "in", "the", " ", "  ", "\n", "é", "你", "'", "'r
         "😀", "ß", "А", "ال", " ", "\x1c", "<|endoftext|>"]
 
 
-@pytest.fixture(scope="module")
-def vocabulary():
+@pytest.fixture(scope="module", params=[False, True], ids=["pattern", "segments"])
+def vocabulary(request):
     with open(FILE, "rb") as f:
-        return bpe.Vocabulary(bpe.read_ranks(f.read()), public_tokenizers.PATTERN)
+        return bpe.Vocabulary(bpe.read_ranks(f.read()), public_tokenizers.PATTERN, request.param)
 
 
 @pytest.fixture(scope="module")
@@ -66,7 +66,7 @@ def test_ranks_out_of_order_and_unreachable_tokens():
     own = bpe.Vocabulary(ranks, r"\S+|\s+")
     theirs = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(3)
-    assert own.encode_piece("xyz") == [500] and len(own.encode_piece("xyza")) == 4
+    assert own.encode_piece("xyz") == (500,) and len(own.encode_piece("xyza")) == 4
     for _ in range(3000):
         text = "".join(rng.choice("abcdxyz ") for _ in range(rng.randint(0, 12)))
         assert whole(own, text) == theirs.encode_ordinary(text), text
@@ -89,6 +89,21 @@ def test_windows_split_as_the_whole_text(vocabulary, monkeypatch):
         assert [p for found in vocabulary.pieces(text) for p in found] == vocabulary.pattern.findall(text)
 
 
+def test_a_space_between_solid_characters_starts_a_piece(vocabulary, monkeypatch):
+    """What ``space_starts`` promises of this pattern."""
+    rng = random.Random(8)
+    monkeypatch.setattr(bpe, "WINDOW", 9)
+    spaces = [chr(c) for c in range(0x110000) if vocabulary.pattern.fullmatch("a" + chr(c) + "a") is None and chr(c).isspace()]
+    for c in range(0x3100):
+        if vocabulary.pattern.findall(f"a{chr(c)} ") == ["a", f"{chr(c)} "]:
+            assert chr(c).isspace()  # the pattern's white space is Python's
+    for _ in range(1500):
+        text = "".join(rng.choice(BITS + spaces[:3]) for _ in range(rng.randint(0, 50)))
+        cut = [s for found in bpe.segments(text) for s in found]
+        assert "".join(cut) == text
+        assert [p for s in cut for p in vocabulary.pattern.findall(s)] == vocabulary.pattern.findall(text), text
+
+
 def test_appends_and_edits(vocabulary, library):
     rng = random.Random(5)
     for _ in range(150):
@@ -115,7 +130,10 @@ def test_an_edit_in_a_long_piece_keeps_both_ends(vocabulary):
     assert new.recomputed < 500 and new.last == bpe.Piece(vocabulary, new.text).last
 
 
-def test_query_equals_library(spark, library):
+def test_query_equals_library(spark):
+    with open(FILE, "rb") as f:
+        library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(f.read()), special_tokens={})
+
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = {r.doc_id: r for r in QUERIES["op12_byte_bpe"].build(spark, SF).collect()}
     assert len(got) == len(rows)
@@ -126,8 +144,10 @@ def test_query_equals_library(spark, library):
             len(ids), sha256(",".join(map(str, ids)).encode()).hexdigest(), sha256((r.text or "").encode()).hexdigest())
 
 
-def test_nulls_repeats_extra_columns_and_empty_tables(spark, library):
-    tokenizer = bpe.Tokenizer(spark, FILE, public_tokenizers.PATTERN)
+def test_nulls_repeats_extra_columns_and_empty_tables(spark):
+    with open(FILE, "rb") as f:
+        library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(f.read()), special_tokens={})
+    tokenizer = bpe.Tokenizer(spark, FILE, public_tokenizers.PATTERN, space_starts=True)
     schema = "doc_id long, text string, ids string, data int"
     long = "thein " * 60_000 + "x" * 50_000
     rows = [(1, "a text", "x", 1), (1, "a text", "x", 1), (None, None, None, None), (2, "", "", 0), (3, long, "", 0)]
