@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import hashing as h
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 21
 #: Upper bounds of the bins of each statistic, a share of bytes or words.
 BINS = np.array([0.002, 0.01, 0.03, 0.08, 0.2, 0.4, 0.7])
 STATS = 4
@@ -79,32 +79,43 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(-z)) if self.known else np.ones(z.shape)
 
 
+#: Shrinkages that an inner fold chooses from; every how many-th row is in that fold.
+SHRINKAGES, INNER = (2.0, 0.5, 0.1), 4
+
+
+def evident_features(features: np.ndarray, bounds: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """The features that get a weight: all statistics' bins, and words whose rows' grades are evidence.
+
+    One rule for frequent and rare words: the sum of a word's rows' grades lies
+    further from the mean grade's than the largest of so many words would by
+    chance, sqrt(2 log words) standard errors.
+    """
+    seen = np.bincount(features, minlength=SIZE)
+    off = np.bincount(features, weights=np.repeat(grades - grades.mean(), np.diff(bounds)), minlength=SIZE)
+    spread = np.sqrt(np.maximum(seen * grades.var(), 1e-12))
+    evident = np.abs(off) / spread > np.sqrt(2 * np.log(max(np.count_nonzero(seen), 2)))
+    evident[BUCKETS:] = seen[BUCKETS:] > 0
+    return np.flatnonzero(evident)
+
+
 def fit_ordinal(features: np.ndarray, bounds: np.ndarray, grades: np.ndarray, n_grades: int = 3,
-                l2: float = 5.0, min_rows: int = 15, steps: int = 150, rate: float = 0.03) -> OrdinalModel:
+                l2: float = 0.1, steps: int = 150, rate: float = 0.03) -> OrdinalModel:
     """Maximum likelihood by full-batch Adam; thresholds stay ordered by construction.
 
-    A feature seen in fewer than ``min_rows`` rows has a weight if the grades
-    of its rows are evidence by themselves: if their sum lies further from the
-    mean grade's than the largest of that many features would by chance,
-    sqrt(2 log features) standard errors. Others keep weight 0. The few weights
-    of the binned statistics are not shrunk from ``min_rows`` rows on.
+    Words are shrunk by ``l2``, the few bins of the statistics by 1.
     """
     n = len(grades)
     weights = np.zeros(SIZE, dtype=np.float64)
     if not n:
         return OrdinalModel(weights, np.zeros(n_grades - 1), known=False)
-    seen = np.bincount(features, minlength=SIZE)
-    off = np.bincount(features, weights=np.repeat(grades - grades.mean(), np.diff(bounds)), minlength=SIZE)
-    spread = np.sqrt(np.maximum(seen * grades.var(), 1e-12))
-    evident = np.abs(off) / spread > np.sqrt(2 * np.log(max(np.count_nonzero(seen), 2)))
-    used = np.flatnonzero((seen >= min_rows) | evident)
+    used = evident_features(features, bounds, grades)
     number = np.full(SIZE, -1, dtype=np.int32)
     number[used] = np.arange(len(used), dtype=np.int32)
     rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
     cols = number[features]
     rows, cols = rows[cols >= 0], cols[cols >= 0]
     w = np.zeros(len(used))
-    shrink = np.where((used < BUCKETS) | (seen[used] < min_rows), l2 / n, 0.0)
+    shrink = np.where(used < BUCKETS, l2, 1.0) / n
     pace = rate * np.concatenate([np.where(used < BUCKETS, 1.0, 10.0), np.full(n_grades - 1, 3.0)])
     # thresholds: the first, then logs of the gaps; from the smoothed shares
     share = np.array([(np.sum(grades < k) + 1) / (n + 2) for k in range(1, n_grades)])
@@ -138,6 +149,28 @@ def fit_ordinal(features: np.ndarray, bounds: np.ndarray, grades: np.ndarray, n_
     return OrdinalModel(weights, np.cumsum(np.concatenate([theta[:1], np.exp(theta[1:])])))
 
 
+def log_loss(model: OrdinalModel, features: np.ndarray, bounds: np.ndarray, grades: np.ndarray) -> float:
+    """Mean negative log likelihood of the grades."""
+    total = np.concatenate([[0.0], np.cumsum(model.weights[features])])
+    tails = model.tails(total[bounds[1:]] - total[bounds[:-1]])
+    full = np.concatenate([np.ones((len(grades), 1)), tails, np.zeros((len(grades), 1))], axis=1)
+    at = np.arange(len(grades))
+    return float(-np.log(np.maximum(full[at, grades] - full[at, grades + 1], 1e-12)).mean())
+
+
+def fit_chosen(features: np.ndarray, bounds: np.ndarray, grades: np.ndarray) -> OrdinalModel:
+    """``fit_ordinal`` with the shrinkage under which every INNER-th row is likeliest, held out from the others."""
+    inner = np.arange(len(grades)) % INNER == 0
+    if inner.all() or not inner.any():
+        return fit_ordinal(features, bounds, grades)
+    parts = []
+    for rows in (~inner, inner):
+        sizes = np.diff(bounds)
+        parts.append((features[np.repeat(rows, sizes)], np.concatenate([[0], np.cumsum(sizes[rows])]), grades[rows]))
+    losses = [log_loss(fit_ordinal(*parts[0], l2=l2), *parts[1]) for l2 in SHRINKAGES]
+    return fit_ordinal(features, bounds, grades, l2=SHRINKAGES[int(np.argmin(losses))])
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """(doc_id, grade): toxic 0, low quality 1, good 2; a document rated twice keeps its lower grade."""
     grade = (F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2))
@@ -163,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
     lists = got.column("features")
     sizes = np.array([0, *np.cumsum(lists.combine_chunks().value_lengths().to_numpy())]) if len(grades) else np.zeros(1, int)
     values = lists.combine_chunks().flatten().to_numpy() if len(grades) else np.zeros(0, dtype=np.int32)
-    return fit_ordinal(values.astype(np.int64), sizes, grades)
+    return fit_chosen(values.astype(np.int64), sizes, grades)
 
 
 def classify(docs: DataFrame, model: OrdinalModel, min_tail: float = 0.5,
