@@ -16,14 +16,13 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from . import hashing as h
-from .storage import run_dir, written
+from .ranges import ranges_of
+from .storage import run_dir
 
 #: Fixed parameters: bytes of a chunk, and hash bits that must be zero up to and after the normal size.
 LEAST, NORMAL, GREATEST = 32, 128, 512
@@ -112,9 +111,10 @@ def fingerprint_edits(docs: DataFrame, range_bytes: int = 16 << 20, doc_col: str
     last the first. near_* is the containment of the document's fingerprint in
     the edited text's and in the next document's.
 
-    Documents are dealt out once, by ranges of doc_id of about
-    ``range_bytes``; each range's first document goes to the range before as
-    well, so a task has every next text and holds two documents at a time.
+    Documents are dealt out once, by ranges of about ``range_bytes`` in the
+    order of doc_id, a task for each; each range's first document goes to the
+    range before as well, so a task has every next text and holds two
+    documents at a time.
 
     A null text is empty; rows without doc_id come first; rows that share a
     doc_id are ordered by text hash, and equal rows follow one another; a
@@ -125,29 +125,15 @@ def fingerprint_edits(docs: DataFrame, range_bytes: int = 16 << 20, doc_col: str
     folder = run_dir(spark, "chunks")
     rows = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, int(total // range_bytes))
-    # split places only: a range more or less full changes no result
-    shares = [k / parts for k in range(1, parts)]
-    bounds = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * parts))).first()[0] if shares else []
-    held = spark.sparkContext.broadcast(np.unique(np.array(bounds or [], dtype=np.int64)))
-
-    @F.pandas_udf(IntegerType())
-    def range_of(ids: pd.Series) -> pd.Series:
-        place = np.searchsorted(held.value, ids.fillna(np.iinfo(np.int64).min).astype(np.int64), side="right")
-        return pd.Series(place.astype(np.int32))
-
-    # nulls apart: as floats, ids beyond 2**53 would lose digits
-    ranged = rows.withColumn("range", range_of(F.coalesce("doc_id", F.lit(-2 ** 63))))
-    heads = ranged.groupBy("range").agg(F.min(F.struct("doc_id", "text_hash")).alias("head"))
-    inorder = Window.orderBy("range")  # one row a range
-    heads = written(heads.withColumn("before", F.lag("range").over(inorder)).withColumn(
-        "to", F.coalesce("before", F.max("range").over(Window.partitionBy()))).select(
-        F.col("to").alias("range"), F.col("head.doc_id").alias("_id"), F.col("head.text_hash").alias("_hash")), folder, "heads")
-    guests = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select(
-        "doc_id", "text_hash", "text", "range").dropDuplicates(["doc_id", "text_hash"])
-    both = ranged.withColumn("guest", F.lit(0)).unionByName(guests.withColumn("guest", F.lit(1)))
-    both = both.repartition(parts, "range").sortWithinPartitions("range", "guest", "doc_id", "text_hash")
+    ranges = ranges_of(rows.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("digest"),
+                                   F.octet_length("text").cast("long").alias("size")), range_bytes, folder)
+    placed = rows.withColumn("place", ranges.of(F.col("doc_id"), F.col("text_hash")))
+    ranged = placed.select("doc_id", "text_hash", "text", "place.range", F.lit(0).alias("guest"))
+    # the first document of a range also ends the range before, that of the first range the last
+    before = F.when(F.col("place.range") == 0, F.lit(ranges.count - 1)).otherwise(F.col("place.range") - 1)
+    guests = placed.where("place.first").select("doc_id", "text_hash", "text", before.alias("range"), F.lit(1).alias("guest"))
+    both = ranged.unionByName(guests.dropDuplicates(["doc_id", "text_hash"]))
+    both = both.repartitionById(ranges.count, "range").sortWithinPartitions("range", "guest", "doc_id", "text_hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, out, size = None, [], 0  # last: id, hash, text, weights of the document whose next is awaited

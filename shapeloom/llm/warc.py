@@ -1,7 +1,8 @@
 """Deterministic sharded WARC writer, and its reader.
 
-Records are sorted by range of page_id; each task writes its range to files
-that are rolled once their compressed size passes ``roll_bytes``. Headers and
+Records are sorted by range of page_id, and where ranges end depends on the
+records alone; each range is written to files of its own, which are rolled
+once their compressed size passes ``roll_bytes``. Headers and
 digests are made anew from the payload, nothing depends on the clock, and a
 record is a gzip member of its own, so a task that runs again writes the same
 bytes. A file is written under a temporary name and renamed when it is whole;
@@ -17,7 +18,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -25,11 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranges import ranges_of
 from .storage import run_dir, written
 
 #: A payload shorter than this is always written in full.
 REVISIT_BYTES = 1000
 DATE = "2000-01-01T00:00:00Z"
+#: Compressed bytes that a reading task takes, about.
+READ_BYTES = 8 << 20
 MANIFEST = "file string, part int, records bigint, bytes bigint, sha256 string"
 
 
@@ -54,7 +58,8 @@ def warc_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
                ("Payload-Length", str(len(payload)))]
     if page_id is not None:
         headers.append(("Page-ID", str(page_id)))
-    if url is not None:
+    if url is not None:  # as a URI, and as it was
+        headers.append(("Page-URL", quote(url, safe="")))
         headers.append(("WARC-Target-URI", quote(url, safe="%:/?#[]@!$&'()*+,;=~-._")))
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     if not revisit:
@@ -119,7 +124,8 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 8 << 20, par
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"))
     digests = written(rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n")), scratch, "digests")
-    total = digests.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranges = ranges_of(digests.select(F.col("page_id").alias("id"), F.xxhash64("digest").alias("digest"),
+                                      F.col("n").cast("long").alias("size")), part_bytes, scratch)
     # equal payloads: the group's largest id, combined before the shuffle
     whole = digests.where((F.col("n") >= revisit_bytes) & F.col("page_id").isNotNull())
     first = whole.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("k")).where("k > 1")
@@ -129,17 +135,21 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 8 << 20, par
                        F.lit(None).cast("long").alias("refers_to")).unionByName(
         again.select("page_id", F.lit(0).alias("kind"), "digest", F.lit(None).cast("string").alias("url"),
                      F.lit(None).cast("binary").alias("payload"), "refers_to"))
-    parts = max(1, int(total // part_bytes))
-    ranged = both.repartitionByRange(parts, "page_id").sortWithinPartitions("page_id", "kind", "digest", "url")
+    placed = both.withColumn("part", ranges.of(F.col("page_id"), F.xxhash64("digest"))["range"])
+    ranged = placed.repartitionById(ranges.count, "part").sortWithinPartitions("part", "page_id", "kind", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        out = _Roll(folder, context.partitionId(), context.taskAttemptId(), roll_bytes)
+        attempt, out = TaskContext.get().taskAttemptId(), None
         schema = pa.schema([("file", pa.string()), ("part", pa.int32()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
         page, targets, done = object(), {}, set()
         for batch in batches:
             ids, kinds, hexes = (batch.column(k).to_pylist() for k in range(3))
+            parts = batch.column(6).to_pylist()
             for k, own in enumerate(ids):
+                if out is None or parts[k] != out.part:
+                    if out and (last := out.close()):
+                        yield pa.RecordBatch.from_pylist([last], schema=schema)
+                    out = _Roll(folder, parts[k], attempt, roll_bytes)
                 if own != page:
                     page, targets, done = own, {}, set()
                 if kinds[k] == 0:
@@ -153,7 +163,7 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = 8 << 20, par
                 full = out.add(warc_record(own, batch.column(3)[k].as_py(), payload, target, target is not None))
                 if full:
                     yield pa.RecordBatch.from_pylist([full], schema=schema)
-        if last := out.close():
+        if out and (last := out.close()):
             yield pa.RecordBatch.from_pylist([last], schema=schema)
     manifest = ranged.mapInArrow(run, MANIFEST)
     return written(manifest, folder, "manifest")
@@ -185,7 +195,6 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
     (bare lower-case hex SHA-1) of a response is that of the payload as read;
     a file or block that doesn't match its digest raises.
     """
-    spark = manifest.sparkSession
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
@@ -193,9 +202,11 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
         return None if text is None else int(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for content, sha in zip(batch.column(0), batch.column(1), strict=True):
-                data, rows, size = content.as_py(), [], 0
+            for name, sha in zip(batch.column(0), batch.column(1), strict=True):
+                with store.open_input_stream(f"{base}/data/{name.as_py()}", compression=None) as f:
+                    data, rows, size = f.read(), [], 0
                 if hashlib.sha256(data).hexdigest() != sha.as_py():
                     raise ValueError("a file differs from its manifest")
                 for head, block in parse_records(data):
@@ -207,7 +218,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
                     if head["WARC-Type"] == "response":
                         payload = block.partition(b"\r\n\r\n")[2]
                         digest, length = hashlib.sha1(payload).hexdigest(), len(payload)
-                    rows.append({"page_id": number(head.get("Page-ID")), "url": head.get("WARC-Target-URI"), "record_type": head["WARC-Type"],
+                    rows.append({"page_id": number(head.get("Page-ID")), "url": unquote(head["Page-URL"]) if "Page-URL" in head else None, "record_type": head["WARC-Type"],
                                  "payload_bytes": length, "payload_digest": digest, "refers_to": number(head.get("Refers-To-Page-ID")),
                                  "payload": payload if payloads else None})
                     size += len(payload or b"") if payloads else 0
@@ -215,11 +226,9 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
                         yield pa.RecordBatch.from_pylist(rows, schema=schema)
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
-    if manifest.isEmpty():
-        return spark.createDataFrame([], RECORDS)
-    files = spark.read.format("binaryFile").load(f"{folder}/data").select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return files.join(manifest.select("file", "sha256"), "file").select("content", "sha256").mapInArrow(run, RECORDS)
+    # a task reads about as much as a writer wrote, whatever the manifest's own files are
+    total = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    return manifest.select("file", "sha256").repartition(max(1, total // READ_BYTES), "file").mapInArrow(run, RECORDS)
 
 
 def archive_pages(pages: DataFrame, **options) -> DataFrame:

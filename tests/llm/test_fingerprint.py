@@ -74,3 +74,37 @@ def test_nulls_empties_repeats_and_extra_columns(spark):
     assert shown(fingerprint_edits(docs, range_bytes=300)) == brute(rows)
     assert shown(fingerprint_edits(docs.where("doc_id is null"))) == brute([(None, "first")])
     assert fingerprint_edits(docs.limit(0)).count() == 0
+
+
+def test_ranges_are_cut_at_the_same_rows(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from shapeloom.llm.ranges import ranges_of
+    from shapeloom.llm.storage import run_dir
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 1, rng.randrange(-50, 50)]), rng.randrange(-9, 9), rng.randrange(0, 40)) for _ in range(3000)]
+    groups = {}
+    for i, d, n in rows:
+        groups[-2 ** 63 if i is None else i, d] = groups.get((-2 ** 63 if i is None else i, d), 0) + n
+    want, begin, ranges = {}, 0, []
+    for key in sorted(groups):
+        if not ranges or begin // 500 != ranges[-1]:
+            ranges.append(begin // 500)
+        want[key] = len(ranges) - 1
+        begin += groups[key]
+    df = spark.createDataFrame(rows, "id long, digest long, size long")
+    for parts in (1, 9):
+        found = ranges_of(df.repartition(parts), 500, run_dir(spark, "ranges-test"))
+        got = df.select("id", "digest", found.of(F.col("id"), F.col("digest")).alias("p")).collect()
+        assert {(-2 ** 63 if r.id is None else r.id, r.digest): r.p.range for r in got} == want and found.count == len(ranges)
+        assert len({(r.id, r.digest) for r in got if r.p.first}) == len(ranges)
+    assert isinstance(found._held.value[0], np.ndarray)
+
+
+def test_many_ranges_are_planned_quickly(spark):
+    import time
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "repeat(cast(id AS string), 10) AS text")
+    began = time.time()
+    plan = fingerprint_edits(docs, range_bytes=2)
+    assert time.time() - began < 30 and len(plan._jdf.queryExecution().toString()) < 50_000
