@@ -1,7 +1,8 @@
 """Mixing sources to target weights, by blocks.
 
 The words of each source, its documents end to end, are packed into blocks of
-a fixed number of words. The mix has output shards of slots; every slot draws
+a fixed number of words (fewer words in sources of a few blocks, so that their
+targets can be met by whole blocks). The mix has output shards of slots; every slot draws
 its source with the targets' odds, so a shard's counts are multinomial. Counts
 beyond a source's quota go, in order, to the sources that fell short. A
 source's k-th slot takes block ``perm(k mod blocks)`` of pass ``k div blocks``,
@@ -24,14 +25,41 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a hash bucket, about; the running sum inside one is a window.
 BUCKET_ROWS = 20_000
 ROUNDS = 10
+#: Numbers of a running sum that are summed as one first.
+STRETCH = 4096
+#: A source has so many blocks at least, if it has the words.
+LEAST_BLOCKS = 32
 
 
-def permuted(index: Column, n: Column, *key: Column) -> Column:
-    """Place of ``index`` under a keyed permutation of 0..n-1, for any n."""
+def _swaps(index: Column, n: Column, rounds: Column, *key: Column) -> Column:
     def swap(x: Column, r: Column) -> Column:
         y = F.pmod(F.pmod(F.xxhash64(r, *key), n) - x, n)
         return F.when(F.pmod(F.xxhash64(F.greatest(x, y), r, *key), F.lit(2)) == 0, x).otherwise(y)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index, swap)
+    return F.aggregate(rounds, index, swap)
+
+
+def permuted(index: Column, n: Column, *key: Column) -> Column:
+    """Place of ``index`` under a keyed permutation of 0..n-1, for any n."""
+    return _swaps(index, n, F.sequence(F.lit(1), F.lit(ROUNDS)), *key)
+
+
+def unpermuted(place: Column, n: Column, *key: Column) -> Column:
+    """The index that ``permuted`` takes to ``place``: each round undoes itself."""
+    return _swaps(place, n, F.sequence(F.lit(ROUNDS), F.lit(1), F.lit(-1)), *key)
+
+
+def running_before(rows: DataFrame, group: list[str], order: str, value: str, out: str) -> DataFrame:
+    """``out``: sum of ``value`` over the group's rows before this one; ``order`` is a dense number from 0.
+
+    Stretches of STRETCH numbers are summed first, so a window holds at most a
+    stretch, or one row per stretch.
+    """
+    cut = rows.withColumn("_stretch", F.floor(F.col(order) / STRETCH))
+    sums = cut.groupBy(*group, "_stretch").agg(F.sum(value).alias("_sum"))
+    sums = sums.withColumn("_start", F.sum("_sum").over(Window.partitionBy(*group).orderBy("_stretch")) - F.col("_sum"))
+    inside = F.sum(value).over(Window.partitionBy(*group, "_stretch").orderBy(order))
+    return cut.withColumn("_upto", inside).join(sums.drop("_sum"), [*group, "_stretch"]).withColumn(
+        out, F.col("_start") + F.col("_upto") - F.col(value)).drop("_stretch", "_start", "_upto")
 
 
 def sources_of(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
@@ -74,8 +102,11 @@ class Mix:
     """A mix of ``docs``; deterministic in the rows and the parameters.
 
     ``rows``: doc_id, text_hash, source number, size, first (place of its
-    first word in its source). ``sources``: see ``sources_of``, with ``blocks``
-    and ``quota``. ``slots``: shard, source number, turn (of that source),
+    first word in its source). ``sources``: see ``sources_of``, with ``width``
+    (words of a block: ``block_words``, less in a source that has not
+    LEAST_BLOCKS such blocks), ``blocks`` and ``quota``, the number of slots
+    whose words come nearest to the target: the last block of a source counts
+    by its own words. ``slots``: shard, source number, turn (of that source),
     pass and block. Null texts have size 0, a null source is a source of its
     own (the last); a source without words has target 0 and no slots; repeated
     rows are documents of their own, as alike as rows can be; an empty table
@@ -90,25 +121,40 @@ class Mix:
         self.block_words = block_words
         sized = written(sized_rows(docs, doc_col, text_col, source_col), folder, "sized")
         buckets = max(1, sized.count() // BUCKET_ROWS)
-        sources = sources_of(sized, weights, share, cap).withColumns({
-            "blocks": F.ceil(F.col("source_size") / block_words).cast("long"),
-            "quota": F.least(F.round(F.col("target") / block_words).cast("long"),
-                             (F.ceil(F.col("source_size") / block_words) * F.floor(F.lit(cap))).cast("long"))})
+        sources = self._quotas(sources_of(sized, weights, share, cap), block_words, seed)
         ordered = Window.orderBy("number")
         sources = sources.withColumn("high", F.sum("quota").over(ordered)).withColumn("low", F.col("high") - F.col("quota"))
         self.sources = sources = written(sources.coalesce(1), folder, "sources")
 
-        rows = sized.join(sources.select(F.col("source").alias("_source"), "number"),
+        rows = sized.join(sources.select(F.col("source").alias("_source"), "number", "width"),
                           F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.lit(buckets)))
         sums = rows.groupBy("number", "bucket").agg(F.sum("size").alias("_sum"))
         sums = sums.withColumn("_start", F.sum("_sum").over(Window.partitionBy("number").orderBy("bucket")) - F.col("_sum"))
         inside = Window.partitionBy("number", "bucket").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
         rows = rows.withColumn("_upto", F.sum("size").over(inside)).join(sums.drop("_sum"), ["number", "bucket"])
-        self.rows = written(rows.select("doc_id", "text_hash", "number", "size",
+        self.rows = written(rows.select("doc_id", "text_hash", "number", "size", "width",
                                         (F.col("_start") + F.col("_upto") - F.col("size")).alias("first")), folder, "rows")
         self.slots = written(self._slots(spark, folder, shard_slots, seed), folder, "slots")
 
+    @staticmethod
+    def _quotas(sources: DataFrame, block_words: int, seed: int) -> DataFrame:
+        size = F.col("source_size")
+        width = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(size / LEAST_BLOCKS))).cast("long")
+        sources = sources.withColumn("width", width).withColumn("blocks", F.ceil(size / F.col("width")).cast("long"))
+        some = F.col("blocks") > 0
+        passes = F.when(some, F.floor(F.col("target") / size)).otherwise(0).cast("long")
+        sources = sources.withColumns({"_passes": passes, "_rest": F.when(some, F.col("target") - passes * size).otherwise(0.0)})
+        # in the last pass, the turn that takes the short block
+        short = F.when(some, unpermuted(F.col("blocks") - 1, F.col("blocks"), F.col("number"), F.col("_passes"), F.lit(seed)))
+        sources = sources.withColumn("_short", short)
+        missing = F.col("blocks") * F.col("width") - size
+        near = [F.least(F.col("blocks"), F.floor(F.col("_rest") / F.col("width")) + k) for k in range(3)]
+        far = [F.abs(n * F.col("width") - F.when(F.col("_short") < n, missing).otherwise(0) - F.col("_rest")) for n in near]
+        best = F.least(*[F.struct(f.alias("far"), n.cast("long").alias("n")) for f, n in zip(far, near)])["n"]
+        return sources.withColumn("quota", F.when(some, F.col("_passes") * F.col("blocks") + best).otherwise(0).cast("long")).drop(
+            "_passes", "_rest", "_short")
+
     def _slots(self, spark, folder: str, shard_slots: int, seed: int) -> DataFrame:
         sources = self.sources
         n = sources.agg(F.coalesce(F.max("high"), F.lit(0))).first()[0]
@@ -120,9 +166,7 @@ class Mix:
                                       F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(n, 1))).alias("x"))
         drawn = draws.withColumn("cell", F.floor(F.col("x") / width)).join(cells, "cell").where("x >= low and x < high")
         drawn = drawn.groupBy("shard", "number").agg(F.count(F.lit(1)).alias("drawn"))
-        by_shard = Window.partitionBy("number").orderBy("shard")
-        drawn = drawn.join(sources.select("number", "quota"), "number").withColumn(
-            "_before", F.sum("drawn").over(by_shard) - F.col("drawn"))
+        drawn = running_before(drawn, ["number"], "shard", "drawn", "_before").join(sources.select("number", "quota"), "number")
         take = F.greatest(F.lit(0), F.least(F.col("drawn"), F.col("quota") - F.col("_before")))
         drawn = written(drawn.withColumn("take", take), folder, "drawn")
         # a shard's draws are few rows here and many slots below: deal them before they are expanded
@@ -131,8 +175,8 @@ class Mix:
             F.sequence(F.col("_before"), F.col("_before") + F.col("take") - 1)).alias("turn"))
         # slots over quota, and turns still due, both numbered and joined by number
         over = drawn.groupBy("shard").agg(F.sum(F.col("drawn") - F.col("take")).alias("n")).where("n > 0")
-        over = over.withColumn("_end", F.sum("n").over(Window.orderBy("shard")))
-        over = over.select("shard", F.explode(F.sequence(F.col("_end") - F.col("n"), F.col("_end") - 1)).alias("i"))
+        over = running_before(over.withColumn("_all", F.lit(0)), ["_all"], "shard", "n", "_begin")
+        over = over.select("shard", F.explode(F.sequence(F.col("_begin"), F.col("_begin") + F.col("n") - 1)).alias("i"))
         due = sources.join(drawn.groupBy("number").agg(F.sum("take").alias("taken")), "number", "left").select(
             "number", F.coalesce("taken", F.lit(0)).alias("taken"), "quota").where("quota > taken")
         due = due.withColumn("n", F.col("quota") - F.col("taken")).withColumn("_end", F.sum("n").over(Window.orderBy("number")))
@@ -146,7 +190,7 @@ class Mix:
 
     def pieces(self) -> DataFrame:
         """One row per document and block that it reaches into: begin and end are word places in the document."""
-        b = self.block_words
+        b = F.col("width")
         cut = self.rows.where("size > 0").select("*", F.explode(F.sequence(
             F.floor(F.col("first") / b), F.floor((F.col("first") + F.col("size") - 1) / b))).alias("block"))
         begin = F.greatest(F.lit(0), F.col("block") * b - F.col("first"))
