@@ -10,14 +10,19 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from dataclasses import dataclass
 from html import unescape
 
 import numpy as np
 
+_COMMENT = re.compile(r"<(!--)")
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
 # a quote opens a value only directly after '='; anywhere else it is a character of the tag
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)|=)*+)>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
+_REST = re.compile(r"(?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)|=)*+>")
+_PLACES = re.compile(r"[=>]")
+_VALUE = re.compile(r"=\s*+")
+_STOP = re.compile(r"[\s>]")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGIT = re.compile(r"\d")
@@ -76,6 +81,79 @@ def _template_ends(html: str) -> dict[int, int]:
     return ends
 
 
+class _TagEnds:
+    """Where a tag whose attributes begin at a place ends, quoted values left out, for the rest of a page.
+
+    Found from the page's end backwards, so that a page of tags that don't
+    end is read once and not once for each tag.
+    """
+
+    def __init__(self, html: str, start: int):
+        n = len(html)
+        self.at = [m.start() for m in _PLACES.finditer(html, start)]
+        stops = [m.start() for m in _STOP.finditer(html, start)]
+        quotes = {q: [m.start() for m in re.finditer(q, html[start:])] for q in "\"'"}
+        self.ends = [0] * len(self.at)
+        for k in range(len(self.at) - 1, -1, -1):
+            place = self.at[k]
+            if html[place] == ">":
+                self.ends[k] = place + 1
+                continue
+            value = _VALUE.match(html, place).end()
+            follow = place + 1
+            if value < n and html[value] in quotes:
+                mine = quotes[html[value]]
+                closing = bisect_left(mine, value + 1 - start)
+                if closing < len(mine):
+                    follow = mine[closing] + start + 1
+            elif value < n and html[value] != ">":
+                stop = bisect_left(stops, value)
+                follow = stops[stop] if stop < len(stops) else n
+            self.ends[k] = self.after(follow)
+
+    def after(self, place: int) -> int:
+        """End of the tag whose rest begins at ``place``; 0 if it has none."""
+        k = bisect_left(self.at, place)
+        return self.ends[k] if k < len(self.at) else 0
+
+
+class Tags:
+    """The tags of a page, one after another from any place; comments and declarations have no name.
+
+    A quoted value may hold '>'. If by that rule a tag doesn't end, it ends at
+    the next '>'; without one it is text.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.ends: _TagEnds | None = None
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, closing, name, attributes) of the first tag from ``at`` on."""
+        html = self.html
+        m = _OPEN.search(html, at)
+        if m and not m[1] and self.last < m.end():  # no tag ends any more, but a comment may still come
+            m = _COMMENT.search(html, m.start() + 1)
+        if not m:
+            return None
+        start, at = m.start(), m.end()
+        if m[1]:
+            end = html.find("-->", at)
+            return start, end + 3 if end >= 0 else len(html), False, "", ""
+        first = html.find(">", at)
+        end = first + 1
+        if not m[3]:
+            return start, end, False, "", ""
+        if "\"" in (between := html[at:first]) or "'" in between:
+            rest = None if self.ends else _REST.match(html, at)
+            if rest:
+                end = rest.end()
+            else:
+                self.ends = self.ends or _TagEnds(html, at)
+                end = self.ends.after(at) or end
+        return start, end, bool(m[2]), m[3].lower(), html[at:end - 1]
+
+
 def blocks(html: str) -> list[Block]:
     """The leaf blocks of a page, white space inside each turned into one space; blank ones are none."""
     out: list[Block] = []
@@ -87,6 +165,7 @@ def blocks(html: str) -> list[Block]:
     path: tuple[int, ...] = ()
     templates: dict[int, int] | None = None
     at, n = 0, len(html)
+    tags = Tags(html)
 
     def flush() -> None:
         nonlocal linked
@@ -104,22 +183,20 @@ def blocks(html: str) -> list[Block]:
             if top == name:
                 return
 
-    while at < n:
-        m = _TAG.search(html, at)
-        stop = m.start() if m else n
+    while True:
+        found = tags.after(at)
+        stop = found[0] if found else n
         if stop > at:
             if not parts:
                 path = stack[-1][1] if stack else ()
             parts.append(html[at:stop])
             if in_link:
                 linked += stop - at
-        if not m:
+        if not found:
             break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        begin, at, closing, name, attributes = found
         if not name:
             continue
-        closing, attributes = (m[1] or m[4]), (m[3] or m[6] or "")
         if name in INLINE:  # neither a boundary nor a part of the path
             if name == "br":
                 parts.append(" ")
@@ -129,7 +206,7 @@ def blocks(html: str) -> list[Block]:
         raw, start = name in RAW, at
         if raw and name == "template" and not closing:
             templates = _template_ends(html) if templates is None else templates
-            start = templates.get(m.start(), n)
+            start = templates.get(begin, n)
             raw = start < n
         if closing or not raw:
             flush()
@@ -140,8 +217,9 @@ def blocks(html: str) -> list[Block]:
             continue
         if raw:
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, start)
-                at = end.end() if end else n
+                end = re.compile(rf"</{re.escape(name)}\b", re.I).search(html, start)
+                at = html.find(">", end.end()) + 1 if end else 0
+                at = at or n
             continue
         while stack and name in ENDS.get(stack[-1][0], ()):
             leave(stack[-1][0])
@@ -161,20 +239,22 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """blocks x WIDTH: tag path, hashed words and shape of every block."""
-    n = len(page)
+def vectors(page: list[Block], begin: int = 0, end: int | None = None) -> np.ndarray:
+    """blocks x WIDTH: tag path, hashed words and shape of the blocks begin:end (all by default) of a page."""
+    total = len(page)
+    stretch = page[begin:end]
+    n = len(stretch)
     x = np.zeros((n, WIDTH), dtype=np.float32)
     rows, cols, word_rows, word_cols = [], [], [], []
-    for k, b in enumerate(page):
+    for k, b in enumerate(stretch):
         rows += [k] * len(b.path)
         cols += b.path
         words = b.text.lower().split()
         word_cols += [zlib.crc32(w.encode()) for w in words]
         word_rows.append(len(words))
         size = len(b.text)
-        x[k, PATH + WORDS:] = (b.link, np.log1p(size) / 6, min(1.0, len(words) / 40), b.text[-1] in ".!?:;…»”\"", k / n,
-                               (n - 1 - k) / n, len(_DIGIT.findall(b.text)) / size, b.text[0].isupper())
+        x[k, PATH + WORDS:] = (b.link, np.log1p(size) / 6, min(1.0, len(words) / 40), b.text[-1] in ".!?:;…»”\"", (begin + k) / total,
+                               (total - 1 - begin - k) / total, len(_DIGIT.findall(b.text)) / size, b.text[0].isupper())
     x[rows, cols] = 1.0
     code = np.array(word_cols, dtype=np.int64)
     sign = np.where(code >> 31 & 1, 1.0, -1.0)

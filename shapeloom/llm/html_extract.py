@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import blocks, vectors
-from .html_model import probabilities, trained
+from .html_blocks import blocks
+from .html_model import Sequence, probabilities, trained
 
 RESULT = "page_id bigint, url string, text string, n_chars bigint"
 #: Pages whose blocks are labelled together.
@@ -19,7 +19,7 @@ GROUP = 256
 def main_text(pages: list[str], weights: list, least: float = 0.5) -> list[str]:
     """Main text of each page: its blocks of probability ``least`` or more, joined by line breaks."""
     parsed = [blocks(p) for p in pages]
-    found = probabilities(weights, [vectors(p) if p else vectors([]) for p in parsed])
+    found = probabilities(weights, [Sequence(p) for p in parsed])
     return ["\n".join(b.text for b, p in zip(page, prob, strict=True) if p >= least) for page, prob in zip(parsed, found, strict=True)]
 
 
@@ -29,7 +29,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     The whole html is read, character references are decoded, white space
     inside a block becomes one space, and the blocks of the main text are
     joined in page order by one line break. A page without html or without
-    main text has an empty text; repeated rows come out alike; an empty table
+    main text has an empty text; a page of any length takes time in proportion
+    and is read a window of blocks at a time; repeated rows come out alike; an empty table
     gives no rows; other columns are not read.
     """
     held = pages.sparkSession.sparkContext.broadcast([w.copy() for w in trained()])

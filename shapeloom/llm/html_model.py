@@ -17,6 +17,8 @@ import numpy as np
 from .html_blocks import WIDTH, blocks, vectors
 
 HIDDEN = 24
+#: Blocks of a page that are read at a time.
+WINDOW = 1024
 #: A private-use character.
 MARK = chr(0xE000)
 
@@ -241,8 +243,78 @@ def _from_end(states: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.take_along_axis(states, np.where(place >= 0, place, np.arange(steps)[None, :])[:, :, None], axis=1)
 
 
-def probabilities(weights: list[np.ndarray], pages: list[np.ndarray]) -> list[np.ndarray]:
-    """Probability of main text for every block of each page."""
+def _steps(x: np.ndarray, hid: np.ndarray, cell: np.ndarray, wx, wh, b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """States of one direction over a window of steps, from the states before it; nothing is kept for training."""
+    size, steps, _ = x.shape
+    z_all = (x.reshape(size * steps, -1) @ wx).reshape(size, steps, 4 * HIDDEN) + b
+    states = np.empty((size, steps, HIDDEN), dtype=x.dtype)
+    for t in range(steps):
+        z = z_all[:, t] + hid @ wh
+        gates = _sigmoid(z[:, :3 * HIDDEN])
+        cell = gates[:, HIDDEN:2 * HIDDEN] * cell + gates[:, :HIDDEN] * np.tanh(z[:, 3 * HIDDEN:])
+        hid = gates[:, 2 * HIDDEN:] * np.tanh(cell)
+        states[:, t] = hid
+    return states, hid, cell
+
+
+def _scores(pages: list, wx, wh, b, out, backward: bool) -> list[np.ndarray]:
+    """What one direction adds to the score of every block, read in windows of WINDOW steps."""
+    lengths = [len(p) for p in pages]
+    hid = np.zeros((len(pages), HIDDEN), dtype=np.float32)
+    cell = np.zeros_like(hid)
+    found = [np.empty(n, dtype=np.float32) for n in lengths]
+    for begin in range(0, max(lengths), WINDOW):
+        steps = min(WINDOW, max(lengths) - begin)
+        x = np.zeros((len(pages), steps, WIDTH), dtype=np.float32)
+        for k, (page, n) in enumerate(zip(pages, lengths, strict=True)):
+            here = min(max(n - begin, 0), steps)
+            if here:
+                x[k, :here] = page(n - begin - here, n - begin)[::-1] if backward else page(begin, begin + here)
+        states, hid, cell = _steps(x, hid, cell, wx, wh, b)
+        score = states @ out
+        for k, n in enumerate(lengths):
+            here = min(max(n - begin, 0), steps)
+            if here and backward:
+                found[k][n - begin - here:n - begin] = score[k, :here][::-1]
+            elif here:
+                found[k][begin:begin + here] = score[k, :here]
+    return found
+
+
+class Sequence:
+    """A page's vectors, made a stretch at a time; those of a page of one window are made once."""
+
+    def __init__(self, page: list):
+        self.page = page
+        self.whole = vectors(page) if len(page) <= WINDOW else None
+
+    def __len__(self) -> int:
+        return len(self.page)
+
+    def __call__(self, begin: int, end: int) -> np.ndarray:
+        return vectors(self.page, begin, end) if self.whole is None else self.whole[begin:end]
+
+
+class Given:
+    """Vectors that are there already."""
+
+    def __init__(self, x: np.ndarray):
+        self.x = x
+
+    def __len__(self) -> int:
+        return len(self.x)
+
+    def __call__(self, begin: int, end: int) -> np.ndarray:
+        return self.x[begin:end]
+
+
+def probabilities(weights: list[np.ndarray], pages: list) -> list[np.ndarray]:
+    """Probability of main text for every block of each page: a Sequence, or an array of its vectors.
+
+    Pages of like length are read together, up to 16,384 blocks of a window at
+    a time, so memory is that of a window, and a few numbers a block.
+    """
+    pages = [Given(p) if isinstance(p, np.ndarray) else p for p in pages]
     out: list[np.ndarray] = [np.zeros(0)] * len(pages)
     order = sorted((k for k in range(len(pages)) if len(pages[k])), key=lambda k: len(pages[k]))
     at = 0
@@ -250,12 +322,11 @@ def probabilities(weights: list[np.ndarray], pages: list[np.ndarray]) -> list[np
         to = at + 1
         while to < len(order) and (to - at + 1) * len(pages[order[to]]) <= 16_384:
             to += 1
-        x, back, lengths = _padded([pages[k] for k in order[at:to]])
-        ahead = _read(x, *weights[:3])[0]
-        behind = _from_end(_read(back, *weights[3:6])[0], lengths)
-        p = _sigmoid(ahead @ weights[6] + behind @ weights[7] + weights[8])
-        for row, k in enumerate(order[at:to]):
-            out[k] = p[row, :lengths[row]]
+        some = [pages[k] for k in order[at:to]]
+        ahead = _scores(some, *weights[:3], weights[6], False)
+        behind = _scores(some, *weights[3:6], weights[7], True)
+        for k, a, b in zip(order[at:to], ahead, behind, strict=True):
+            out[k] = _sigmoid(a + b + weights[8])
         at = to
     return out
 

@@ -92,3 +92,82 @@ def test_quotes_outside_values_and_digits_of_the_whole_block():
     assert texts("<p title='never closed>a</p><p>b</p>") == ["a", "b"]
     early, late = (vectors([Block(t, (), 0.0)])[0] for t in ("1" * 40 + "a" * 60, "a" * 60 + "1" * 40))
     assert early[-2] == late[-2] == np.float32(0.4)
+
+
+@pytest.mark.parametrize("bit", ["<p a=", "<p x='a ", "</a ", "<p x='><p x='=", "<p x=\"'>", "=a=a<p =", "<!", "<script ", "</script ", "<p a=' b='> "])
+def test_hostile_pages_take_time_in_proportion(bit):
+    def seconds(n):
+        began = time.process_time()
+        blocks(bit * (n // len(bit)))
+        blocks(bit * (n // len(bit)) + ">'>\">")
+        return time.process_time() - began
+    seconds(1000)
+    assert seconds(1_000_000) < 20
+
+
+def test_tags_equal_the_rule_read_slowly():
+    """Each tag's end by the pattern alone, tried at every place, on random strings of the characters that matter."""
+    import random
+
+    from shapeloom.llm import html_blocks as hb
+    rule = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)|=)*+)>"
+                      r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>", re.S)
+    rng = random.Random(4)
+    for _ in range(20_000):
+        html = "".join(rng.choice(["<", "<p ", "</p", ">", "=", "'", '"', " ", "a", "/", "<!--", "-->", "<!"]) for _ in range(rng.randint(0, 25)))
+        for ends in (None, hb._TagEnds(html, 0)):
+            tags, at, got = hb.Tags(html), 0, []
+            tags.ends = ends
+            while tag := tags.after(at):
+                got.append(tag)
+                at = tag[1]
+            want = [(m.start(), m.end(), bool(m[1] or m[4]), (m[2] or m[5] or "").lower(), (m[3] or m[6] or "")) for m in rule.finditer(html)]
+            assert [g[:4] + (g[4] if g[3] else "",) for g in got] == want, html
+
+
+def slow_probabilities(weights, x):
+    """The labeller in plain loops over blocks and cells."""
+    import math
+    n_hidden = len(weights[1])
+
+    def read(rows, wx, wh, b):
+        hid, cell, out = [0.0] * n_hidden, [0.0] * n_hidden, []
+        for row in rows:
+            seen = [i for i, v in enumerate(row) if v]
+            z = [b[j] + sum(row[i] * wx[i][j] for i in seen) + sum(hid[i] * wh[i][j] for i in range(n_hidden)) for j in range(4 * n_hidden)]
+            gate = [1 / (1 + math.exp(-v)) for v in z[:3 * n_hidden]]
+            cell = [gate[n_hidden + j] * cell[j] + gate[j] * math.tanh(z[3 * n_hidden + j]) for j in range(n_hidden)]
+            hid = [gate[2 * n_hidden + j] * math.tanh(cell[j]) for j in range(n_hidden)]
+            out.append(hid)
+        return out
+    lists = [np.asarray(w, dtype=float).tolist() for w in weights]
+    ahead, behind = read(x, *lists[:3]), read(x[::-1], *lists[3:6])[::-1]
+    return [1 / (1 + math.exp(-sum(a[j] * lists[6][j] + b[j] * lists[7][j] for j in range(n_hidden)) - lists[8][0])) for a, b in zip(ahead, behind)]
+
+
+def test_query_equals_a_slow_labeller(spark, weights, monkeypatch):
+    from shapeloom.llm import html_model
+    from shapeloom.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    got = {r.page_id: r for r in QUERIES["op9_block_labeller"].build(spark, sf).collect()}
+    assert len(got) == len(pages)
+    for r in pages[:40]:
+        page = blocks(r.html or "")
+        p = slow_probabilities(weights, vectors(page).astype(float).tolist()) if page else []
+        assert all(abs(v - 0.5) > 1e-4 for v in p)
+        assert got[r.page_id].text == "\n".join(b.text for b, v in zip(page, p) if v >= 0.5)
+    page = blocks("".join(f"<p class=c{k % 7}>{'word ' * (k % 9 + 1)}.</p>" for k in range(50)))
+    want = slow_probabilities(weights, vectors(page).astype(float).tolist())
+    for window in (1, 7, 50, 1000):  # whatever the window
+        monkeypatch.setattr(html_model, "WINDOW", window)
+        assert np.abs(probabilities(weights, [html_model.Sequence(page)])[0] - want).max() < 1e-4
+
+
+def test_a_page_of_many_blocks_takes_little_memory(weights):
+    import tracemalloc
+    tracemalloc.start()
+    main_text(["<p>x y" * 20_000], weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6, peak  # dense vectors of all blocks alone are 25 MB, and were held several times
