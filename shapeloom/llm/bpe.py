@@ -33,6 +33,8 @@ WINDOW = 1 << 16
 MARGIN = 3
 #: Texts and boundaries remembered by a worker, about, and the longest text remembered.
 REMEMBERED, LONGEST = 250_000, 48
+#: Pieces that begin with the same so many bytes share that part of their tables.
+SHARED = 6
 _NEVER = 1 << 62
 _JOINT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -58,6 +60,7 @@ class Vocabulary:
         self._spines: dict[int, tuple[list, list, bool]] = {}
         self._boundary: defaultdict[int, dict[int, bool]] = defaultdict(dict)  # by right token, then left
         self._boundaries = 0
+        self._begun: dict[bytes, list[int]] = {}  # tables of the first SHARED bytes of pieces
         self._automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if self.merged(token) == [rank]:  # a token that no merges lead to stands only for a whole piece
@@ -162,19 +165,29 @@ class Vocabulary:
                 return
 
     def tokens_of(self, data: bytes, last: list[int]) -> list[int]:
-        out, i = [], len(data)
+        out, i, tokens = [], len(data), self.tokens
         while i:
-            out.append(last[i])
-            i -= len(self.tokens[last[i]])
-        return out[::-1]
+            token = last[i]
+            out.append(token)
+            i -= len(tokens[token])
+        out.reverse()
+        return out
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8")
         whole = self.ranks.get(data)
         if whole is not None:
             return (whole,)
-        last = [-1]
-        self.extend(data, last)
+        begun = self._begun.get(data[:SHARED])
+        if begun is None:
+            begun = [-1]
+            self.extend(data[:SHARED], begun)
+            if len(self._begun) >= REMEMBERED:
+                self._begun.clear()
+            self._begun[data[:SHARED]] = begun
+        last = begun.copy()
+        if len(data) > SHARED:
+            self.extend(data, last)
         return tuple(self.tokens_of(data, last))
 
     def pieces(self, text: str, start: int = 0) -> Iterator[list[str]]:
@@ -195,8 +208,7 @@ class Vocabulary:
 
     def decode(self, ids) -> bytes:
         """The bytes of any ids of this vocabulary (KeyError for another id)."""
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids])
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 def segments(text: str) -> Iterator[list[str]]:
@@ -248,7 +260,9 @@ class Remembering:
         self.segments = Recent(self._segment)
 
     def _segment(self, segment: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, chain.from_iterable(self.vocabulary.pieces(segment)))))
+        v = self.vocabulary
+        found = v.pattern.findall(segment) if len(segment) <= WINDOW else chain.from_iterable(v.pieces(segment))
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, found)))
 
     def windows(self, text: str) -> Iterator[list[int]]:
         """The text's tokens, a window at a time."""
@@ -433,13 +447,13 @@ def round_trip(docs: DataFrame, tokenizer: Tokenizer, doc_col: str = "doc_id", t
 
     def run(batches):
         known = tokenizer.here()
-        names, decoded = known.vocabulary.names, known.vocabulary.decode
+        name, decoded = known.vocabulary.names.__getitem__, known.vocabulary.decode
         for batch in batches:
             rows = []
             for text in _texts(batch.column(1)):
                 n, of_ids, of_bytes = 0, sha256(), sha256()
                 for ids in known.windows(text):
-                    of_ids.update(("," if n else "").encode() + ",".join([names[i] for i in ids]).encode())
+                    of_ids.update(("," if n else "").encode() + ",".join(map(name, ids)).encode())
                     of_bytes.update(decoded(ids))
                     n += len(ids)
                 rows.append((n, of_ids.hexdigest(), of_bytes.hexdigest()))
