@@ -76,8 +76,8 @@ def row_weights(df: DataFrame, key: str, text_col: str, dim: int, hasher: str) -
     return df.select(F.col(key), weights(token_runs(text_col)).alias("_e"))
 
 
-def row_vectors(df: DataFrame, key: str, text_col: str, dim: int, hasher: str) -> DataFrame:
-    """``(key, embedding array<float>[dim])`` of unit length (or zero) for every input row: no shuffle."""
+def vector_column(text: Column | str, dim: int, hasher: str = "blake2b") -> Column:
+    """E01 as a column: ``array<float>[dim]`` of unit length (or zero) for a text; no shuffle, no key."""
     make = _row_weights(dim, hasher)
 
     @F.pandas_udf("array<float>")
@@ -90,7 +90,12 @@ def row_vectors(df: DataFrame, key: str, text_col: str, dim: int, hasher: str) -
             norm = np.sqrt((v * v).sum())
             out.append((v / norm if norm > 0 else v).astype(np.float32))
         return pd.Series(out)
-    return df.select(F.col(key), vector(token_runs(text_col)).alias("embedding"))
+    return vector(token_runs(text))
+
+
+def row_vectors(df: DataFrame, key: str, text_col: str, dim: int, hasher: str) -> DataFrame:
+    """``(key, embedding array<float>[dim])`` of unit length (or zero) for every input row: no shuffle."""
+    return df.select(F.col(key), vector_column(text_col, dim, hasher).alias("embedding"))
 
 
 def md5_slot(token: Column, dim: int) -> Column:

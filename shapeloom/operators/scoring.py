@@ -9,13 +9,19 @@ user-supplied model in Arrow batches, and turned into surface meshes.
 from __future__ import annotations
 
 import math
+import uuid
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..functions.guard import guarded
+from ..session import scratch_table_dir
 from . import features as fe
+from . import surface as sf
 from . import voxels as vx
 
 MAX_PROMPT = 300
@@ -38,7 +44,8 @@ def validate_prompts(prompts: DataFrame) -> DataFrame:
     """Adds ``threshold`` default, the stripped prompt and ``reason`` (NULL = accepted)."""
     thr = F.coalesce(F.col("threshold").cast("double"), F.lit(DEFAULT_THRESHOLD)) \
         if "threshold" in prompts.columns else F.lit(DEFAULT_THRESHOLD)
-    p = prompts.withColumn("threshold", thr)
+    strip = F.regexp_replace(F.col("prompt"), "^" + tx.WS + "+|" + tx.WS + "+$", "")
+    p = prompts.withColumn("threshold", thr).withColumn("stripped", strip)
     return p.withColumn("reason", prompt_reason(F.col("prompt"), F.col("threshold")))
 
 
@@ -55,6 +62,8 @@ def seeded_noise(key: Column, seed: Column, noise_dim: int) -> Column:
     """Standard-normal vector per request, a function of ``(seed, key)`` only
     (Box-Muller over two 53-bit uniforms from ``xxhash64``), so it does not depend
     on partitioning or task retries. A NULL seed falls back to the key."""
+    if not noise_dim:
+        return F.array().cast("array<float>")
     s = F.coalesce(seed.cast("long"), F.xxhash64(key))
     two53 = float(2 ** 53)
 
@@ -67,25 +76,46 @@ def seeded_noise(key: Column, seed: Column, noise_dim: int) -> Column:
                                   * F.cos(F.lit(2 * math.pi) * unif(k, 2))).cast("float"))
 
 
+def encoder_column(text: Column, backend: str, model_name: str, dim: int, encoders: dict | None = None,
+                   batch_size: int = 64) -> Column:
+    """E03 as a column: the embedding of ``text`` by the encoder that a registry row names.
+
+    ``hash`` is the feature hash (a model name that ends in ``-md5`` takes that
+    digest); any other backend runs ``encoders[model_name]``, a factory as in
+    :func:`features.embed`.
+    """
+    b = (backend or "").lower()
+    if b not in fe.BACKENDS:
+        raise ValueError(f"Unknown text encoder backend: {backend}")
+    if b == "hash":
+        return fe.vector_column(text, dim, "md5" if (model_name or "").endswith("-md5") else "blake2b")
+    if model_name not in (encoders or {}):
+        raise ValueError(f"no encoder given for {model_name}")
+    from pyspark.ml.functions import predict_batch_udf
+    return predict_batch_udf(encoders[model_name], return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)(
+        F.coalesce(text, F.lit("")))
+
+
 def score_prompts(prompts: DataFrame, model_factory, text_dim: int = 256, noise_dim: int = 128,
-                  size: int = 32, batch_size: int = 64) -> tuple[DataFrame, DataFrame]:
+                  size: int = 32, batch_size: int = 64, encoder: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """``(cells, rejects)``.
 
     ``model_factory()`` returns ``predict(inputs: np.ndarray[n, text_dim+noise_dim])
     -> np.ndarray[n, size^3]`` (voxel probabilities); ``predict_batch_udf`` loads it
-    once per Python worker and feeds Arrow batches. Cells carry the prompt's
-    ``threshold``; a prompt whose grid is all zero keeps one zero cell at the
-    origin, so every valid prompt has cells.
+    once per Python worker and feeds Arrow batches. The embedding (``encoder``, a
+    column over ``stripped``; the feature hash by default) is a column of the
+    row, so rows that share a prompt_id, or have none, each give one grid.
+    Cells carry the prompt's ``threshold``; a prompt whose grid is all zero
+    keeps one zero cell at the origin, so every valid prompt has cells.
     """
     from pyspark.ml.functions import predict_batch_udf
 
     v = validate_prompts(prompts)
     rejects = v.where(F.col("reason").isNotNull()).select("prompt_id", "prompt", "reason")
     ok = v.where(F.col("reason").isNull())
-    emb = fe.hash_embed(ok, "prompt_id", "prompt", dim=text_dim)
-    x = ok.join(emb.select("prompt_id", "embedding"), "prompt_id").select(
-        "prompt_id", "threshold",
-        F.concat(F.col("embedding"), seeded_noise(F.col("prompt_id"), F.col("seed"), noise_dim)).alias("x"))
+    embedding = fe.vector_column("stripped", text_dim) if encoder is None else encoder
+    x = ok.select("prompt_id", "threshold", F.concat(
+        embedding, seeded_noise(F.col("prompt_id"), F.col("seed"), noise_dim)).alias("x"))
     udf = predict_batch_udf(model_factory, return_type=T.ArrayType(T.FloatType()),
                             batch_size=batch_size, input_tensor_shapes=[[text_dim + noise_dim]])
     grids = x.select("prompt_id", "threshold", udf("x").alias("grid"))
@@ -94,6 +124,97 @@ def score_prompts(prompts: DataFrame, model_factory, text_dim: int = 256, noise_
     return cells, rejects
 
 
+@dataclass(frozen=True)
+class PromptMeshes:
+    """``requests``: a row per input row; ``vertices`` and ``triangles`` by ``request`` (see ``surface.dual_surface``)."""
+
+    requests: DataFrame
+    vertices: DataFrame
+    triangles: DataFrame
+
+
+def _by_rows(factory, length: int):
+    """A grid model as ``guarded`` takes it: rows of inputs in, a grid of ``length`` cells a row out."""
+    def make():
+        predict = factory()
+
+        def run(rows):
+            grids = predict(np.stack(list(rows)).astype(np.float32))
+            flat = [np.asarray(g, dtype=np.float32).ravel() for g in grids]
+            for g in flat:
+                if len(g) != length:
+                    raise ValueError(f"Expected a 3D voxel grid of {length} cells, got {len(g)}")
+            return flat
+        return run
+    return make
+
+
+def prompt_meshes(prompts: DataFrame, registry: DataFrame, model_id: str, generators: dict, encoders: dict | None = None,
+                  batch_size: int = 64) -> PromptMeshes:
+    """X07 and X08 in one job: prompts to named meshes.
+
+    The registry row of ``model_id`` says which encoder embeds the prompt, how
+    much noise is added and the grid's side; ``generators[model_id]`` is the
+    model's factory. Each grid has its own level (V14, from the prompt's
+    threshold and the grid's range); its closed surface (V15) is centred and
+    scaled to unit extent (V16).
+
+    ``requests`` has prompt_id, prompt, seed, threshold, request, reason, level,
+    n_vertices, n_triangles, filename, mesh_path and download_url (P08); the
+    names are null where ``reason`` says why there is no mesh: an invalid
+    request (F11, F12), a model that fails on it or gives another number of
+    cells or non-finite ones (F08, F14), or a grid without a surface. Rows
+    equal in all inputs are one request, scored once, and each keeps its row;
+    a repeated or null prompt_id is no key.
+    """
+    found = runtime_config(registry, model_id).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} registry rows for model {model_id}")
+    config = found[0]
+    size = config.voxel_shape[0]
+    if list(config.voxel_shape) != [size] * 3:
+        raise ValueError(f"Expected a cubic grid, got {list(config.voxel_shape)}")
+    spark = prompts.sparkSession
+    folder = scratch_table_dir(spark, f"prompt-meshes-{uuid.uuid4().hex}")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    rows = prompts if "seed" in prompts.columns else prompts.withColumn("seed", F.lit(None).cast("long"))
+    rows = validate_prompts(rows).groupBy("prompt_id", "prompt", "stripped", "seed", "threshold", "reason").agg(
+        F.count(F.lit(1)).alias("copies"))
+    named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("?"))
+    rows = kept(rows.withColumn("request", F.sha2(F.concat_ws("\x1f", *map(named, ("prompt_id", "prompt", "seed", "threshold"))), 256)),
+                "requests")
+    embedding = encoder_column(F.col("stripped"), config.encoder_backend, config.encoder_model_name, config.text_dim, encoders, batch_size)
+    model = guarded(_by_rows(generators[model_id], size ** 3), "array<float>", batch_size)
+    x = rows.where("reason is null").select("request", "threshold", F.concat(
+        embedding, seeded_noise(F.col("request"), F.col("seed"), config.noise_dim)).alias("x"))
+    grids = kept(x.select("request", "threshold", model(F.col("x")).alias("g")).select("request", "threshold", "g.*"), "grids")
+    good = grids.where("reason is null").select("request", "threshold", F.col("value").alias("grid"))
+    cells = kept(vx.from_dense(good, size=size, key="request"), "cells")
+    stats = good.select("request", "threshold").join(vx.grid_stats(cells, size, key="request"), "request", "left").fillna(
+        0, ["n_cells", "n_nonfinite", "grid_min", "grid_max"])
+    levels = kept(vx.adaptive_level(stats, F.col("threshold")).select("request", "level", "reason"), "levels")
+    at = cells.join(levels.where("reason is null").select("request", "level"), "request")
+    vertices, triangles = sf.dual_surface(at, F.col("level"), key="request")
+    vertices, triangles = kept(vertices, "vertices"), kept(triangles, "triangles")
+    counts = [t.groupBy("request").agg(F.count(F.lit(1)).alias(n)) for t, n in ((vertices, "n_vertices"), (triangles, "n_triangles"))]
+    out = rows.withColumnRenamed("reason", "_invalid")
+    for part in (grids.select("request", F.col("reason").alias("_failed")), levels.withColumnRenamed("reason", "_flat"), *counts):
+        out = out.join(part, "request", "left")
+    out = out.withColumn("reason", F.coalesce("_invalid", "_failed", "_flat"))
+    out = publish_names(out, key="request")
+    has = F.col("reason").isNull()
+    names = ["filename", "mesh_path", "download_url"]
+    # rows equal in all come out one by one
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    requests = out.select("prompt_id", "prompt", "seed", "threshold", "request", "reason", "level",
+                          *[F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in ("n_vertices", "n_triangles")],
+                          *[F.when(has, F.col(n)).alias(n) for n in names])
+    return PromptMeshes(requests, vx.normalise_vertices(vertices, key="request"), triangles)
+
+
 def surface_mesh(cells: DataFrame, level: float | Column = 0.5, key: str = "uid") -> tuple[DataFrame, DataFrame]:
     """A closed quad surface of the occupied cells as ``(vertices, triangles)``.
 

@@ -332,38 +332,46 @@ def adaptive_level(stats: DataFrame, threshold: float | Column = 0.5) -> DataFra
 MASK_CELLS = 62
 
 
+def column_masks(cells: DataFrame, key: str = "uid") -> DataFrame:
+    """``(key, x, y, zb, m)``: cells packed along z; bit ``i`` (1 to MASK_CELLS) of ``m`` is the cell at ``zb * MASK_CELLS + i - 1``."""
+    z = F.col("z").cast("int")
+    bit = F.expr(f"shiftleft(CAST(1 AS BIGINT), CAST(pmod(CAST(z AS INT), {MASK_CELLS}) + 1 AS INT))")
+    return cells.select(key, F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"),
+                        F.floor(z / MASK_CELLS).cast("int").alias("zb"), bit.alias("b")).groupBy(key, "x", "y", "zb").agg(
+        F.bit_or("b").alias("m"))
+
+
 def boundary_face_masks(cells: DataFrame, key: str = "uid", occupied: Column | None = None) -> DataFrame:
     """V15b in packed form: ``(key, x, y, z0, face, fm)``; bit ``i`` of ``fm``
     is the face of the cell at ``z0 + i``. Grids of any size.
 
     Each ``(uid, x, y)`` column is cut into blocks of ``MASK_CELLS`` cells, and
-    a block's occupied cells become one mask (``bit_or``, combined map-side);
-    a cell at a block's end is a border bit of the next block as well. Faces
-    along z are bit tests within the mask; faces along x and y compare a block
-    with those of the four neighbour columns, whose masks arrive through one
-    aggregation of 5 rows per block: no join, and far fewer rows shuffled than
-    cells x 6 offsets.
+    a block's occupied cells become one mask (``bit_or`` over the cells as they
+    are, combined map-side). Only blocks are sent on: to themselves, to the four
+    neighbour columns, and, where their first or last cell is occupied, as a
+    border bit to the block below or above. Faces along z are bit tests within
+    the mask, faces along x and y compare it with the neighbours' masks.
     """
     occ = cells.where(occupied) if occupied is not None else cells
-    base = occ.select(key, *[F.col(a).cast("int").alias(a) for a in AXES])
-    block = F.floor(F.col("z") / MASK_CELLS).cast("int")
-    base = base.select(key, "x", "y", block.alias("zb"), (F.pmod("z", F.lit(MASK_CELLS)) + 1).alias("bit"))
-    places = F.array(F.struct(F.col("zb"), F.col("bit")),
-                     F.when(F.col("bit") == 1, F.struct((F.col("zb") - 1).alias("zb"), F.lit(MASK_CELLS + 1).alias("bit"))),
-                     F.when(F.col("bit") == MASK_CELLS, F.struct((F.col("zb") + 1).alias("zb"), F.lit(0).alias("bit"))))
-    base = base.select(key, "x", "y", F.explode(F.array_compact(places)).alias("p"))
-    cols = base.groupBy(key, "x", "y", F.col("p.zb").alias("zb")).agg(
-        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), p.bit)")).alias("m"))
-    # each block sends its mask to itself (tag 0) and to its 4 neighbours
-    sends = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                      for t, dx, dy in ((0, 0, 0), (1, 1, 0), (2, -1, 0), (3, 0, 1), (4, 0, -1))])
-    e = cols.select(key, "x", "y", "zb", "m", F.explode(sends).alias("s"))
-    e = e.select(key, (F.col("x") - F.col("s.dx")).alias("x"), (F.col("y") - F.col("s.dy")).alias("y"), "zb",
-                 F.col("s.t").alias("t"), "m")
-    # tag 1: mask of column x+1 arrives at x; tag 2: x-1; tag 3: y+1; tag 4: y-1
-    g = e.groupBy(key, "x", "y", "zb").agg(*[
-        F.coalesce(F.max(F.when(F.col("t") == t, F.col("m"))), F.lit(0).cast("long")).alias(f"m{t}")
-        for t in range(5)])
+    cols = column_masks(occ, key)
+    low, high = F.shiftleft(F.lit(1).cast("long"), 1), F.shiftleft(F.lit(1).cast("long"), MASK_CELLS)
+    top = F.lit(_signed64(1 << (MASK_CELLS + 1))).cast("long")
+    one = F.lit(1).cast("long")
+
+    def send(tag, dx, dy, dz, mask):
+        return F.struct(F.lit(tag).alias("t"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"), mask.alias("m"))
+    m = F.col("m")
+    sends = F.array(*[send(t, dx, dy, 0, m) for t, dx, dy in ((0, 0, 0), (1, 1, 0), (2, -1, 0), (3, 0, 1), (4, 0, -1))],
+                    send(5, 0, 0, 1, F.when(m.bitwiseAND(low) != 0, top)),
+                    send(5, 0, 0, -1, F.when(m.bitwiseAND(high) != 0, one)))
+    e = cols.select(key, "x", "y", "zb", F.explode(sends).alias("s")).where("s.m is not null")
+    e = e.select(key, (F.col("x") - F.col("s.dx")).alias("x"), (F.col("y") - F.col("s.dy")).alias("y"),
+                 (F.col("zb") - F.col("s.dz")).alias("zb"), F.col("s.t").alias("t"), F.col("s.m").alias("m"))
+    # tag 1: mask of column x+1 arrives at x; tag 2: x-1; tag 3: y+1; tag 4: y-1; tag 5: border bits
+    none = F.lit(0).cast("long")
+    g = e.groupBy(key, "x", "y", "zb").agg(
+        *[F.bit_or(F.when(F.col("t") == t, F.col("m")).otherwise(none)).alias(f"m{t}") for t in range(1, 5)],
+        F.bit_or(F.when(F.col("t").isin(0, 5), F.col("m")).otherwise(none)).alias("m0"))
     own = F.lit(((1 << MASK_CELLS) - 1) << 1).cast("long")
     g = g.withColumn("m", F.col("m0").bitwiseAND(own)).where("m != 0")
     m = F.col("m")
@@ -461,14 +469,13 @@ def normalise_vertices(vertices: DataFrame, key: str = "uid") -> DataFrame:
 
 
 def centre_on_mean(vertices: DataFrame, key: str = "uid") -> DataFrame:
-    """Subtract the vertex mean and scale to unit max extent."""
-    m = vertices.groupBy(key).agg(*[F.avg(a).alias(f"_m_{a}") for a in AXES])
-    j = vertices.join(m, key)
+    """Subtract the vertex mean and scale to unit max extent (which a shift leaves as it is)."""
+    m = vertices.groupBy(key).agg(
+        *[F.avg(a).alias(f"_m_{a}") for a in AXES],
+        F.greatest(*[F.max(a) - F.min(a) for a in AXES]).alias("_extent"))
     rest = [c for c in vertices.columns if c not in (key, *AXES)]
-    c = j.select(key, *rest, *[(F.col(a) - F.col(f"_m_{a}")).alias(a) for a in AXES])
-    b = mesh_bounds(c, key).select(key, "max_extent")
-    scale = F.when(F.col("max_extent") > 0, F.col("max_extent")).otherwise(F.lit(1.0))
-    return c.join(b, key).select(key, *rest, *[(F.col(a) / scale).alias(a) for a in AXES])
+    scale = F.when(F.col("_extent") > 0, F.col("_extent")).otherwise(F.lit(1.0))
+    return vertices.join(m, key).select(key, *rest, *[((F.col(a) - F.col(f"_m_{a}")) / scale).alias(a) for a in AXES])
 
 
 def axis_slice(cells: DataFrame, axis: str = "x", index: int = 16, key: str = "uid") -> DataFrame:

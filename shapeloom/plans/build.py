@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.guard import guarded
 from ..functions.text import failure_reason
 from ..operators import catalog as cat
 from ..operators import features as fe
@@ -52,6 +53,8 @@ def asset_split(clean: DataFrame, files: DataFrame, mesh_bounds: DataFrame | Non
         reason = (reason
                   .when(F.coalesce(F.col("n_points"), F.lit(0)) == 0,
                         failure_reason("ValueError", F.concat(F.lit("Empty mesh: "), path)))
+                  .when(F.isnan("max_extent") | (F.col("max_extent") == float("inf")),
+                        failure_reason("ValueError", F.concat(F.lit("Non-finite mesh: "), path)))
                   .when(F.col("max_extent") <= 0,
                         failure_reason("ValueError", F.concat(F.lit("Degenerate mesh: "), path))))
         return j.withColumn("reason", reason).drop("n_points", "max_extent")
@@ -70,9 +73,13 @@ def manifest_rows(ok: DataFrame, root: str, source: str, key: str = "uid") -> Da
 def build_catalog_dataset(index: DataFrame, annotations: DataFrame, files: DataFrame,
                           triangles: DataFrame, categories=None, limit: int | None = None,
                           output_dir: str | None = None, dim: int = 256, size: int = 32,
-                          voxel_size: float = 0.05, source: str = "objaverse") -> BuildResult:
+                          voxel_size: float = 0.05, source: str = "objaverse", encoder=None) -> BuildResult:
     """The catalog build: S02-S04 -> T04 -> T03/F02/W01 -> J02 -> V04b..V11 + E01.
 
+    ``encoder`` is a factory of ``predict(texts) -> vectors`` to use in place of
+    the feature hash. An asset on which it fails is a failure row with the
+    exception as its reason (F08), and the build goes on without it.
+
     ``triangles`` is the mesh table keyed by ``uid`` (a mesh decoder writes it).
     Raises like the original when nothing usable is left, after writing the
     failure log (so it is never lost).
@@ -85,13 +92,22 @@ def build_catalog_dataset(index: DataFrame, annotations: DataFrame, files: DataF
     corners = tri.select("uid", F.explode(F.array(*[F.struct(*[F.col(f"{p}{a}").alias(a) for a in "xyz"])
                                                      for p in "abc"])).alias("v"))
     bounds = vx.mesh_bounds(corners.select("uid", "v.x", "v.y", "v.z"))
-    assets = _persisted(asset_split(clean, files, bounds), "assets")
+    split = asset_split(clean, files, bounds)
+    if encoder is not None:
+        usable = F.col("reason").isNull()
+        split = split.withColumn("_e", guarded(encoder, "array<float>")(F.when(usable, F.col("description"))))
+        split = split.withColumn("reason", F.coalesce("reason", F.when(usable, F.col("_e.reason"))))
+        split = split.withColumn("_e", F.col("_e.value"))
+    assets = _persisted(split, "assets")
     ok = assets.where(F.col("reason").isNull())
     failures = assets.where(F.col("reason").isNotNull()).select("uid", "reason")
     surface = _persisted(vx.voxelize_triangles(tri.join(ok.select("uid"), "uid", "left_semi"), voxel_size),
                          "surface_cells")
     cells = vx.resize_nearest(surface, size)
-    emb = fe.hash_embed(ok.select("uid", "description"), "uid", "description", dim=dim)
+    if encoder is None:
+        emb = fe.hash_embed(ok.select("uid", "description"), "uid", "description", dim=dim)
+    else:
+        emb = ok.select("uid", F.col("_e").alias("embedding"), fe.encoder_spec("custom", "given", dim).alias("spec"))
     root = output_dir or "data/processed"
     manifest = manifest_rows(ok, root, source)
     if output_dir:

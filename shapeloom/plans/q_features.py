@@ -20,14 +20,14 @@ _TOKENS_SQL = """
                  AS sign FROM t),
   s AS (SELECT doc_id, slot, SUM(sign) AS w FROM h GROUP BY doc_id, slot),
   n AS (SELECT doc_id, sqrt(SUM(w * w)) AS norm FROM s GROUP BY doc_id)
-  SELECT s.doc_id, s.slot, round(CAST(s.w AS DOUBLE) / n.norm, 6) AS weight
+  SELECT s.doc_id, s.slot, round(CAST(CAST(CAST(s.w AS DOUBLE) / n.norm AS FLOAT) AS DOUBLE), 6) AS weight
   FROM s JOIN n ON s.doc_id = n.doc_id WHERE s.w <> 0
 """)
 def q_hash_embed_md5(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    w = fe.slot_weights(d, "doc_id", "text", dim=64, hasher="md5")
-    s = fe.sparse_from_weights(w, "doc_id")
-    return s.where(F.col("weight") != 0).select("doc_id", "slot", F.round("weight", 6).alias("weight"))
+    e = fe.hash_embed(d, "doc_id", "text", dim=64, hasher="md5")
+    s = e.select("doc_id", F.posexplode("embedding").alias("slot", "weight"))
+    return s.where(F.col("weight") != 0).select("doc_id", "slot", F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 
 @query("hash_embed", "E01 E04 E05 T07 UDF-1")

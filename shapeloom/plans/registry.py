@@ -41,5 +41,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> dict[str, Query]:
     """Import every query module so that its queries register."""
-    from . import q_features, q_text, q_training, q_voxels, q_warehouse  # noqa: F401
+    from . import q_features, q_meshes, q_text, q_training, q_voxels, q_warehouse  # noqa: F401
     return QUERIES

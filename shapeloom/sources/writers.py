@@ -104,3 +104,79 @@ def write_obj(vertices: DataFrame, triangles: DataFrame, path: str, key: str = "
     (lines.repartition(key).sortWithinPartitions(key, "_k", "_n")
      .select(key, "value").write.mode("overwrite").partitionBy(key).text(path))
     return path
+
+
+MESH_FILES = "filename string, file string, bytes bigint, sha256 string, n_vertices bigint, n_triangles bigint"
+
+
+def publish_meshes(vertices: DataFrame, triangles: DataFrame, names: DataFrame, path: str, key: str = "request") -> DataFrame:
+    """One OBJ file per mesh under its published name; returns the manifest.
+
+    ``vertices`` and ``triangles`` are those of ``surface.dual_surface``,
+    ``names`` has one ``filename`` per key. Files go to 256 folders,
+    ``path/ab/<filename>`` by the first digits of the name's md5; a task writes
+    a file under a temporary name and renames it when it is whole, and the
+    manifest, ``path/manifest``, is replaced last: what it names is there.
+    A rerun writes the same bytes and replaces. A task holds one mesh's vertex
+    numbers at a time. Raises if two keys share a filename.
+    """
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
+    from pyspark import TaskContext
+
+    named = names.where("filename is not null").select(key, "filename").distinct()
+    if not named.groupBy("filename").count().where("count > 1").isEmpty():
+        raise ValueError("two meshes share a filename")
+    v = vertices.select(key, F.lit(0).alias("kind"), F.array("i", "j", "k").alias("at"), F.array("x", "y", "z").alias("xyz"))
+    t = triangles.select(key, F.lit(1).alias("kind"), F.array(*[f"{p}{n}" for p in "abc" for n in "ijk"]).alias("at"),
+                         F.array().cast("array<double>").alias("xyz"))
+    lines = named.join(v.unionByName(t), key, "left").select("filename", "kind", "at", "xyz")
+    lines = lines.repartition("filename").sortWithinPartitions("filename", "kind", "at")
+    columns = [c.split() for c in MESH_FILES.split(", ")]
+    kinds = {"string": pa.string(), "bigint": pa.int64()}
+    schema = pa.schema([(n, kinds[k]) for n, k in columns])
+
+    def run(batches):
+        store, base = fs.FileSystem.from_uri(path)
+        store.create_dir(f"{base}/_open", recursive=True)
+        attempt = TaskContext.get().taskAttemptId()
+        state = {"name": None}
+
+        def close():
+            if state["name"] is None:
+                return []
+            state["out"].close()
+            folder = hashlib.md5(state["name"].encode()).hexdigest()[:2]
+            store.create_dir(f"{base}/{folder}", recursive=True)
+            store.move(state["open"], f"{base}/{folder}/{state['name']}")
+            return [{"filename": state["name"], "file": f"{folder}/{state['name']}", "bytes": state["bytes"],
+                     "sha256": state["sha"].hexdigest(), "n_vertices": len(state["ids"]), "n_triangles": state["faces"]}]
+
+        def put(line):
+            raw = line.encode()
+            state["out"].write(raw)
+            state["sha"].update(raw)
+            state["bytes"] += len(raw)
+        for batch in batches:
+            done = []
+            for name, kind, at, xyz in zip(*(c.to_pylist() for c in batch.columns)):
+                if name != state["name"]:
+                    done += close()
+                    opened = f"{base}/_open/{hashlib.md5(name.encode()).hexdigest()}.{attempt}"
+                    state = {"name": name, "open": opened, "out": store.open_output_stream(opened, compression=None),
+                             "sha": hashlib.sha256(), "bytes": 0, "ids": {}, "faces": 0}
+                if kind == 0:
+                    state["ids"][tuple(at)] = len(state["ids"]) + 1
+                    put("v {:.6f} {:.6f} {:.6f}\n".format(*xyz))
+                elif kind == 1:
+                    state["faces"] += 1
+                    put("f {} {} {}\n".format(*(state["ids"][tuple(at[p:p + 3])] for p in (0, 3, 6))))
+            if done:
+                yield pa.RecordBatch.from_pylist(done, schema=schema)
+        if last := close():
+            yield pa.RecordBatch.from_pylist(last, schema=schema)
+    manifest = lines.mapInArrow(run, MESH_FILES)
+    manifest.write.mode("overwrite").parquet(f"{path}/manifest")
+    return manifest.sparkSession.read.schema(manifest.schema).parquet(f"{path}/manifest")
