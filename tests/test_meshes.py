@@ -129,22 +129,23 @@ def _registry(spark, side=4, noise=3, backend="hash", name="signed-hash-md5"):
         tr.registry_row(spark, "other", 9, 0, "hash", None, 1, ""))
 
 
-def _model():
-    def predict(x):
-        if (x[:, 0] > 5).any():
-            raise RuntimeError("too much noise")
-        out = np.zeros((len(x), 64), dtype=np.float32)
-        out[:, 21] = 0.9
-        out[:, 22] = np.abs(x[:, :8]).sum(axis=1) / 10
-        return out
-    return predict
+def _model_of():
+    """A factory that workers can load: they don't see this module."""
+    def model():
+        def predict(x):
+            out = np.zeros((len(x), 64), dtype=np.float32)
+            out[:, 21] = 0.9
+            out[:, 22] = np.abs(x[:, :8]).sum(axis=1) / 10
+            return out
+        return predict
+    return model
 
 
 def test_prompt_meshes_keep_every_row_and_publish_files(spark):
     rows = [("a", "red chair", 1, 0.5), ("a", "blue table", 1, 0.5), (None, "red chair", 1, 0.5), ("b", " ", 1, 0.5),
             ("c", "red chair", None, 0.5), ("c", "red chair", None, 0.5), (None, None, 1, 0.5), ("d", "x", 2, 0.95)]
     prompts = spark.createDataFrame(rows, schemas.PROMPTS)
-    made = sc.prompt_meshes(prompts, _registry(spark), "m", {"m": _model})
+    made = sc.prompt_meshes(prompts, _registry(spark), "m", {"m": _model_of()})
     got = made.requests.collect()
     assert Counter((r.prompt_id, r.prompt) for r in got) == Counter(r[:2] for r in rows)
     reasons = Counter(r.reason for r in got)
@@ -192,10 +193,10 @@ def test_prompt_meshes_failing_models_and_settings(spark):
     wrong = sc.prompt_meshes(prompts, _registry(spark), "m", {"m": lambda: lambda x: np.zeros((len(x), 63))}).requests
     assert {r.reason for r in wrong.collect()} == {"ValueError: Expected a 3D voxel grid of 64 cells, got 63"}
     with pytest.raises(ValueError, match="no encoder"):
-        sc.prompt_meshes(prompts, _registry(spark, backend="t5", name="gone"), "m", {"m": _model})
+        sc.prompt_meshes(prompts, _registry(spark, backend="t5", name="gone"), "m", {"m": _model_of()})
     with pytest.raises(ValueError, match="0 registry rows"):
         sc.prompt_meshes(prompts, _registry(spark), "absent", {})
-    assert sc.prompt_meshes(prompts.limit(0), _registry(spark), "m", {"m": _model}).requests.isEmpty()
+    assert sc.prompt_meshes(prompts.limit(0), _registry(spark), "m", {"m": _model_of()}).requests.isEmpty()
 
 
 def test_score_prompts_by_row(spark):
