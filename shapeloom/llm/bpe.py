@@ -32,7 +32,7 @@ WINDOW = 1 << 16
 #: A piece can depend on so many characters after its end (white space before a word, ``'re``).
 MARGIN = 3
 #: Texts and boundaries remembered by a worker, about, and the longest text remembered.
-REMEMBERED, LONGEST = 250_000, 48
+REMEMBERED, LONGEST = 500_000, 48
 #: Pieces that begin with the same so many bytes share that part of their tables.
 SHARED = 6
 _NEVER = 1 << 62
