@@ -6,7 +6,10 @@ stretch of WINDOW aligned tokens with at most MISSES substitutions leaves the
 kept offsets of at least one mask untouched (checked in the tests), so equal
 hashes find it. Around each hit the neighbouring tokens of both sides are
 compared, and a hit counts if a window of WINDOW tokens around it has at most
-MISSES unlike ones. Items shorter than a window must occur whole.
+MISSES unlike ones. Items of LEAST tokens and more that are shorter than a
+window must occur whole, with at most one substitution; each half of such an
+item is a mask of its own. Shorter items prove nothing by themselves: an answer
+of a common word stands in many clean texts.
 
 Documents' hashes are many and the benchmark's few, so a bitmap of fixed size
 with the benchmark's hashes goes to every task and drops nearly all of them
@@ -28,6 +31,8 @@ from .storage import run_dir, written
 
 #: Fixed parameters: window length, substitutions allowed in it, kept offsets of the masks.
 WINDOW, MISSES = 13, 2
+#: Least tokens of an item that can be found.
+LEAST = 8
 MASKS = ((0, 1, 2, 3, 5, 6, 7), (0, 1, 4, 7, 8, 9, 10), (0, 1, 2, 3, 5, 7, 8))
 #: Tokens before and after a hit's first token that a window around it can reach.
 REACH = WINDOW - 1
@@ -62,8 +67,8 @@ def around(tok: np.ndarray, bounds: np.ndarray, at: np.ndarray, rows: np.ndarray
 _HIT = "mask int, hash bigint, pos int, near array<bigint>"
 
 
-def _hits(rows: DataFrame, ids: str, masks: list[tuple[int, ...]], outside: int, bitmap=None) -> DataFrame:
-    """One row per kept masked hash of ``rows`` (two id columns, then text)."""
+def _hits(rows: DataFrame, ids: str, masks: list[tuple[int, ...]], lengths: list[int], outside: int, bitmap=None) -> DataFrame:
+    """One row per kept masked hash of ``rows`` (two id columns, then text); lengths: of the items of each mask, 0: a window or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in h.text_chunks(batch.column(2)):
@@ -74,8 +79,8 @@ def _hits(rows: DataFrame, ids: str, masks: list[tuple[int, ...]], outside: int,
                         bit = x >> np.uint64(64 - BITMAP_BITS)
                         there = (bitmap.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
                         pick = np.flatnonzero(there)
-                    elif len(mask) < WINDOW and mask == tuple(range(len(mask))):
-                        pick = np.flatnonzero(np.diff(bounds)[of] == len(mask))  # a short item's own length
+                    elif lengths[number]:  # a short item as a whole
+                        pick = np.flatnonzero((np.diff(bounds)[of] == lengths[number]) & (at == bounds[:-1][of]))
                     else:
                         pick = np.flatnonzero(np.diff(bounds)[of] >= WINDOW)
                     x, at, of = x[pick], at[pick], of[pick]
@@ -117,12 +122,14 @@ def _verified(hits: DataFrame) -> DataFrame:
             begin = pos - REACH + np.argmax(good, axis=1)
             end = pos - REACH + (count.shape[1] - 1 - np.argmax(good[:, ::-1], axis=1)) + WINDOW
             unlike = np.where(good, count, WINDOW).min(axis=1)
-            # a short item's hash covers the whole of it
-            whole = length > 0
-            begin = np.where(whole, pos, begin)
-            end = np.where(whole, pos + length, end)
-            unlike = np.where(whole, 0, unlike)
-            keep = pa.array(np.flatnonzero(whole | good.any(axis=1)))
+            # a short item: all of it from the hit's first token on
+            short, row, last = length > 0, np.arange(n), REACH + length
+            misses = bad[row, last] - bad[:, REACH]
+            whole = short & (misses <= 1) & (off[row, last] == off[:, REACH])
+            begin = np.where(short, pos, begin)
+            end = np.where(short, pos + length, end)
+            unlike = np.where(short, misses, unlike)
+            keep = pa.array(np.flatnonzero(np.where(short, whole, good.any(axis=1))))
             out = [cols[f] for f in ("doc_id", "text_hash", "item_id", "item_hash")]
             out += [pa.array(x.astype(np.int32)) for x in (begin, end, unlike)]
             yield pa.RecordBatch.from_arrays([x.take(keep) for x in out], names=[
@@ -135,8 +142,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id",
     """doc_id, text_hash, item_id, first_token, end_token, fewest_unlike: one row per document and item that overlap.
 
     The tokens [first_token, end_token) span all matching windows. Clean
-    documents have no row. Null and wordless texts or items overlap with
-    nothing; repeated rows count once; a null id is kept as null; empty tables
+    documents have no row. Null and wordless texts or items, and items of fewer
+    than LEAST tokens, overlap with nothing; texts of any length are read
+    whole; repeated rows count once; a null id is kept as null; empty tables
     give no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -150,9 +158,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id",
             for _, _, data, offsets in h.text_chunks(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.diff(tokens(data, offsets)[1]).astype(np.int32))], names=["n"])
     short = sorted(r.n for r in items.select("text").mapInArrow(lengths, "n int").where(
-        f"n > 0 and n < {WINDOW}").distinct().collect())
-    masks = [*MASKS, *(tuple(range(n)) for n in short)]
-    seeds = written(_hits(items, "item_id bigint, item_hash bigint", masks, outside=1), folder, "seeds")
+        f"n >= {LEAST} and n < {WINDOW}").distinct().collect())
+    halves = [(tuple(m), n) for n in short for m in (range(n // 2), range(n // 2, n))]
+    masks, sizes = [*MASKS, *(m for m, _ in halves)], [0] * len(MASKS) + [n for _, n in halves]
+    seeds = written(_hits(items, "item_id bigint, item_hash bigint", masks, sizes, outside=1), folder, "seeds")
 
     word = F.shiftrightunsigned("hash", 64 - BITMAP_BITS + 6)
     bits = seeds.groupBy(word.alias("word")).agg(F.bit_or(F.expr(
@@ -164,11 +173,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id",
 
     rows = docs.select(F.col(doc_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                        F.col(text_col).cast("string").alias("text"))
-    found = _hits(rows, "doc_id bigint, text_hash bigint", masks, outside=0, bitmap=shared)
+    found = _hits(rows, "doc_id bigint, text_hash bigint", masks, sizes, outside=0, bitmap=shared)
     sides = found.join(seeds.select("item_id", "item_hash", "mask", "hash", F.col("pos").alias("item_pos"),
                                     F.col("near").alias("item_near")), ["hash", "mask"])
-    length = F.when(F.col("mask") >= len(MASKS), F.element_at(F.lit(np.array([0, *short])).cast("array<int>"),
-                                                             F.col("mask") - len(MASKS) + 2)).otherwise(0)
+    length = F.element_at(F.lit(np.array(sizes)).cast("array<int>"), F.col("mask") + 1)
     spans = _verified(sides.select("doc_id", "text_hash", "item_id", "item_hash", "pos", "near", "item_near",
                                    length.alias("length")))
     return spans.groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(

@@ -17,7 +17,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import run_dir, written
+from .storage import fresh, run_dir, written
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -76,7 +76,8 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
     longest (host and path together, then host) wins, and without one the
     verdict is ``default``. A null path is empty; a rule without host fits
     nothing; of two rules alike the greater verdict (block) counts. A null url
-    and one without ``://`` have empty host and path and the default verdict.
+    and one without ``://`` have empty host and path and the default verdict;
+    urls of any length count whole, repeated ones once.
     Empty tables are allowed on either side; other columns are not read.
     """
     folder = run_dir(urls.sparkSession, "urls")
@@ -104,8 +105,11 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
 
 
 def filter_pages(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule and verdict of ``url_col`` as columns _host, _path, _rule, _verdict."""
+    """``pages`` with host, path, rule and verdict of ``url_col`` as columns _host, _path, _rule, _verdict.
+
+    A name that the table has already gets more underscores in front.
+    """
+    own = fresh(pages, "_url")
     judged = judge(pages.select(F.col(url_col).cast("string").alias("url")), rules, default).select(
-        F.col("url").alias("_url"), F.col("host").alias("_host"), F.col("path").alias("_path"),
-        F.col("rule").alias("_rule"), F.col("verdict").alias("_verdict"))
-    return pages.join(judged, F.col(url_col).eqNullSafe(F.col("_url")), "left").drop("_url")
+        F.col("url").alias(own), *[F.col(c).alias(fresh(pages, f"_{c}")) for c in ("host", "path", "rule", "verdict")])
+    return pages.join(judged, F.col(url_col).eqNullSafe(F.col(own)), "left").drop(own)

@@ -54,3 +54,13 @@ def test_random_nested_rules(spark, seed):
 
 def test_empty(spark):
     assert run(spark, [], RULES) == {}
+
+
+def test_columns_named_like_its_own(spark):
+    from shapeloom.llm.url_filter import filter_pages
+    pages = spark.createDataFrame([("http://a.com/x" + "y" * 100_000, 1, 2, 3)], "url string, _url int, _host int, _Rule int")
+    rules = spark.createDataFrame([("com", "/x", "block")], "host string, path string, verdict string")
+    got = filter_pages(pages, rules)
+    assert got.columns == ["url", "_url", "_host", "_Rule", "__host", "_path", "__rule", "_verdict"]
+    row = got.first()
+    assert (row["_url"], row["_host"], row["_Rule"], row["__host"], row["__rule"], row["_verdict"]) == (1, 2, 3, "a.com", "com/x", "block")
