@@ -27,14 +27,22 @@ def _by_row(docs: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; null and wordless texts are rejected."""
+    """Documents that the classifier rejects go; null and wordless texts are rejected.
+
+    Rows equal in id and text are judged alike; the whole of a text counts; an
+    empty table gives none.
+    """
     model = quality.train(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     judged = quality.classify(docs, model).where("kept").select("doc_id", "text_hash").distinct()
     return _by_row(docs, judged, "left_semi").select(*COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines go; a document of which no line is left goes as well."""
+    """Lines that stood before go, runs of one line included; a document of which no line is left goes as well.
+
+    Rows equal in id and text are one document and come out alike. Null,
+    empty and blank texts lose nothing and stay; an empty table gives none.
+    """
     kept = line_dedup.dedup_lines(docs.select(*COLUMNS)).where("_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
@@ -58,13 +66,23 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go.
+
+    Null and wordless texts hold none and stay; rows equal in id and text go
+    or stay together; whole texts are searched; empty tables on either side
+    take nothing.
+    """
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
     return _by_row(docs, found.select("doc_id", "text_hash").distinct(), "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How many words of each remaining document the mix takes (see ``mixing.Mix``)."""
+    """How many words of each remaining document the mix takes (see ``mixing.Mix``).
+
+    A row per row: null and empty texts have size 0 and give nothing, repeated
+    rows are documents of their own, a null source is a source; an empty table
+    gives none.
+    """
     return mixing.Mix(docs).per_document().select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
