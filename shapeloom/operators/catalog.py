@@ -53,6 +53,17 @@ def select_categories(members: DataFrame, categories: Iterable[str] | None = Non
     return out
 
 
+def first_per_category(rows: DataFrame, n: int, order: list[str], category: str = "category") -> DataFrame:
+    """The first ``n`` rows of each category by ``order``, with their place as ``pos`` (from 0).
+
+    The limit works within each task before anything is shuffled, so a category
+    that holds most rows sends at most ``n`` of them from a task. Rows equal in
+    ``order`` are placed in no certain order.
+    """
+    rank = F.row_number().over(Window.partitionBy(category).orderBy(*order))
+    return rows.withColumn("pos", rank).where(F.col("pos") <= n).withColumn("pos", (F.col("pos") - 1).cast("long"))
+
+
 def add_sanitized(df: DataFrame, text: Column, category: str, out: str) -> DataFrame:
     """Add T02 of already-clean ``text`` as ``out``, one projection per step."""
     keep = [c for c in df.columns if c != out]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import EMPTY_TOKEN, token_runs
+from ..functions.text import EMPTY_TOKEN, split_words, token_runs
 
 HASH_MODEL_NAME = "deterministic-hash-v1"
 BACKENDS = ("t5", "hash")
@@ -173,8 +173,10 @@ def embed(df: DataFrame, backend: str = "hash", key: str = "uid", text_col: str
     contextual model) runs a user-supplied ``factory`` through
     ``predict_batch_udf``: the model loads once per Python worker and sees
     Arrow batches of ``batch_size`` texts. The factory returns
-    ``predict(texts: np.ndarray) -> np.ndarray[n, d]`` and owns tokenisation,
-    truncation to ``max_length`` (L07) and masked mean pooling (A08)."""
+    ``predict(texts: np.ndarray) -> np.ndarray[n, d]`` and owns tokenisation and
+    masked mean pooling (A08). L07: it sees the first ``max_length`` words of a
+    text, joined by a space; as a word is one token at least, they hold the
+    first ``max_length`` tokens of any tokenizer that doesn't join words."""
     b = backend.lower()
     if b not in BACKENDS:
         raise ValueError(f"Unknown text encoder backend: {backend}")
@@ -184,7 +186,10 @@ def embed(df: DataFrame, backend: str = "hash", key: str = "uid", text_col: str
         raise ValueError("backend 't5' needs a model factory")
     from pyspark.ml.functions import predict_batch_udf
     udf = predict_batch_udf(factory, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
-    return df.select(F.col(key), udf(F.coalesce(F.col(text_col), F.lit(""))).alias("embedding"),
+    if max_length <= 0:
+        raise ValueError("max_length must be positive")
+    words = F.array_join(F.slice(split_words(text_col), 1, max_length), " ")
+    return df.select(F.col(key), udf(words).alias("embedding"),
                      encoder_spec(b, model_name, dim).alias("spec"))
 
 

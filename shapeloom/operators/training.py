@@ -21,7 +21,9 @@ def training_view(manifest: DataFrame, cells: DataFrame, embeddings: DataFrame,
                   empty_grids: DataFrame | None = None) -> DataFrame:
     """``(uid, voxels array<float>[size^3], embedding)`` per manifest row.
 
-    Two equi-joins on ``uid``. In strict mode a manifest row without a voxel
+    Two equi-joins on ``uid``, each table read once; over tables that
+    ``writers.write_bucketed`` laid out by ``uid`` neither needs an exchange.
+    In strict mode a manifest row without a voxel
     grid or embedding is an error (the check is two anti-join counts). An asset
     whose grid has no occupied cell has no row in ``cells``: ``empty_grids``
     names those, and they get an all-zero grid (V08).
@@ -36,12 +38,11 @@ def training_view(manifest: DataFrame, cells: DataFrame, embeddings: DataFrame,
             have = have.unionByName(empty_grids.select(key))
         if m.join(have.distinct(), key, "left_anti").limit(1).count():
             raise ValueError("manifest rows without a voxel grid")
-    m = m.join(embeddings.select(key), key, "left_semi")
     # grids stay sparse (occupied cells only) through both joins and are
     # densified last: a join side never carries size^3 floats per row, which
     # the planner's size estimate for a UDF's array output would not see
     grids = dense_entries(cells.join(m, key, "left_semi"), size, key)
-    v = m.join(grids, key, "left").join(embeddings.select(key, "embedding"), key, "inner")
+    v = m.join(embeddings.select(key, "embedding"), key).join(grids, key, "left")
     # An asset with no occupied cell has NULL entries -> an all-zero grid
     return v.select(key, densify(F.col("_e"), size).alias("voxels"), "embedding")
 
@@ -147,3 +148,25 @@ def loss_curves(run_metrics: DataFrame, run_id: str | None = None) -> DataFrame:
     m = run_metrics if run_id is None else run_metrics.where(F.col("run_id") == run_id)
     return m.groupBy("run_id", "step").pivot("key", ["generator_loss", "discriminator_loss"]) \
         .agg(F.first("value")).orderBy("run_id", "step")
+
+
+def split_rows(df: DataFrame, group: str | Column, shares: Mapping[str, float], seed: int = 42, out: str = "split") -> DataFrame:
+    """``df`` with the split of each row: ``shares`` name the splits and their parts of the whole.
+
+    A row's place is a function of ``seed`` and its group alone (the first 32
+    bits of an md5), so copies of a group never part, reruns and other
+    partitionings agree, and a larger table keeps earlier rows where they
+    were. Null groups are one group. No shuffle.
+    """
+    total = float(sum(shares.values()))
+    if not shares or total <= 0 or min(shares.values()) < 0:
+        raise ValueError("shares must not be negative, and some must be positive")
+    g = F.col(group) if isinstance(group, str) else group
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(g.cast("string"), F.lit(""))))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
+    split, upto = None, 0.0
+    for name, share in list(shares.items())[:-1]:
+        upto += share / total
+        split = F.when(place < upto, name) if split is None else split.when(place < upto, name)
+    last = F.lit(list(shares)[-1])
+    return df.withColumn(out, last if split is None else split.otherwise(last))

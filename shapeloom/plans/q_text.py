@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.text import IGNORED_TAGS, WS
 from ..operators import catalog as cat
-from ..operators.ordinal import ordinal_within
 from .derived import (annotations_from_documents, annotations_sql, sql_clean_description,
                       sql_clean_text, sql_sanitize_steps, sql_useful_clean)
 from .registry import query, table
@@ -173,8 +172,7 @@ def q_largest_category(spark, sf_dir):
 def q_limit_per_category(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(
         F.col("source").alias("category"), "doc_id", F.col("doc_id").cast("string").alias("uid"))
-    members = ordinal_within(d, ["category"], ["doc_id"], out="pos")
-    return cat.select_categories(members, None, limit=10).select("category", "pos", "uid")
+    return cat.first_per_category(d, 10, ["doc_id"]).select("category", "pos", "uid")
 
 
 @query("tokenize_counts", "T06", oracle="""

@@ -230,3 +230,13 @@ def q_loss_curves(spark, sf_dir):
     m = q_epoch_metrics(spark, sf_dir)
     runs = tr.metrics_frame(m, "run-1")
     return tr.loss_curves(runs).select("run_id", "step", "generator_loss", "discriminator_loss")
+
+
+@query("train_split", "R01", oracle="""
+  WITH p AS (SELECT doc_id, ('0x' || substr(md5('42:' || coalesce(text, '')), 1, 8))::BIGINT / 4294967296.0 AS place FROM documents)
+  SELECT doc_id, CASE WHEN place < 0.8 THEN 'train' WHEN place < 0.9 THEN 'validation' ELSE 'test' END AS split FROM p
+""")
+def q_train_split(spark, sf_dir):
+    """Copies of a text stay in one split."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tr.split_rows(d, "text", {"train": 0.8, "validation": 0.1, "test": 0.1}).select("doc_id", "split")

@@ -43,6 +43,20 @@ def read_annotations(spark: SparkSession, path: str, uids: DataFrame | None = No
     return ann
 
 
+def read_keyed(spark: SparkSession, path: str, requests: DataFrame, key: str = "uid", parts: int = 256) -> DataFrame:
+    """Rows of the requested keys from a table that ``writers.write_keyed`` wrote with the same ``parts``.
+
+    The folders that the requested keys hash to, at most ``parts`` numbers, are
+    named in the scan, so a small request reads few files, whatever the table's
+    size. Null keys match nothing; a key requested twice gives its rows once.
+    """
+    wanted = requests.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    part = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(parts)).cast("int")
+    numbers = sorted(r[0] for r in wanted.select(part.alias("p")).distinct().collect())
+    table = spark.read.parquet(path)
+    return table.where(F.col("_part").isin(numbers)).drop("_part").join(wanted, key, "left_semi")
+
+
 def asset_inventory(spark: SparkSession, root: str, glob: str = "*.glb", suffix: str = ".glb") -> DataFrame:
     """``(uid, mesh_path, length, modificationTime)`` for mesh files
     under ``root`` (recursive). Only file metadata is read: the ``content``

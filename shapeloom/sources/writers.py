@@ -35,6 +35,23 @@ def write_features(df: DataFrame, path: str, partition_by: str | None = None,
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, key: str = "uid", buckets: int = 64) -> str:
+    """A warehouse table laid out by ``key``; tables of one ``buckets`` join on it without an exchange."""
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return table
+
+
+def write_keyed(df: DataFrame, path: str, key: str = "uid", parts: int = 256) -> str:
+    """Files of which ``readers.read_keyed`` reads only those that requested keys can be in.
+
+    A folder per hash of the key, rows sorted by it inside.
+    """
+    part = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(parts)).cast("int")
+    (df.withColumn("_part", part).repartition(parts, "_part").sortWithinPartitions("_part", key)
+     .write.mode("overwrite").partitionBy("_part").parquet(path))
+    return path
+
+
 def write_failures(failures: DataFrame, output_dir: str) -> tuple[str, str]:
     """``failed_assets.csv`` (a folder of part files, each with a header;
     no single-task funnel however many assets fail) and a Parquet copy."""
