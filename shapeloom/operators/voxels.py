@@ -112,41 +112,31 @@ def _cross(a, b):
     return (a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
 
 
-def _triangle_box_overlap(v0, v1, v2, h: float) -> Column:
-    """Separating-axis test (13 axes) of a triangle against the box
-    ``[-h, h]^3``; the vertices are already relative to the box centre."""
-    conds = []
-    for k in range(3):  # box face normals
-        lo = F.least(v0[k], v1[k], v2[k])
-        hi = F.greatest(v0[k], v1[k], v2[k])
-        conds.append((lo <= h) & (hi >= -h))
-    e = [tuple(v1[k] - v0[k] for k in range(3)), tuple(v2[k] - v1[k] for k in range(3)),
-         tuple(v0[k] - v2[k] for k in range(3))]
-    unit = [(F.lit(1.0), F.lit(0.0), F.lit(0.0)), (F.lit(0.0), F.lit(1.0), F.lit(0.0)),
-            (F.lit(0.0), F.lit(0.0), F.lit(1.0))]
-    for u in unit:  # edge x axis cross products
-        for ed in e:
-            ax = _cross(u, ed)
-            p0, p1, p2 = _dot(ax, v0), _dot(ax, v1), _dot(ax, v2)
-            rad = F.lit(h) * (F.abs(ax[0]) + F.abs(ax[1]) + F.abs(ax[2]))
-            conds.append((F.least(p0, p1, p2) <= rad) & (F.greatest(p0, p1, p2) >= -rad))
-    n = _cross(e[0], e[1])  # triangle plane
-    d = _dot(n, v0)
-    rad = F.lit(h) * (F.abs(n[0]) + F.abs(n[1]) + F.abs(n[2]))
-    conds.append(F.abs(d) <= rad)
-    out = conds[0]
-    for cnd in conds[1:]:
-        out = out & cnd
-    return out
+def _separating_axes(a, b, c, h: float) -> Column:
+    """What a cell of half width ``h`` is tested against, once per triangle: five numbers for each of ten axes.
+
+    They are the axis, and the least and greatest projection of corner ``a``
+    from the cell's centre at which triangle and cell meet along it. The axes
+    are the edges' cross products with the grid axes and the triangle's
+    normal; the grid axes themselves are what the triangle's box is cut by.
+    """
+    e = [tuple(q[k] - p[k] for k in range(3)) for p, q in ((a, b), (b, c), (c, a))]
+    one = [tuple(F.lit(1.0 if k == j else 0.0) for k in range(3)) for j in range(3)]
+    numbers = []
+    for axis in [_cross(u, ed) for u in one for ed in e] + [_cross(e[0], e[1])]:
+        rad = F.lit(h) * (F.abs(axis[0]) + F.abs(axis[1]) + F.abs(axis[2]))
+        to_b, to_c = _dot(axis, e[0]), -_dot(axis, e[2])
+        numbers += [*axis, -rad - F.greatest(F.lit(0.0), to_b, to_c), rad - F.least(F.lit(0.0), to_b, to_c)]
+    return F.array(*numbers)
 
 
 def voxelize_triangles(triangles: DataFrame, voxel_size: float = 0.05, key: str = "uid") -> DataFrame:
     """Every cell a triangle touches, on the unit-scaled mesh.
 
-    Per mesh bounds come from a small aggregate over the three corners. Each
-    triangle explodes the cells of its own bounding box and keeps those that
-    pass the 13-axis separating test, all as Column arithmetic; ``distinct``
-    combines map-side. Work is distributed by triangle, so one huge mesh is
+    Per mesh bounds come from a small aggregate over the three corners. A
+    triangle's separating axes are worked out once; it explodes the cells of
+    its own bounding box and keeps those that no axis parts from it, a dot
+    product and two comparisons an axis; ``distinct`` combines map-side. Work is distributed by triangle, so one huge mesh is
     spread over many tasks.
     """
     corners = triangles.select(key, F.explode(F.array(
@@ -162,12 +152,18 @@ def voxelize_triangles(triangles: DataFrame, voxel_size: float = 0.05, key: str
             rel[p + a] = ((F.col(f"{p}{a}") - F.col(f"min_{a}")) / F.col("max_extent")
                           / F.lit(voxel_size) + F.lit(0.5))
     t = t.select(key, *[rel[k].alias("r" + k) for k in rel])
+    corner = {p: tuple(F.col(f"r{p}{a}") for a in AXES) for p in "abc"}
+    spans = [F.sequence(*[F.floor(f(*[F.col(f"r{p}{a}") for p in "abc"])).cast("int") for f in (F.least, F.greatest)])
+             for a in AXES]
+    t = t.select(key, *[F.col(f"ra{a}") for a in AXES], _separating_axes(*corner.values(), h=0.5).alias("_s"),
+                 *[s.alias(f"_{a}") for s, a in zip(spans, AXES)])
     for a in AXES:
-        lo = F.floor(F.least(*[F.col(f"r{p}{a}") for p in "abc"])).cast("int")
-        hi = F.floor(F.greatest(*[F.col(f"r{p}{a}") for p in "abc"])).cast("int")
-        t = t.withColumn(a, F.explode(F.sequence(lo, hi)))
-    verts = [tuple(F.col(f"r{p}{a}") - (F.col(a) + F.lit(0.5)) for a in AXES) for p in "abc"]
-    hit = _triangle_box_overlap(*verts, h=0.5)
+        t = t.withColumn(a, F.explode(f"_{a}")).drop(f"_{a}")
+    at = [F.col(f"ra{a}") - (F.col(a) + F.lit(0.5)) for a in AXES]
+    hit = F.lit(True)
+    for n in range(0, 50, 5):
+        p = F.col("_s")[n] * at[0] + F.col("_s")[n + 1] * at[1] + F.col("_s")[n + 2] * at[2]
+        hit = hit & p.between(F.col("_s")[n + 3], F.col("_s")[n + 4])
     return t.where(hit).select(key, *AXES).distinct()
 
 
