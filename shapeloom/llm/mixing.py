@@ -23,7 +23,7 @@ from .storage import run_dir, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a hash bucket, about; the running sum inside one is a window.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 ROUNDS = 10
 #: Numbers of a running sum that are summed as one first.
 STRETCH = 4096
@@ -129,12 +129,12 @@ class Mix:
         rows = sized.join(sources.select(F.col("source").alias("_source"), "number", "width"),
                           F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.lit(buckets)))
-        sums = rows.groupBy("number", "bucket").agg(F.sum("size").alias("_sum"))
-        sums = sums.withColumn("_start", F.sum("_sum").over(Window.partitionBy("number").orderBy("bucket")) - F.col("_sum"))
+        sums = rows.groupBy("number", "bucket").agg(F.sum("size").alias("words"))
+        sums = running_before(sums, ["number"], "bucket", "words", "before")
         inside = Window.partitionBy("number", "bucket").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("_upto", F.sum("size").over(inside)).join(sums.drop("_sum"), ["number", "bucket"])
+        rows = rows.withColumn("_upto", F.sum("size").over(inside)).join(sums.drop("words"), ["number", "bucket"])
         self.rows = written(rows.select("doc_id", "text_hash", "number", "size", "width",
-                                        (F.col("_start") + F.col("_upto") - F.col("size")).alias("first")), folder, "rows")
+                                        (F.col("before") + F.col("_upto") - F.col("size")).alias("first")), folder, "rows")
         self.slots = written(self._slots(spark, folder, shard_slots, seed), folder, "slots")
 
     @staticmethod
