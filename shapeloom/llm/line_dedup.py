@@ -128,7 +128,8 @@ def _without(texts: pd.Series, removed: pd.Series) -> pd.Series:
     return pd.Series([one(t, n) for t, n in zip(texts, removed, strict=True)], dtype=object)
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = 1, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = 1, doc_col: str = "doc_id", text_col: str = "text",
+                runs: int | None = None) -> DataFrame:
     """``docs`` with ``text_col`` less every later repeated run of ``min_lines`` or more lines.
 
     By default runs of one line count: every line that stood at an earlier
@@ -139,16 +140,29 @@ def dedup_lines(docs: DataFrame, min_lines: int = 1, doc_col: str = "doc_id", te
     stay null, empty ones empty; texts of any length are read whole; an empty
     table gives no rows. All columns stay; one is added: _removed, the number
     of lines deleted (with more underscores in front if the table has that name).
+
+    With ``runs``, at least ``min_lines``, two more are added the same way:
+    _run_text, the text less later repeated runs of ``runs`` or more lines
+    alone, and _run_removed, how many lines those are.
     """
-    gone_id, gone_hash, numbers, row_id, row_hash, removed = (
-        fresh(docs, c) for c in ("_gone_id", "_gone_hash", "_numbers", "_row_id", "_row_hash", "_removed"))
+    if runs is not None and runs < min_lines:
+        raise ValueError("runs must not be below min_lines")
+    gone_id, gone_hash, numbers, row_id, row_hash, removed, run_numbers, run_text, run_removed = (
+        fresh(docs, c) for c in ("_gone_id", "_gone_hash", "_numbers", "_row_id", "_row_hash", "_removed",
+                                 "_run_numbers", "_run_text", "_run_removed"))
     gone = repeated_lines(docs, min_lines, doc_col, text_col).select(
         F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash), F.col("removed").alias(numbers))
+    if runs is not None:  # a line of a longer run that has occurred is one of a shorter run that has
+        longer = repeated_lines(docs, runs, doc_col, text_col).withColumnRenamed("removed", run_numbers)
+        gone = gone.join(longer, F.col(gone_id).eqNullSafe(F.col("doc_id")) & (F.col(gone_hash) == F.col("text_hash")),
+                         "left").drop("doc_id", "text_hash")
     joined = docs.withColumns({row_id: F.col(doc_col).cast("long"), row_hash: F.xxhash64(text_col)}).join(
         gone, F.col(row_id).eqNullSafe(F.col(gone_id)) & (F.col(row_hash) == F.col(gone_hash)), "left")
     # only texts that lose lines cross to Python
     whole = F.col(text_col).cast("string")
-    text = F.when(F.col(numbers).isNull(), whole).otherwise(
-        _without(F.when(F.col(numbers).isNotNull(), whole), F.col(numbers)))
-    return joined.withColumns({text_col: text, removed: F.greatest(F.size(numbers), F.lit(0))}).drop(
-        row_id, row_hash, gone_id, gone_hash, numbers)
+    less = lambda n: F.when(F.col(n).isNull(), whole).otherwise(
+        _without(F.when(F.col(n).isNotNull(), whole), F.col(n)))
+    out = {text_col: less(numbers), removed: F.greatest(F.size(numbers), F.lit(0))}
+    if runs is not None:
+        out |= {run_text: less(run_numbers), run_removed: F.greatest(F.size(run_numbers), F.lit(0))}
+    return joined.withColumns(out).drop(row_id, row_hash, gone_id, gone_hash, numbers, run_numbers)

@@ -20,11 +20,14 @@ class Query:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document less its later repeated lines: runs of one line count."""
+    """Every document less its later repeated lines (runs of one line count), and less its later runs of two or more lines."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    kept = line_dedup.dedup_lines(docs)
-    return kept.select("doc_id", F.col("_removed").cast("long").alias("n_removed"),
-                       F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"))
+    kept = line_dedup.dedup_lines(docs, min_lines=1, runs=2)
+    return kept.select(
+        "doc_id", F.col("_removed").cast("long").alias("n_removed"),
+        F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("kept_sha256"),
+        F.col("_run_removed").cast("long").alias("run_n_removed"),
+        F.char_length("_run_text").cast("long").alias("run_n_chars"), F.sha2("_run_text", 256).alias("run_kept_sha256"))
 
 
 OP1_SQL = r"""
@@ -35,20 +38,32 @@ WITH lines AS (
   SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM lines
 ), numbered AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS k FROM trimmed WHERE key <> ''
+), windows AS (
+  SELECT a.doc_id, a.k, a.key || chr(10) || b.key AS w
+  FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND b.k = a.k + 1
+), later AS (
+  SELECT doc_id, k FROM (
+    SELECT doc_id, k, row_number() OVER (PARTITION BY w ORDER BY doc_id, k) AS occurrence FROM windows)
+  WHERE occurrence > 1
+), runs AS (
+  SELECT doc_id, k FROM later UNION SELECT doc_id, k + 1 FROM later
 ), gone AS (
   SELECT doc_id, k FROM (
     SELECT doc_id, k, row_number() OVER (PARTITION BY key ORDER BY doc_id, k) AS occurrence FROM numbered)
   WHERE occurrence > 1
 ), marked AS (
-  SELECT t.doc_id, t.place, t.line, g.k IS NOT NULL AS removed
+  SELECT t.doc_id, t.place, t.line, g.k IS NOT NULL AS removed, r.k IS NOT NULL AS in_run
   FROM trimmed t LEFT JOIN numbered n ON n.doc_id = t.doc_id AND n.place = t.place
   LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.k = n.k
+  LEFT JOIN runs r ON r.doc_id = n.doc_id AND r.k = n.k
 ), kept AS (
-  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed,
-         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT removed), '') AS text
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed, count(*) FILTER (WHERE in_run) AS run_n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT removed), '') AS text,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT in_run), '') AS run_text
   FROM marked GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(k.n_removed, 0) AS n_removed, length(k.text) AS n_chars, sha256(k.text) AS kept_sha256
+SELECT d.doc_id, coalesce(k.n_removed, 0) AS n_removed, length(k.text) AS n_chars, sha256(k.text) AS kept_sha256,
+       coalesce(k.run_n_removed, 0) AS run_n_removed, length(k.run_text) AS run_n_chars, sha256(k.run_text) AS run_kept_sha256
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 

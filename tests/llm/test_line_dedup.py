@@ -70,3 +70,27 @@ def test_a_line_in_most_documents(spark):
     rows = [(i, f"hot\nown {i}") for i in range(300)]
     got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted([(r.doc_id, r.text, r._removed) for r in got.collect()], key=repr) == brute(rows, 1)
+
+
+def test_runs_beside_single_lines(spark):
+    """Both rules in one call: single lines, and the runs that winnowing finds and extends."""
+    rows = [(1, "a\nb\nc\nd"), (2, "x\nb\nc\ny\nd"), (3, "d\na\nb\na\nb"), (4, None), (5, "b"), (None, "c\nd"), (7, "q\nb\nc\nd\nx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup_lines(docs, runs=2)
+    assert got.columns == ["doc_id", "text", "_removed", "_run_text", "_run_removed"]
+    got = got.collect()
+    assert sorted([(r.doc_id, r.text, r._removed) for r in got], key=repr) == brute(rows, 1)
+    want = brute(rows, 2)
+    assert sorted([(r.doc_id, r._run_text, r._run_removed) for r in got], key=repr) == want
+    assert any(n for *_, n in want) and want != brute(rows, 1)
+    with pytest.raises(ValueError):
+        dedup_lines(docs, 2, runs=1)
+
+
+def test_query_does_the_work_of_runs(spark):
+    from shapeloom.llm.queries import op1_line_dedup
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    got = {r.doc_id: r for r in op1_line_dedup(spark, "/root/testdata/sf0.01").collect()}
+    for t, column in ((1, "n_removed"), (2, "run_n_removed")):
+        assert {d: got[d][column] for d in docs} == {d: n for d, _, n in brute(list(docs.items()), t)}
+    assert 0 < sum(r.run_n_removed for r in got.values()) < sum(r.n_removed for r in got.values())
