@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,11 @@ def seed_diversity(cells: DataFrame, prompt: str = "prompt_id", seed: str = "see
 
 
 # ----------------------------------------------------------------- R03
+
+#: Cells along a block's side: a target goes to (1 + 2 / BLOCK_CELLS) ** 3 blocks on average.
+BLOCK_CELLS = 2
+
+
 def _kept(df: DataFrame, folder: str, name: str) -> DataFrame:
     df.write.parquet(f"{folder}/{name}")
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
@@ -62,10 +69,13 @@ def nearest_distances(sources: DataFrame, targets: DataFrame, pairs: DataFrame,
     """``(src, dst, x, y, z, n, d)``: for every distinct point of cloud ``src`` (``n`` times there) its distance to cloud ``dst``.
 
     ``pairs`` has ``src, dst``. The target's points stand in a uniform grid of
-    about one point a cell; a point looks in the 27 cells around it. What it
-    finds within a cell's side is nearest for certain; points that find
-    nothing so near look again with cells twice as wide, so the rounds are
-    as many as the farthest point needs, and each has fewer points.
+    about one point a cell, and cells in blocks of BLOCK_CELLS a side. A
+    source point goes to its own block, a target point to every block that
+    has a cell next to its own, so that the least distance is found where
+    they meet. What lies within a cell's side is nearest for certain; points
+    that find nothing so near look again with cells twice as wide, so the
+    rounds are as many as the farthest point needs. They are few by then, so
+    they go to the blocks around them and the targets stay in their own.
     """
     spark = sources.sparkSession
     folder = scratch_table_dir(spark, f"nearest-{uuid.uuid4().hex}")
@@ -76,26 +86,31 @@ def nearest_distances(sources: DataFrame, targets: DataFrame, pairs: DataFrame,
     side = side.select("dst", F.when(F.col("extent") > 0, F.col("extent") / F.ceil(F.cbrt("k"))).otherwise(F.lit(1.0)).alias("side"))
     goal = _kept(goal.join(side, "dst"), folder, "targets")
     left = points(sources).groupBy(key, *AXES).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed(key, "src")
-    left = _kept(left.join(pairs.select("src", "dst").distinct(), "src").join(side, "dst"), folder, "sources")
-    near = F.explode(F.array(*[F.struct(*[F.lit(int(v)).alias(f"d{a}") for v, a in zip(step, AXES)])
-                               for step in np.ndindex(3, 3, 3)]))
-    done, rounds = [], 0
-    while not left.isEmpty():
-        width = F.col("side") * F.lit(float(2 ** rounds))
+    left = left.join(pairs.select("src", "dst").distinct(), "src").join(side, "dst")
+    squares = sum(((F.col(a) - F.col(f"t{a}")) * (F.col(a) - F.col(f"t{a}")) for a in AXES[1:]),
+                  (F.col("x") - F.col("tx")) * (F.col("x") - F.col("tx")))
+    block = [f"b{a}" for a in AXES]
+    points_of, done = left.columns, []
+    while not done or not left.isEmpty():
+        width = F.col("side") * F.lit(float(2 ** len(done)))
         cell = {a: F.floor(F.col(a) / width) for a in AXES}
-        at = left.select("*", *[c.alias(f"c{a}") for a, c in cell.items()], near.alias("s")).select(
-            *left.columns, *[(F.col(f"c{a}") + F.col(f"s.d{a}") - 1).alias(f"c{a}") for a in AXES])
-        held = goal.select("dst", *[c.alias(f"c{a}") for a, c in cell.items()], *[F.col(a).alias(f"t{a}") for a in AXES])
-        squares = sum(((F.col(a) - F.col(f"t{a}")) * (F.col(a) - F.col(f"t{a}")) for a in AXES[1:]),
-                      (F.col("x") - F.col("tx")) * (F.col("x") - F.col("tx")))
-        best = at.join(held, ["dst", *[f"c{a}" for a in AXES]]).groupBy(*left.columns).agg(F.sqrt(F.min(squares)).alias("d"))
-        best = _kept(best.where(F.col("d") <= width), folder, f"found-{rounds}")
-        done.append(best)
-        left = _kept(left.join(best.select("src", "dst", *AXES), ["src", "dst", *AXES], "left_anti"), folder, f"left-{rounds}")
-        rounds += 1
-    out = done[0] if done else left.withColumn("d", F.lit(0.0))
-    for part in done[1:]:
-        out = out.unionByName(part)
+        own = lambda df, cell=cell: df.withColumns({f"b{a}": F.floor(c / BLOCK_CELLS) for a, c in cell.items()})
+
+        def around(df, cell=cell):
+            for a, c in cell.items():
+                df = df.withColumn(f"b{a}", F.explode(F.sequence(F.floor((c - 1) / BLOCK_CELLS), F.floor((c + 1) / BLOCK_CELLS))))
+            return df
+        at, held = (around(left), own(goal)) if done else (own(left), around(goal))
+        held = held.select(F.col("dst").alias("to"), *[F.col(b).alias(f"t{b}") for b in block], *[F.col(a).alias(f"t{a}") for a in AXES])
+        # the rounding of a square is far below the slack; the root decides
+        close = squares <= width * width * F.lit(1 + 1e-9)
+        # merged: a broadcast would leave the first round to the few tasks that hold the sources
+        met = at.join(held.hint("merge"), reduce(and_, [F.col(b) == F.col(f"t{b}") for b in block], F.col("dst") == F.col("to")) & close, "left")
+        best = met.groupBy(*points_of, *([] if done else block)).agg(F.sqrt(F.min(squares)).alias("d"))
+        best = _kept(best.select(*points_of, F.when(F.col("d") <= width, F.col("d")).alias("d")), folder, f"round-{len(done)}")
+        done.append(best.where("d is not null"))
+        left = best.where("d is null").drop("d")
+    out = reduce(DataFrame.unionByName, done)
     return out.select("src", "dst", *AXES, "n", "d")
 
 

@@ -219,6 +219,29 @@ def test_chamfer_equals_brute_force(spark):
     assert all(v == pytest.approx(mean(a, b) + mean(b, a), abs=1e-9) for (a, b), v in got.items())
 
 
+def test_nearest_points_meet_in_blocks(spark, monkeypatch):
+    """Exact over block borders and several rounds, and no source point is sent to all the cells around it."""
+    rng = random.Random(6)
+    clouds = {"p": [tuple(rng.uniform(-9, 9) for _ in "xyz") for _ in range(300)], "q": [tuple(rng.gauss(0, 2) for _ in "xyz") for _ in range(300)]}
+    points = spark.createDataFrame([(u, *p) for u, ps in clouds.items() for p in ps], "uid string, x double, y double, z double")
+    made, kept = [], ev._kept
+    monkeypatch.setattr(ev, "_kept", lambda df, folder, name: made.append((name, df)) or kept(df, folder, name))
+    ways = spark.createDataFrame([("p", "q"), ("q", "p"), ("p", "p")], "src string, dst string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = ev.nearest_distances(points, points, ways).collect()
+        found = next(df for name, df in made if name == "round-0")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # both sides are laid out by block, and the least distance needs no exchange after the join
+    assert "Exchange" not in plan[:plan.index("Join")]
+    assert len(got) == 900
+    for r in got:
+        assert r.d == pytest.approx(min(math.dist((r.x, r.y, r.z), t) for t in clouds[r.dst]), abs=1e-12)
+
+
 def test_iou_and_diversity_equal_brute_force(spark):
     rng = random.Random(4)
     grids = {(p, s): {tuple(rng.randrange(3) for _ in "xyz") + () for _ in range(rng.choice([0, 5, 20]))} for p in "pqr" for s in range(4)}
