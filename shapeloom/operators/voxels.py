@@ -23,6 +23,17 @@ def _index_type(size: int) -> str:
     return "tinyint" if size <= 128 else "int"
 
 
+def by_key(df: DataFrame, key: str = "uid", rows: int = 500) -> DataFrame:
+    """``df`` with a key's rows in one task, in so many tasks that each has about ``rows`` rows (which are counted).
+
+    For tables with a row per asset, before their cells are exploded: what
+    groups the cells by the key and more, or joins them by it, then finds them
+    together, and no cell is sent anywhere.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-df.count() // rows)), key)
+
+
 # --------------------------------------------------------------------------- V01
 def shape_cells(assets: DataFrame, size: int = 32, shape_col: str = "category",
                 jitter_col: str = "jitter", key: str = "uid") -> DataFrame:

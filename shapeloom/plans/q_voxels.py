@@ -78,7 +78,7 @@ def q_synthetic_shape_cells(spark, sf_dir):
   FROM f GROUP BY uid, face
 """)
 def q_surface_faces(spark, sf_dir):
-    fm = vx.boundary_face_masks(vx.shape_cells(_assets(spark, sf_dir)))
+    fm = vx.boundary_face_masks(vx.shape_cells(vx.by_key(_assets(spark, sf_dir))))
     cnt, zsum = vx.mask_count_and_zsum(F.col("fm"))
     pos = cnt * (F.col("x").cast("long") + 32 * F.col("y")) + 1024 * (zsum + cnt * F.col("z0"))
     return fm.groupBy("uid", "face").agg(F.sum(cnt).alias("n_faces"), F.sum(pos).alias("pos_sum"))
