@@ -42,7 +42,8 @@ def training_view(manifest: DataFrame, cells: DataFrame, embeddings: DataFrame,
     # densified last: a join side never carries size^3 floats per row, which
     # the planner's size estimate for a UDF's array output would not see
     grids = dense_entries(cells.join(m, key, "left_semi"), size, key)
-    v = m.join(embeddings.select(key, "embedding"), key).join(grids, key, "left")
+    # merged, since the planner takes a list for one entry and might broadcast all grids
+    v = m.join(embeddings.select(key, "embedding"), key).join(grids.hint("merge"), key, "left")
     # An asset with no occupied cell has NULL entries -> an all-zero grid
     return v.select(key, densify(F.col("_e"), size).alias("voxels"), "embedding")
 

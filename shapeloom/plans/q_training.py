@@ -29,7 +29,7 @@ def q_training_view(spark, sf_dir):
     ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
     ids = ids.join(labels.select(F.col("uid").alias("id")), "id", "left_semi")
     assets = cat.synthetic_manifest(ids)
-    cells = vx.shape_cells(assets, key="i").withColumnRenamed("i", "uid")
+    cells = vx.shape_cells(vx.by_key(assets, "i"), key="i").withColumnRenamed("i", "uid")
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("uid"), "embedding")
     v = tr.training_view(labels, cells, emb, strict=False)
     esum = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))

@@ -7,11 +7,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from shapeloom.operators import catalog as cat
 from shapeloom.operators import features as fe
 from shapeloom.operators import training as tr
+from shapeloom.operators import voxels as vx
 from shapeloom.sources import readers, writers
 
 
@@ -76,3 +79,24 @@ def test_models_see_the_first_words(spark):
     assert got == {"a": [3, 13], "b": [0, 0], "c": [3, 5]}
     with pytest.raises(ValueError):
         fe.embed(df, "t5", factory=factory, max_length=0)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_of_assets_laid_out_by_key_are_not_sent(spark):
+    """From the explode of an asset's cells up to what is asked of them there is no exchange."""
+    made = queries()
+    faces = _plan(made["surface_faces"](spark, SF_SMALL))
+    assert "Exchange" not in faces[:faces.rindex("Generate")]
+    view = _plan(made["training_view"](spark, SF_SMALL))
+    grids = view[view.index("ObjectHashAggregate"):]
+    assert "Exchange" not in grids[:grids.index("Generate")]
+
+
+def test_a_keys_rows_are_in_one_task(spark):
+    df = spark.createDataFrame([(f"u{k % 7}", k) for k in range(90)] + [(None, 0), (None, 1)], "uid string, n int")
+    got = vx.by_key(df, rows=5).withColumn("p", F.spark_partition_id())
+    assert got.rdd.getNumPartitions() == 19 and got.count() == 92
+    assert got.select("uid", "p").distinct().count() == 8
