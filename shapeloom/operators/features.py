@@ -11,8 +11,10 @@ as the DuckDB oracle twin, since DuckDB has no BLAKE2b).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,14 +67,44 @@ def _row_weights(dim: int, hasher: str):
     return make
 
 
+def _token_lists(rows: pa.Array) -> Iterator[list]:
+    """Each row's tokens; those of one row at a time are Python strings, the others stay in the Arrow batch."""
+    bounds, flat, known = rows.offsets.to_numpy(), rows.values, rows.is_valid().to_pylist()
+    for k, there in enumerate(known):
+        yield flat.slice(bounds[k], bounds[k + 1] - bounds[k]).to_pylist() if there else []
+
+
+def _weight_lists(rows: pa.Array, sums) -> pa.Array:
+    ends, slots, weights = [0], [], []
+    for tokens in _token_lists(rows):
+        own = sorted(sums(tokens).items())
+        slots.append(np.array([k for k, _ in own], dtype=np.int32))
+        weights.append(np.array([w for _, w in own], dtype=np.float64))
+        ends.append(ends[-1] + len(own))
+    if not slots:
+        slots, weights = [np.zeros(0, dtype=np.int32)], [np.zeros(0)]
+    pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(slots)), pa.array(np.concatenate(weights))], names=["slot", "w"])
+    return pa.ListArray.from_arrays(pa.array(np.array(ends, dtype=np.int32)), pairs)
+
+
+def _vector_lists(rows: pa.Array, sums, dim: int) -> pa.Array:
+    out = np.zeros((len(rows), dim), dtype=np.float32)
+    for k, tokens in enumerate(_token_lists(rows)):
+        v = np.zeros(dim)
+        for slot, w in sums(tokens).items():
+            v[slot] = w
+        norm = np.sqrt((v * v).sum())
+        out[k] = v / norm if norm > 0 else v
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dim), pa.array(out.ravel()))
+
+
 def row_weights(df: DataFrame, key: str, text_col: str, dim: int, hasher: str) -> DataFrame:
     """``(key, _e array<struct<slot, w>>)`` for every input row: no shuffle."""
     make = _row_weights(dim, hasher)
 
-    @F.pandas_udf("array<struct<slot:int,w:double>>")
-    def weights(rows: pd.Series) -> pd.Series:
-        sums = make()
-        return pd.Series([[{"slot": k, "w": w} for k, w in sorted(sums(tokens).items())] for tokens in rows])
+    @F.arrow_udf("array<struct<slot:int,w:double>>")
+    def weights(rows: pa.Array) -> pa.Array:
+        return _weight_lists(rows, make())
     return df.select(F.col(key), weights(token_runs(text_col)).alias("_e"))
 
 
@@ -80,16 +112,9 @@ def vector_column(text: Column | str, dim: int, hasher: str = "blake2b") -> Colu
     """E01 as a column: ``array<float>[dim]`` of unit length (or zero) for a text; no shuffle, no key."""
     make = _row_weights(dim, hasher)
 
-    @F.pandas_udf("array<float>")
-    def vector(rows: pd.Series) -> pd.Series:
-        sums, out = make(), []
-        for tokens in rows:
-            v = np.zeros(dim)
-            for slot, w in sums(tokens).items():
-                v[slot] = w
-            norm = np.sqrt((v * v).sum())
-            out.append((v / norm if norm > 0 else v).astype(np.float32))
-        return pd.Series(out)
+    @F.arrow_udf("array<float>")
+    def vector(rows: pa.Array) -> pa.Array:
+        return _vector_lists(rows, make(), dim)
     return vector(token_runs(text))
 
 

@@ -1,8 +1,10 @@
 """Embedding features against FIXTURES §4 goldens and a row-wise formulation."""
 
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shapeloom.operators import features as fe
@@ -80,3 +82,20 @@ def test_mean_pool_masked(spark):
     masked = {(r.k, r.dim): r.value for r in fe.mean_pool(df, "k", mask=df.m == 1).collect()}
     assert plain[(0, 0)] == 2.0 and plain[(0, 1)] == 3.0
     assert masked[(0, 0)] == 1.0 and masked[(1, 0)] == 0.0  # all-masked -> 0/max(0,1)
+
+
+def test_tokens_of_one_row_at_a_time(spark):
+    """A batch's tokens are never all Python strings at once."""
+    sums = fe._row_weights(64, "md5")()
+    words = pa.array([[f"w{k % 5000:08d}" for k in range(1000)]] * 1000, pa.list_(pa.string()))
+    sums(words[0].as_py())
+    for make in (fe._weight_lists, lambda rows, sums: fe._vector_lists(rows, sums, 64)):
+        tracemalloc.start()
+        out = make(words, sums)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(out) == 1000 and peak < 12e6  # 1,000,000 tokens take 50 MB and more
+    some = pa.array([["skip"], ["a", "b", "a"], [], None], pa.list_(pa.string())).slice(1)
+    one, none, gone = fe._weight_lists(some, sums).to_pylist()
+    assert {e["slot"]: e["w"] for e in one} == dict(sums(["a", "b", "a"])) and none == gone == [{"slot": s, "w": w} for s, w in sums([]).items()]
+    assert fe._weight_lists(some.slice(0, 0), sums).to_pylist() == [] == fe._vector_lists(some.slice(0, 0), sums, 64).to_pylist()
