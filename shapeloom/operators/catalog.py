@@ -191,9 +191,13 @@ def notebook_descriptions(annotations: DataFrame, key: str = "uid",
     """
     from pyspark.ml.feature import StopWordsRemover
 
-    t = annotations.where(F.size(F.coalesce(F.col("tags"), F.array())) > 0)
-    w = t.select(key, tx.split_words(tx.strip_punctuation(tx.tag_text(F.col("tags")))).alias("_words"))
+    # each step is bound by an explode of one element, or of none for a row that goes: as a
+    # filter over columns it would be pushed down, and the steps before it worked out twice
+    each = lambda df, kept, value, name: df.select(key, F.explode(
+        F.when(kept, F.array(value))).alias(name))
+    t = each(annotations, F.size("tags") > 0, tx.strip_punctuation(tx.tag_text(F.col("tags"))), "_text")
+    w = t.select(key, tx.split_words("_text").alias("_words"))
     remover = StopWordsRemover(inputCol="_words", outputCol="_kept", caseSensitive=True)
     kept = (remover.setStopWords(stop_words) if stop_words is not None else remover).transform(w)
-    out = kept.select(key, F.lower(F.array_join("_kept", " ")).alias("description"))
+    out = kept.select(key, F.explode(F.array(F.lower(F.array_join("_kept", " ")))).alias("description"))
     return out.where(F.col("description") != "")

@@ -124,3 +124,12 @@ def test_tokenize_slug_paths(spark):
     assert r.tok == ["a", "wooden-chair"] and r.e == ["empty"]
     assert r.st == "x" and r.sh == "/a/b/x.glb.glb" and r.sl == "hello-world" and r.s2 == "shape"
     assert r.s3 == "a" * 39 + "-"
+
+
+def test_notebook_steps_are_worked_out_once(spark):
+    rows = [("a", T("The (red) chair!", "of oak")), ("b", T("the", "OF.")), ("c", T(None, "...")), ("d", []), ("e", None), ("f", T(NB + "[x]" + NB, "^y_`{|}~"))]
+    df = spark.createDataFrame(rows, "uid string, tags array<struct<name:string>>")
+    out = cat.notebook_descriptions(df, stop_words=["the", "of"])
+    assert {r.uid: r.description for r in out.collect()} == {"a": "the red chair oak", "b": "of", "f": "x y"}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(") == plan.count("array_join(transform(") == 1
