@@ -21,6 +21,22 @@ _AROUND = ((-1, -1), (0, -1), (0, 0), (-1, 0))
 CUBE = ("i", "j", "k")
 
 
+def _at_cells(rows: DataFrame, cells: DataFrame, key: str, at: list[str], outer: bool = False) -> DataFrame:
+    """``rows`` with what ``cells`` hold at the same key and place (``outer``: also rows without a cell); null keys and places have none.
+
+    As a join by the key and ``at``, but rows and cells are grouped by them: a
+    grouping takes tables laid out by the key alone as they are, where a join
+    by more than the key sends both sides once more.
+    """
+    mine, theirs = ([c for c in d.columns if c not in (key, *at)] for d in (rows, cells))
+    both = rows.select(key, *at, F.struct(*mine).alias("_r")).unionByName(
+        cells.select(key, *at, F.struct(*theirs).alias("_c")), allowMissingColumns=True)
+    met = both.groupBy(key, *at).agg(F.collect_list("_r").alias("_r"), F.collect_list("_c").alias("_c"))
+    each = met.select(key, *at, F.explode("_r").alias("_r"), "_c")
+    each = each.select(key, *at, "_r", (F.explode_outer if outer else F.explode)("_c").alias("_c"))
+    return each.select(key, *at, *[F.col(f"_r.{c}").alias(c) for c in mine], *[F.col(f"_c.{c}").alias(c) for c in theirs])
+
+
 def crossed_edges(cells: DataFrame, level: float | Column = 0.5, key: str = "uid") -> DataFrame:
     """``(key, x, y, z, face, axis, ex, ey, ez, px, py, pz)``: every crossed edge once.
 
@@ -32,13 +48,14 @@ def crossed_edges(cells: DataFrame, level: float | Column = 0.5, key: str = "uid
     lv = level if isinstance(level, Column) else F.lit(float(level))
     base = cells.select(key, *[F.col(a).cast("int").alias(a) for a in AXES],
                         F.col("value").cast("double").alias("value"), lv.cast("double").alias("_t"))
+    base = base.dropna(subset=[key, *AXES])
     faces = vx.boundary_faces(base, key, occupied=F.col("value") >= F.col("_t"))
-    # a border holds far fewer samples than the grid: its values are joined, not sent along every edge
+    # a border holds far fewer samples than the grid: its values are looked up, not sent along every edge
     sign = F.when(F.substring("face", 1, 1) == "+", 1).otherwise(-1)
     steps = [F.when(F.substring("face", 2, 1) == a, sign).otherwise(0) for a in AXES]
-    own = faces.join(base, [key, *AXES]).withColumns({f"n{a}": F.col(a) + s for a, s in zip(AXES, steps)})
+    own = _at_cells(faces, base, key, list(AXES)).withColumns({f"n{a}": F.col(a) + s for a, s in zip(AXES, steps)})
     beyond = base.select(key, *[F.col(a).alias(f"n{a}") for a in AXES], F.col("value").alias("_b"))
-    both = own.join(beyond, [key, *[f"n{a}" for a in AXES]], "left")
+    both = _at_cells(own, beyond, key, [f"n{a}" for a in AXES], outer=True)
     t, a, b = F.col("_t"), F.col("value"), F.coalesce("_b", F.lit(0.0))
     part = F.when(F.col("_b").isNull() & (t <= 0), F.lit(0.5)).otherwise((t - a) / (b - a))
     return both.select(

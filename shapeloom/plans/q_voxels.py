@@ -185,10 +185,13 @@ def q_crossing_vertices(spark, sf_dir):
                     *[F.round(f"p{a}", ROUND).alias(f"p{a}") for a in "xyz"])
 
 
+def _grids(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("uid"),
+                                                     F.col("embedding").alias("grid"))
+
+
 def _grid_cells(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("uid"),
-                                                  F.col("embedding").alias("grid"))
-    return vx.from_dense(e, size=4, keep_zeros=True)
+    return vx.from_dense(_grids(spark, sf_dir), size=4, keep_zeros=True)
 
 
 _GRID_SQL = """

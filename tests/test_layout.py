@@ -100,3 +100,17 @@ def test_a_keys_rows_are_in_one_task(spark):
     got = vx.by_key(df, rows=5).withColumn("p", F.spark_partition_id())
     assert got.rdd.getNumPartitions() == 19 and got.count() == 92
     assert got.select("uid", "p").distinct().count() == 8
+
+
+def test_cells_of_grids_laid_out_by_key_are_not_sent(spark):
+    """Surfaces of grids: what a cell is joined and grouped with is found where the grid's cells were made."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in ("-1", before):
+        try:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            plan = _plan(queries()["dual_vertices"](spark, SF_SMALL)).splitlines()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        sent = [line for line in plan if "Exchange" in line and "ReusedExchange" not in line]
+        assert sent and all("REPARTITION_BY_NUM" in line for line in sent)
+        assert not any("Generate" in line for line in plan[plan.index(sent[-1]):])

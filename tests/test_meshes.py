@@ -68,6 +68,39 @@ def test_surface_levels_by_column_and_none(spark):
     assert edges["+z"] == (5, 5, 5.5) and edges["-z"] == (5, 5, 4.5) and edges["+x"] == (5.5, 5, 5)
 
 
+def test_crossed_edges_of_repeated_and_null_cells(spark):
+    """Cells may stand twice, with equal or other values, or lack a key, a place or a value: as joins by key and place have it."""
+    rng = random.Random(5)
+    rows = [(u, rng.randrange(4), rng.randrange(3), rng.randrange(3), rng.choice([0.0, 0.25, 0.75, 1.0, None]))
+            for u in ("a", "b") for _ in range(60)]
+    rows += rows[:9] + [(None, 0, 0, 0, 1.0), ("a", None, 0, 0, 1.0), ("a", 0, 0, None, 0.0)]
+    at = {}
+    for u, x, y, z, v in rows:
+        if None not in (u, x, y, z):
+            at.setdefault((u, x, y, z), []).append(v)
+    inside = {c for c, vs in at.items() if any(v is not None and v >= 0.5 for v in vs)}
+    step = {"+x": (1, 0, 0), "-x": (-1, 0, 0), "+y": (0, 1, 0), "-y": (0, -1, 0), "+z": (0, 0, 1), "-z": (0, 0, -1)}
+    want = Counter()
+    for u, *p in inside:
+        for face, d in step.items():
+            n = tuple(a + b for a, b in zip(p, d))
+            if (u, *n) not in inside:
+                for v in at[u, *p]:
+                    for b in at.get((u, *n), [None]):
+                        b = b or 0.0
+                        f = None if v is None or b == v else (0.5 - v) / (b - v)
+                        at_face = [None if f is None else round(a + s * f, 9) + 0.0 for a, s in zip(p, d)]
+                        want[u, *p, face, *map(min, p, n), *at_face] += 1
+    mode = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")  # equal values of two cells at one place give no crossing point
+        got = sf.crossed_edges(spark.createDataFrame(rows, CELLS), 0.5).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", mode)
+    assert Counter((r.uid, r.x, r.y, r.z, r.face, r.ex, r.ey, r.ez,
+                    *[None if c is None else round(c, 9) + 0.0 for c in (r.px, r.py, r.pz)]) for r in got) == want
+
+
 def test_face_masks_equal_brute_force_at_block_borders(spark):
     rng = random.Random(2)
     some = {("a", rng.randrange(3), rng.randrange(3), rng.randrange(-5, 200)) for _ in range(900)}
