@@ -192,7 +192,8 @@ def prompt_meshes(prompts: DataFrame, registry: DataFrame, model_id: str, genera
         embedding, seeded_noise(F.col("request"), F.col("seed"), config.noise_dim)).alias("x"))
     grids = kept(x.select("request", "threshold", model(F.col("x")).alias("g")).select("request", "threshold", "g.*"), "grids")
     good = grids.where("reason is null").select("request", "threshold", F.col("value").alias("grid"))
-    cells = kept(vx.from_dense(good, size=size, key="request"), "cells")
+    # laid out by key, so that no cell is sent; a task has about a million cells at most, but at least one grid
+    cells = vx.from_dense(vx.by_key(good, "request", max(1, min(500, 2 ** 20 // size ** 3))), size=size, key="request")
     stats = good.select("request", "threshold").join(vx.grid_stats(cells, size, key="request"), "request", "left").fillna(
         0, ["n_cells", "n_nonfinite", "grid_min", "grid_max"])
     levels = kept(vx.adaptive_level(stats, F.col("threshold")).select("request", "level", "reason"), "levels")

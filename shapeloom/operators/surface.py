@@ -21,7 +21,7 @@ _AROUND = ((-1, -1), (0, -1), (0, 0), (-1, 0))
 CUBE = ("i", "j", "k")
 
 
-def _at_cells(rows: DataFrame, cells: DataFrame, key: str, at: list[str], outer: bool = False) -> DataFrame:
+def at_cells(rows: DataFrame, cells: DataFrame, key: str, at: list[str], outer: bool = False) -> DataFrame:
     """``rows`` with what ``cells`` hold at the same key and place (``outer``: also rows without a cell); null keys and places have none.
 
     As a join by the key and ``at``, but rows and cells are grouped by them: a
@@ -53,9 +53,9 @@ def crossed_edges(cells: DataFrame, level: float | Column = 0.5, key: str = "uid
     # a border holds far fewer samples than the grid: its values are looked up, not sent along every edge
     sign = F.when(F.substring("face", 1, 1) == "+", 1).otherwise(-1)
     steps = [F.when(F.substring("face", 2, 1) == a, sign).otherwise(0) for a in AXES]
-    own = _at_cells(faces, base, key, list(AXES)).withColumns({f"n{a}": F.col(a) + s for a, s in zip(AXES, steps)})
+    own = at_cells(faces, base, key, list(AXES)).withColumns({f"n{a}": F.col(a) + s for a, s in zip(AXES, steps)})
     beyond = base.select(key, *[F.col(a).alias(f"n{a}") for a in AXES], F.col("value").alias("_b"))
-    both = _at_cells(own, beyond, key, [f"n{a}" for a in AXES], outer=True)
+    both = at_cells(own, beyond, key, [f"n{a}" for a in AXES], outer=True)
     t, a, b = F.col("_t"), F.col("value"), F.coalesce("_b", F.lit(0.0))
     part = F.when(F.col("_b").isNull() & (t <= 0), F.lit(0.5)).otherwise((t - a) / (b - a))
     return both.select(

@@ -67,14 +67,19 @@ def q_dual_vertices(spark, sf_dir):
   FROM tri GROUP BY uid
 """)
 def q_dual_triangles(spark, sf_dir):
-    """The enclosed volume, from the triangles' corners: it has the right sign only if all are turned outwards."""
+    """The enclosed volume, from the triangles' corners: it has the right sign only if all are turned outwards.
+
+    A triangle that stands ``n`` times (in grids of repeated rows) counts as often.
+    """
     v, t = sf.dual_surface(_levelled(spark, sf_dir), F.col("level"))
-    for p in "abc":
-        t = t.join(v.select("uid", *[F.col(n).alias(f"{p}{n}") for n in sf.CUBE], *[F.col(a).alias(f"{p}{a}") for a in "xyz"]),
-                   ["uid", *[f"{p}{n}" for n in sf.CUBE]])
+    corners = t.select("uid", F.struct(*[c for c in t.columns if c != "uid"]).alias("t"), F.explode(F.array(*[
+        F.struct(F.lit(p).alias("p"), *[F.col(f"{p}{n}").alias(n) for n in sf.CUBE]) for p in "abc"])).alias("c"))
+    placed = sf.at_cells(corners.select("uid", "t", "c.*"), v, "uid", list(sf.CUBE))
+    t = placed.groupBy("uid", "t").agg(F.count_if(F.col("p") == "a").alias("n"), *[
+        F.max(F.when(F.col("p") == p, F.col(a))).alias(f"{p}{a}") for p in "abc" for a in "xyz"])
     a, b, c = ([F.col(f"{p}{x}") for x in "xyz"] for p in "abc")
     six = sum((a[k] * (b[(k + 1) % 3] * c[(k + 2) % 3] - b[(k + 2) % 3] * c[(k + 1) % 3]) for k in range(3)), F.lit(0.0))
-    return t.groupBy("uid").agg(F.count(F.lit(1)).alias("n_triangles"), (F.round(F.sum(six) / 6, 4) + 0.0).alias("volume"))
+    return t.groupBy("uid").agg(F.sum("n").alias("n_triangles"), (F.round(F.sum(six * F.col("n")) / 6, 4) + 0.0).alias("volume"))
 
 
 _SIDE, _TEXT_DIM = 4, 16

@@ -105,10 +105,10 @@ def test_a_keys_rows_are_in_one_task(spark):
 def test_cells_of_grids_laid_out_by_key_are_not_sent(spark):
     """Surfaces of grids: what a cell is joined and grouped with is found where the grid's cells were made."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    for limit in ("-1", before):
+    for name, limit in (("dual_vertices", "-1"), ("dual_vertices", before), ("dual_triangles", "-1"), ("dual_triangles", before)):
         try:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-            plan = _plan(queries()["dual_vertices"](spark, SF_SMALL)).splitlines()
+            plan = _plan(queries()[name](spark, SF_SMALL)).splitlines()
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         sent = [line for line in plan if "Exchange" in line and "ReusedExchange" not in line]
